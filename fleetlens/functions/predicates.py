@@ -72,9 +72,14 @@ def on_day(ts: Column, day: str, day_col: Column | None = None) -> Column:
 
 
 def in_window(ts: Column, start: str, seconds: int, day_col: Column | None = None) -> Column:
-    """``start <= ts <= start + seconds`` (both ends inclusive)."""
+    """``start <= time <= start + seconds`` at second resolution (both ends inclusive).
+
+    Written as ``start <= ts < end + 1s``: for whole-second ``ts`` that is the inclusive
+    end; for a sub-second ``ts`` it keeps exactly the reports whose ``date`` text is inside
+    (12:30:00.5 prints as 12:30:00). Both sides stay plain comparisons on ``ts``.
+    """
     lo, hi = window_bounds(start, seconds)
-    cond = ts.between(ntz_literal(lo), ntz_literal(hi))
+    cond = (ts >= ntz_literal(lo)) & (ts < ntz_literal(hi + _dt.timedelta(seconds=1)))
     if day_col is not None:
         cond = day_col.between(date_literal(lo.date()), date_literal(hi.date())) & cond
     return cond

@@ -5,13 +5,14 @@ Plan, built for a stop that may hold a third of all rows:
 
 1. ``distinct(stop, vehicle)`` - partial dedupe in every map task, then a shuffle keyed on
    the *pair*, so a hot stop is spread over as many tasks as it has vehicles.
-2. count pairs per stop (partial count, shuffle on stop of already-deduped pairs).
-3. the global maximum is a one-row aggregate; it is joined back by equality on the count
-   (a one-row broadcast: its size is fixed at one row, not a guess).
-4. vehicle lists are built only for the winning stops (semi-join of the pairs; AQE picks
-   broadcast or shuffle from the runtime size of the winners).
-
-No driver round trip for the maximum, no single-partition window, no list for losing stops.
+2. one aggregate per stop over the deduplicated pairs: the count and the sorted list. A
+   list holds distinct vehicles only, so its length is bounded by the fleet, not by the
+   number of reports.
+3. the global maximum is a one-row aggregate of step 2, joined back by equality on the
+   count (a one-row broadcast: its size is fixed, not estimated). Both consumers of step 2
+   are the same subplan, so the executed plan reads the input once (ReusedExchange).
+
+No driver round trip for the maximum and no single-partition window.
 """
 
 from __future__ import annotations
@@ -49,17 +50,15 @@ def busiest_stops(
         in_window(F.col("ts"), current_time, seconds_horizon, F.col("day"))
         & flag_set(F.col("atStop"))
     )
-    pairs = _stop_vehicle_pairs(kept)
-    counts = pairs.groupBy("closerStopID").agg(F.count(F.lit(1)).alias("_n"))
-    winners = _stops_at_max(counts, "_n").select("closerStopID")
-    lists = (
-        pairs.join(winners, "closerStopID", "left_semi")
-        .groupBy("closerStopID")
-        .agg(F.sort_array(F.collect_list("vehicleID")).alias("sortedvehicleIDList"))
+    per_stop = _stop_vehicle_pairs(kept).groupBy("closerStopID").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sort_array(F.collect_list("vehicleID")).alias("sortedvehicleIDList"),
+    )
+    return (
+        _stops_at_max(per_stop, "_n")
+        .select(F.col("closerStopID").alias("stationID"), "sortedvehicleIDList")
+        .orderBy("stationID")
     )
-    return lists.select(
-        F.col("closerStopID").alias("stationID"), "sortedvehicleIDList"
-    ).orderBy("stationID")
 
 
 def vehicles_per_stop(m: DataFrame) -> DataFrame:

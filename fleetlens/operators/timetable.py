@@ -17,8 +17,9 @@ from fleetlens.functions import flag_set, on_day, on_time, time_of_day
 # The reference's default delay limit (seconds).
 DEFAULT_DELAY_LIMIT = 60
 
-# Tie-break order after the time: the other varying fields, in input order.
-_ROW_ORDER = ["ts", "busLinePatternID", "congestion", "longitude", "latitude", "delay"]
+# Row order inside a group: the second-resolution time text, then the other varying fields
+# in input order (line, vehicle, stop and atStop are constant inside a group).
+_ROW_ORDER = ["date", "busLinePatternID", "congestion", "longitude", "latitude", "delay"]
 
 
 def _vehicle_day_at_stop(m: DataFrame, vehicle_id: int, day: str) -> DataFrame:
@@ -41,7 +42,7 @@ def first_arrivals(
     return first.select(
         F.col("busLineID").alias("lineID"),
         F.col("closerStopID").alias("stationID"),
-        time_of_day(F.col("_first.ts")).alias("arrivalTime"),
+        F.substring(F.col("_first.date"), 12, 8).alias("arrivalTime"),
         on_time(F.col("_first.delay"), delay_limit).alias("onTime"),
     ).orderBy("arrivalTime", "lineID", "stationID")
 

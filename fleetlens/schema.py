@@ -3,7 +3,9 @@
 The ten source fields keep their order and names. Two derived columns are added by every
 source so that operators never re-parse text:
 
-* ``ts``  - ``date`` parsed to ``timestamp_ntz`` (second resolution, no time zone involved)
+* ``ts``  - the instant as ``timestamp_ntz`` (no time zone involved). From text it has
+  second resolution; a source may keep finer precision, and every predicate is written to
+  give the same answer either way (``date`` is always the second-resolution text).
 * ``day`` - ``ts`` as a ``date``; the partition column of the parquet store, so day and window
   filters prune whole directories there.
 """

@@ -1,9 +1,12 @@
 """The driver's ``events`` table seen as bus position reports.
 
 A deterministic projection (documented in FIXTURES.md section 1) that the DuckDB oracle
-repeats in SQL, so every operator can be checked on whole driver tables. ``ts`` has
-microseconds in ``events``; ``date`` is its second-resolution text and ``ts`` here is
-``date`` parsed back, which is what the reports carry.
+repeats in SQL, so every operator can be checked on whole driver tables.
+
+``ts`` is passed through untouched (microseconds): a time predicate on it is a plain column
+comparison, which parquet receives as a pushed filter and uses to skip row groups.
+``date`` is its second-resolution text. The predicates in ``fleetlens.functions`` are exact
+for sub-second ``ts`` (see ``in_window``), so no per-row truncation is needed.
 """
 
 from __future__ import annotations
@@ -55,6 +58,6 @@ def measurements_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .cast("int")
         .alias("closerStopID"),
         F.when(F.col("event_type").isin(NOT_AT_STOP_EVENTS), 0).otherwise(1).alias("atStop"),
+        F.col("ts"),
     )
-    m = m.withColumn("ts", F.col("date").cast("timestamp_ntz"))
     return m.withColumn("day", F.to_date("ts")).select(*TYPED_SCHEMA.fieldNames())
