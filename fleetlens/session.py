@@ -16,6 +16,9 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Skip PySpark's per-call capture of the Python call site for error messages: it costs
+    # several JVM round trips per Column function, which dominated plan construction.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

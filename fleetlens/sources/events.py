@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetlens.schema import DATE_PATTERN, TYPED_SCHEMA
 
@@ -30,14 +31,26 @@ CONGESTED_EVENT = "error"
 NOT_AT_STOP_EVENTS = ["error", "purchase"]
 
 
+# Fixed value: the columns of ``events`` this projection reads (event_id is not needed).
+# Declaring them skips parquet schema inference, which costs a Spark job per read, and
+# prunes the scan to these columns from the start.
+EVENTS_READ_SCHEMA = T.StructType(
+    [
+        T.StructField("ts", T.TimestampNTZType(), True),
+        T.StructField("user_id", T.LongType(), True),
+        T.StructField("event_type", T.StringType(), True),
+        T.StructField("value", T.DoubleType(), True),
+        T.StructField("props", T.StringType(), True),
+    ]
+)
+
+
 def events_path(sf_dir: str) -> str:
     return f"{sf_dir.rstrip('/')}/events.parquet"
 
 
 def measurements_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = spark.read.parquet(events_path(sf_dir)).select(
-        "ts", "user_id", "event_type", "value", "props"
-    )
+    ev = spark.read.schema(EVENTS_READ_SCHEMA).parquet(events_path(sf_dir))
     k = F.regexp_extract("props", r"([0-9]+)", 1).try_cast("int")
     user = F.col("user_id")
     date = F.date_format("ts", DATE_PATTERN)
@@ -59,5 +72,7 @@ def measurements_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("closerStopID"),
         F.when(F.col("event_type").isin(NOT_AT_STOP_EVENTS), 0).otherwise(1).alias("atStop"),
         F.col("ts"),
+        F.to_date("ts").alias("day"),
     )
-    return m.withColumn("day", F.to_date("ts")).select(*TYPED_SCHEMA.fieldNames())
+    assert m.columns == TYPED_SCHEMA.fieldNames()
+    return m
