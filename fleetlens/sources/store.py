@@ -40,15 +40,12 @@ def read_measurements(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*TYPED_SCHEMA.fieldNames())
 
 
-def ingest_csv_to_store(
-    spark: SparkSession, src: str | list[str], dest: str, mode: str = "overwrite"
-) -> None:
-    """Parse CSV text once; write good rows (by day) and bad rows side by side."""
-    paths = [src] if isinstance(src, str) else list(src)
-    parsed = parse_lines(spark.read.text(paths))
+def store_rows(parsed: DataFrame) -> DataFrame:
+    """Rows of an ingest store from ``parse_lines`` output: typed values for good rows, the
+    raw line and the reason for bad ones, a ``status`` column and the ``day``."""
     status = F.when(F.col("reason").isNull(), F.lit(GOOD)).otherwise(F.lit(BAD))
     # Good rows carry no raw line, bad rows no typed values: nulls cost next to nothing.
-    out = parsed.select(
+    return parsed.select(
         *[
             F.when(status == GOOD, F.col(c)).alias(c)
             for c in TYPED_SCHEMA.fieldNames()
@@ -59,7 +56,15 @@ def ingest_csv_to_store(
         status.alias("status"),
         F.col("day"),
     )
-    out.write.mode(mode).partitionBy("status", "day").parquet(dest)
+
+
+def ingest_csv_to_store(
+    spark: SparkSession, src: str | list[str], dest: str, mode: str = "overwrite"
+) -> None:
+    """Parse CSV text once; write good rows (by day) and bad rows side by side."""
+    paths = [src] if isinstance(src, str) else list(src)
+    parsed = parse_lines(spark.read.text(paths))
+    store_rows(parsed).write.mode(mode).partitionBy("status", "day").parquet(dest)
 
 
 def read_ingested(spark: SparkSession, dest: str) -> Ingest:
