@@ -74,15 +74,23 @@ def reports_per_hour(m: DataFrame) -> DataFrame:
 def hourly_counts_joined(m: DataFrame) -> DataFrame:
     """Per-hour totals inner-joined with per-hour congested counts (the two-branch form).
 
-    Both sides are aggregates keyed by hour of day, so each has at most 24 rows: broadcasting
-    one of them is safe at any input size, and the join needs no shuffle of its own.
+    Both branches are cut from one aggregate keyed by (hour, congested), so the executed
+    plan reads the input once (the second branch reuses the first one's exchange). Each side
+    has at most 24 rows, one per hour of day: broadcasting one of them is safe at any input
+    size, and the join itself needs no shuffle.
     """
-    hour = _hour_text(F.hour("ts")).alias("hour")
-    totals = m.groupBy(hour).agg(F.count(F.lit(1)).alias("numMeasurements"))
+    per_flag = m.groupBy(
+        _hour_text(F.hour("ts")).alias("hour"),
+        flag_set(F.col("congestion")).alias("_congested"),
+    ).agg(F.count(F.lit(1)).alias("_n"))
+    totals = per_flag.groupBy("hour").agg(F.sum("_n").alias("numMeasurements"))
+    # Not `filter(_congested)` first: a filter on a grouping key is pushed below the
+    # aggregate, which would split the plan into two scans. Hours with no congested report
+    # get NULL here and are dropped, as the inner join in the two-branch form drops them.
     congested = (
-        m.filter(flag_set(F.col("congestion")))
-        .groupBy(hour)
-        .agg(F.count(F.lit(1)).alias("congestionMeasurements"))
+        per_flag.groupBy("hour")
+        .agg(F.sum(F.when(F.col("_congested"), F.col("_n"))).alias("congestionMeasurements"))
+        .filter(F.col("congestionMeasurements").isNotNull())
     )
     return totals.join(F.broadcast(congested), "hour").select(
         "hour", "numMeasurements", "congestionMeasurements"

@@ -76,3 +76,12 @@ def test_store_prunes_day_partitions(spark):
     w = ops.busiest_stops(stored, "2024-01-08 06:30:00", 21600)
     assert "PartitionFilters: [isnotnull(day" in plan_string(w)
     assert exchange_count(w) >= 1
+
+
+def test_join_form_reads_input_once(spark):
+    df = Q["congestion_by_hour_joined"](spark, SF_SMALL)
+    df.collect()
+    final = plan_string(df, "simple").split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in final  # the J1 join is really there
+    assert final.count("FileScan parquet") == 1
+    assert "ReusedExchange" in final
