@@ -33,7 +33,11 @@ from fleetlens.plans.registry import (  # noqa: E402
 )
 from fleetlens.schema import MEASUREMENT_COLUMNS  # noqa: E402
 from fleetlens.session import get_session, shared_dir  # noqa: E402
-from fleetlens.sources import measurements_from_events, read_measurements_csv  # noqa: E402
+from fleetlens.sources import (  # noqa: E402
+    ingest_csv_to_store,
+    measurements_from_events,
+    read_measurements_csv,
+)
 
 
 def _run(df) -> None:
@@ -71,6 +75,9 @@ def main() -> None:
         _run(good)
         _run(bad)
 
+    def ingest_to_store():
+        ingest_csv_to_store(spark, csv_dir, shared_dir(spark, "bench-store"))
+
     headline = {
         "q1_congestion_by_hour": lambda: _run(
             ops.congestion_by_hour(m(), hours=Q1_HOURS, **Q1_BOX)
@@ -86,6 +93,7 @@ def main() -> None:
         "q5_line_delay_average": lambda: _run(ops.line_delay_average(m())),
         "q5_abs_delay_average": lambda: _run(ops.line_abs_delay_average(m())),
         "s4_csv_ingest": ingest,
+        "s4_csv_ingest_to_store": ingest_to_store,
     }
 
     timings: dict[str, float] = {}
