@@ -21,19 +21,28 @@ GOOD = "good"
 BAD = "bad"
 
 
-def write_measurements(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+# Fixed value: the store's clustering key (day first: it is also the partition column).
+CLUSTER_KEY = ["day", "vehicleID", "ts"]
+
+
+def write_measurements(
+    df: DataFrame, path: str, mode: str = "overwrite", cluster: bool = False
+) -> None:
     """Write typed measurements partitioned by ``day``.
 
-    No shuffle before the write: each task writes the days it holds (input files are
-    normally time-ordered); a day spread over many tasks only means more files, and a
-    hot day is never funnelled into a single task.
+    ``cluster=False``: no shuffle; each task writes the days it holds (input files are
+    normally time-ordered), so a hot day is never funnelled into a single task.
+
+    ``cluster=True``: a one-off compaction. Rows are range-partitioned and sorted on
+    (day, vehicleID, ts), so each file covers a narrow vehicle range and parquet min/max
+    statistics let a vehicle filter (Q2) skip whole files and row groups. ``ts`` is part of
+    the key so that one vehicle-day holding a large share of the rows is still cut into
+    many ranges (a range partitioner cannot split a single key value).
     """
-    (
-        df.select(*TYPED_SCHEMA.fieldNames())
-        .write.mode(mode)
-        .partitionBy("day")
-        .parquet(path)
-    )
+    out = df.select(*TYPED_SCHEMA.fieldNames())
+    if cluster:
+        out = out.repartitionByRange(*CLUSTER_KEY).sortWithinPartitions(*CLUSTER_KEY)
+    out.write.mode(mode).partitionBy("day").parquet(path)
 
 
 def read_measurements(spark: SparkSession, path: str) -> DataFrame:

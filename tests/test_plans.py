@@ -85,3 +85,38 @@ def test_join_form_reads_input_once(spark):
     assert "BroadcastHashJoin" in final  # the J1 join is really there
     assert final.count("FileScan parquet") == 1
     assert "ReusedExchange" in final
+
+
+def test_clustered_store_skips_files_for_a_vehicle(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    m = measurements_from_events(spark, "/root/testdata/sf0.01")
+    path = shared_dir(spark, "cluster-test")
+    # tiny data: keep 16 range partitions (AQE would coalesce them into one file per day)
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_measurements(m, path, cluster=True)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    stored = read_measurements(spark, path)
+    df = ops.first_arrivals(stored, 33001, "2024-01-08", 60)
+    text = plan_string(df)
+    assert "EqualTo(vehicleID,33001)" in text and "EqualTo(atStop,1)" in text
+    # the day's files each hold a narrow vehicle range: most can be skipped by statistics
+    files = glob.glob(f"{path.replace('file:', '')}/day=2024-01-08/*.parquet")
+    ranges = []
+    for f in files:
+        meta = pq.ParquetFile(f).metadata
+        col = [meta.schema.column(i).name for i in range(meta.num_columns)].index("vehicleID")
+        st = [meta.row_group(g).column(col).statistics for g in range(meta.num_row_groups)]
+        ranges.append((min(x.min for x in st), max(x.max for x in st)))
+    hit = [r for r in ranges if r[0] <= 33001 <= r[1]]
+    assert len(files) > 1 and len(hit) < len(files)
+    # and the answer is unchanged
+    assert sorted(map(tuple, df.collect())) == sorted(
+        map(tuple, Q["first_arrivals"](spark, "/root/testdata/sf0.01").collect())
+    )
