@@ -32,6 +32,16 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+# Spark simple type -> DuckDB type name, for the types the registry produces.
+SPARK_TO_DUCK = {
+    "string": "VARCHAR",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "array<int>": "INTEGER[]",
+}
+
+
 def _norm(v):
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x) for x in v)
@@ -55,6 +65,11 @@ def compare(spark, con, sf_dir: str, name: str, query_fn, sql: str) -> tuple[boo
     d_rows = rel.fetchall()
     if sorted(s_cols) != sorted(d_cols):
         return False, f"columns differ: spark={s_cols} duckdb={d_cols}"
+    d_types = dict(zip(d_cols, (str(t) for t in rel.types)))
+    for f in sdf.schema:
+        want = SPARK_TO_DUCK.get(f.dataType.simpleString())
+        if want != d_types[f.name]:
+            return False, f"type of {f.name}: spark={f.dataType.simpleString()} duckdb={d_types[f.name]}"
     # align DuckDB's column order to Spark's
     idx = [d_cols.index(c) for c in s_cols]
     d_rows = [tuple(r[i] for i in idx) for r in d_rows]
@@ -73,7 +88,9 @@ def main(argv: list[str]) -> int:
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
-    spark = get_session("local[8]", shuffle_partitions=8)
+    spark = get_session(
+        "local[8]", shuffle_partitions=8, conf={"spark.ui.showConsoleProgress": "false"}
+    )
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     q, o = queries(), oracle_sql()
