@@ -15,7 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from fleetlens import operators as ops
 from fleetlens.schema import MEASUREMENT_COLUMNS
 from fleetlens.session import shared_dir
-from fleetlens.sources import measurements_from_events, read_measurements_csv
+from fleetlens.sources import (
+    measurements_from_events,
+    read_measurements_csv,
+    read_measurements_csv_reader,
+)
 
 # Parameters used on the driver tables (events span 2024-01-01..2024-01-30).
 Q1_BOX = dict(north=53.3702027, east=-6.2043634, south=53.3343619, west=-6.2886331)
@@ -33,9 +37,8 @@ def _m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measurements_from_events(spark, sf_dir)
 
 
-def scan_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV round trip: write the reports as headerless, unquoted CSV text into the shared
-    folder, then read them back through the ingest (split + try_cast, bad rows aside)."""
+def _write_csv_text(spark: SparkSession, sf_dir: str) -> str:
+    """Write the reports as headerless, unquoted CSV text into the shared folder."""
     path = shared_dir(spark, "csv-roundtrip")
     (
         _m(spark, sf_dir)
@@ -46,9 +49,21 @@ def scan_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
         .option("nullValue", "")
         .csv(path)
     )
+    return path
+
+
+def scan_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV round trip through the strict ingest (split + try_cast, bad rows aside)."""
+    path = _write_csv_text(spark, sf_dir)
     return read_measurements_csv(spark, path).good.select(*MEASUREMENT_COLUMNS)
 
 
+def scan_measurements_csv_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV round trip through the CSV reader with the explicit schema."""
+    path = _write_csv_text(spark, sf_dir)
+    return read_measurements_csv_reader(spark, path).select(*MEASUREMENT_COLUMNS)
+
+
 QUERIES: dict[str, QueryFn] = {
     "congestion_by_hour": lambda s, d: ops.congestion_by_hour(_m(s, d), hours=Q1_HOURS, **Q1_BOX),
     "congestion_by_hour_joined": lambda s, d: ops.hourly_counts_joined(_m(s, d)),
@@ -62,6 +77,7 @@ QUERIES: dict[str, QueryFn] = {
     "line_delay_average": lambda s, d: ops.line_delay_average(_m(s, d)),
     "line_abs_delay_average": lambda s, d: ops.line_abs_delay_average(_m(s, d)),
     "scan_measurements": scan_measurements,
+    "scan_measurements_csv_reader": scan_measurements_csv_reader,
     "weekday_reports": lambda s, d: ops.weekday_reports(_m(s, d)),
     "hour_in_list": lambda s, d: ops.hour_in_list(_m(s, d), Q1_HOURS),
     "congested_reports": lambda s, d: ops.congested_reports(_m(s, d)),
@@ -155,6 +171,10 @@ FROM measurements WHERE "atStop" = 1 GROUP BY 1""",
     "scan_measurements": """
 SELECT date, "busLineID", "busLinePatternID", congestion, longitude, latitude, delay,
        "vehicleID", "closerStopID", "atStop"
+FROM measurements""",
+    "scan_measurements_csv_reader": """
+SELECT date, "busLineID", "busLinePatternID", congestion, longitude, latitude, delay,
+       "vehicleID", "closerStopID", "atStop"
 FROM measurements""",
     "weekday_reports": """
 SELECT date, "vehicleID" FROM measurements

@@ -1,6 +1,7 @@
 """Ways to obtain a measurements DataFrame (typed columns + ``ts`` + ``day``)."""
 
 from fleetlens.sources.csv_ingest import Ingest, parse_lines, read_measurements_csv, split_parsed
+from fleetlens.sources.csv_reader import read_measurements_csv_reader
 from fleetlens.sources.events import measurements_from_events
 from fleetlens.sources.store import (
     ingest_csv_to_store,
@@ -17,6 +18,7 @@ __all__ = [
     "read_ingested",
     "read_measurements",
     "read_measurements_csv",
+    "read_measurements_csv_reader",
     "split_parsed",
     "write_measurements",
 ]
