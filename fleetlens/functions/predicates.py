@@ -21,9 +21,13 @@ from fleetlens.functions.timefmt import (
 )
 
 
-def is_weekday(ts: Column) -> Column:
-    """Monday to Friday (``dayofweek``: 1 = Sunday ... 7 = Saturday)."""
-    return F.dayofweek(ts).between(2, 6)
+def is_weekday(day: Column) -> Column:
+    """Monday to Friday (``dayofweek``: 1 = Sunday ... 7 = Saturday).
+
+    Pass the ``day`` column: on the store it is the partition column, so the predicate is
+    evaluated per directory and weekend days are never opened. A timestamp works too.
+    """
+    return F.dayofweek(day).between(2, 6)
 
 
 def _hour_numbers(hours: Iterable[str]) -> list[int]:

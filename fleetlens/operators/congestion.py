@@ -42,7 +42,7 @@ def congestion_by_hour(
     ``round(C / T * 100, 2)`` half-up; ordered by percentage desc, then hour asc.
     """
     kept = m.filter(
-        is_weekday(F.col("ts"))
+        is_weekday(F.col("day"))
         & hour_in(F.col("ts"), hours)
         & in_box(F.col("latitude"), F.col("longitude"), north, east, south, west)
     )

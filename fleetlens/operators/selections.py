@@ -34,7 +34,7 @@ from fleetlens.operators.timetable import DEFAULT_DELAY_LIMIT
 
 
 def weekday_reports(m: DataFrame) -> DataFrame:
-    return m.filter(is_weekday(F.col("ts"))).select("date", "vehicleID")
+    return m.filter(is_weekday(F.col("day"))).select("date", "vehicleID")
 
 
 def hour_in_list(m: DataFrame, hours: Sequence[str] = tuple(DEFAULT_HOURS)) -> DataFrame:

@@ -120,3 +120,16 @@ def test_clustered_store_skips_files_for_a_vehicle(spark):
     assert sorted(map(tuple, df.collect())) == sorted(
         map(tuple, Q["first_arrivals"](spark, "/root/testdata/sf0.01").collect())
     )
+
+
+def test_weekday_filter_prunes_weekend_partitions(spark):
+    m = measurements_from_events(spark, SF_SMALL)
+    path = shared_dir(spark, "weekday-test")
+    write_measurements(m, path)
+    stored = read_measurements(spark, path)
+    q1 = ops.congestion_by_hour(stored)
+    # evaluated per day directory: weekend directories are not listed for reading
+    assert re.search(r"PartitionFilters: \[[^\]]*dayofweek\(day", plan_string(q1))
+    assert sorted(map(tuple, q1.collect())) == sorted(
+        map(tuple, Q["congestion_by_hour"](spark, SF_SMALL).collect())
+    )
