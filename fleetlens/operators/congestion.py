@@ -66,9 +66,9 @@ def congestion_by_hour(
 
 def reports_per_hour(m: DataFrame) -> DataFrame:
     """``(hour, numMeasurements)`` over all reports."""
-    return m.groupBy(_hour_text(F.hour("ts")).alias("hour")).agg(
-        F.count(F.lit(1)).alias("numMeasurements")
-    )
+    # group on the integer hour; format the (at most 24) result rows, not every input row
+    per_hour = m.groupBy(F.hour("ts").alias("_h")).agg(F.count(F.lit(1)).alias("numMeasurements"))
+    return per_hour.select(_hour_text(F.col("_h")).alias("hour"), "numMeasurements")
 
 
 def hourly_counts_joined(m: DataFrame) -> DataFrame:
@@ -79,10 +79,11 @@ def hourly_counts_joined(m: DataFrame) -> DataFrame:
     has at most 24 rows, one per hour of day: broadcasting one of them is safe at any input
     size, and the join itself needs no shuffle.
     """
-    per_flag = m.groupBy(
-        _hour_text(F.hour("ts")).alias("hour"),
-        flag_set(F.col("congestion")).alias("_congested"),
-    ).agg(F.count(F.lit(1)).alias("_n"))
+    per_flag = (
+        m.groupBy(F.hour("ts").alias("_h"), flag_set(F.col("congestion")).alias("_congested"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select(_hour_text(F.col("_h")).alias("hour"), "_congested", "_n")
+    )
     totals = per_flag.groupBy("hour").agg(F.sum("_n").alias("numMeasurements"))
     # Not `filter(_congested)` first: a filter on a grouping key is pushed below the
     # aggregate, which would split the plan into two scans. Hours with no congested report
