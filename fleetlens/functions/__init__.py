@@ -12,6 +12,7 @@ from fleetlens.functions.predicates import (
 from fleetlens.functions.timefmt import (
     day_label,
     hour_label,
+    instant_text,
     parse_day,
     parse_instant,
     time_of_day,
@@ -25,6 +26,7 @@ __all__ = [
     "hour_label",
     "in_box",
     "in_window",
+    "instant_text",
     "is_weekday",
     "on_day",
     "on_time",

@@ -1,4 +1,4 @@
-"""Time parsing and formatting on ``timestamp_ntz`` columns.
+"""Time parsing and formatting on ``timestamp_ntz`` columns (no session time zone involved).
 
 Parameters (a day, a window start) are validated on the driver and enter the plan as typed
 literals, so Catalyst folds them and the comparisons reach the scan as pushed filters.
@@ -40,16 +40,26 @@ def window_bounds(start: str, seconds: int) -> tuple[_dt.datetime, _dt.datetime]
     return lo, lo + _dt.timedelta(seconds=int(seconds))
 
 
+def instant_text(ts: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` text of a ``timestamp_ntz`` (fraction dropped, not rounded).
+
+    Rendered by casting to string, which for ``timestamp_ntz`` involves no time zone.
+    ``date_format`` would first convert to a zoned timestamp in the session zone and shift
+    wall-clock times that fall in a daylight-saving gap (02:30 -> 03:30).
+    """
+    return F.substring(ts.cast("string"), 1, 19)
+
+
 def hour_label(ts: Column) -> Column:
     """Two-digit hour, e.g. ``"07"``."""
-    return F.date_format(ts, "HH")
+    return F.substring(ts.cast("string"), 12, 2)
 
 
 def time_of_day(ts: Column) -> Column:
     """``HH:mm:ss`` part of the timestamp."""
-    return F.date_format(ts, "HH:mm:ss")
+    return F.substring(ts.cast("string"), 12, 8)
 
 
 def day_label(ts: Column) -> Column:
     """``yyyy-MM-dd`` part of the timestamp."""
-    return F.date_format(ts, "yyyy-MM-dd")
+    return F.substring(ts.cast("string"), 1, 10)

@@ -17,7 +17,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.schema import DATE_PATTERN, MEASUREMENT_COLUMNS, TYPED_SCHEMA
+from fleetlens.schema import MEASUREMENT_COLUMNS, TYPED_SCHEMA
 
 # Which fields are numeric and their types.
 _INT_FIELDS = {"busLineID", "congestion", "delay", "vehicleID", "closerStopID", "atStop"}
@@ -58,8 +58,9 @@ def parse_lines(lines: DataFrame, text_col: str = "value") -> DataFrame:
     ]
     staged = split.select("line", F.size(parts).alias("_n"), *fields)
     staged = staged.withColumn("ts", F.col("date").try_cast("timestamp_ntz"))
-    # Strict format: the cast alone also accepts "2013-1-7" or a bare date.
-    date_ok = F.col("ts").isNotNull() & (F.date_format("ts", DATE_PATTERN) == F.col("date"))
+    # Strict format: the cast alone also accepts "2013-1-7" or a bare date. A whole-second
+    # timestamp_ntz casts back to exactly "yyyy-MM-dd HH:mm:ss" (no time zone involved).
+    date_ok = F.col("ts").isNotNull() & (F.col("ts").cast("string") == F.col("date"))
     checks = [(F.col("_n") != 10, "field_count"), (~date_ok, "date")]
     for name in MEASUREMENT_COLUMNS:
         if name in _INT_FIELDS or name in _DOUBLE_FIELDS:

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetlens.schema import DATE_PATTERN, TYPED_SCHEMA
+from fleetlens.functions.timefmt import instant_text
+from fleetlens.schema import TYPED_SCHEMA
 
 # Fixed values of the projection (they must equal the oracle SQL's).
 LON_ORIGIN = -6.30
@@ -53,7 +54,7 @@ def measurements_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = spark.read.schema(EVENTS_READ_SCHEMA).parquet(events_path(sf_dir))
     k = F.regexp_extract("props", r"([0-9]+)", 1).try_cast("int")
     user = F.col("user_id")
-    date = F.date_format("ts", DATE_PATTERN)
+    date = instant_text(F.col("ts"))
     m = ev.select(
         date.alias("date"),
         (k % LINE_MODULUS).cast("int").alias("busLineID"),
