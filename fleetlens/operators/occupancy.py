@@ -51,7 +51,9 @@ def busiest_stops(
         & flag_set(F.col("atStop"))
     )
     per_stop = _stop_vehicle_pairs(kept).groupBy("closerStopID").agg(
-        F.count(F.lit(1)).alias("_n"),
+        # count(vehicleID), not count(1): a NULL vehicle (only possible from the lenient CSV
+        # reader) is in no list, so it must not count either
+        F.count("vehicleID").alias("_n"),
         F.sort_array(F.collect_list("vehicleID")).alias("sortedvehicleIDList"),
     )
     return (
@@ -69,12 +71,12 @@ def vehicles_per_stop(m: DataFrame) -> DataFrame:
     pairs = _stop_vehicle_pairs(m.filter(flag_set(F.col("atStop"))))
     return pairs.groupBy("closerStopID").agg(
         F.sort_array(F.collect_list("vehicleID")).alias("vehicleIDs"),
-        F.count(F.lit(1)).cast("int").alias("numVehicles"),
+        F.count("vehicleID").cast("int").alias("numVehicles"),
     )
 
 
 def max_vehicles(m: DataFrame) -> DataFrame:
     """``(max_size)``: the largest number of distinct vehicles seen at one stop."""
     pairs = _stop_vehicle_pairs(m.filter(flag_set(F.col("atStop"))))
-    counts = pairs.groupBy("closerStopID").agg(F.count(F.lit(1)).alias("n"))
+    counts = pairs.groupBy("closerStopID").agg(F.count("vehicleID").alias("n"))
     return counts.agg(F.max("n").cast("int").alias("max_size"))

@@ -167,3 +167,24 @@ def test_selections(spark):
     assert flags["2013-01-02 08:00:00"] == 1 and flags["2013-01-02 08:05:00"] == 0
     assert ops.weekday_reports(m).count() == 7  # Wed / Thu
     assert ops.congested_reports(m).count() == 0
+
+
+def test_q3_null_vehicle_is_not_counted(spark):
+    from fleetlens.schema import MEASUREMENTS_SCHEMA
+
+    base = ("2013-01-07 06:40:00", 1, "A", 0, -6.25, 53.35, 0)
+    data = [
+        base + (1, 7, 1),
+        base + (2, 7, 1),
+        base + (None, 8, 1),
+        base + (None, 8, 1),
+        base + (3, 8, 1),
+    ]
+    from pyspark.sql import functions as F
+
+    m = spark.createDataFrame(data, MEASUREMENTS_SCHEMA)
+    m = m.withColumn("ts", F.col("date").try_cast("timestamp_ntz")).withColumn(
+        "day", F.to_date("ts")
+    )
+    assert rows(ops.busiest_stops(m, "2013-01-07 06:30:00", 1800)) == [(7, [1, 2])]
+    assert sorted(rows(ops.vehicles_per_stop(m))) == [(7, [1, 2], 2), (8, [3], 1)]
