@@ -133,3 +133,15 @@ def test_weekday_filter_prunes_weekend_partitions(spark):
     assert sorted(map(tuple, q1.collect())) == sorted(
         map(tuple, Q["congestion_by_hour"](spark, SF_SMALL).collect())
     )
+
+
+def test_no_cross_joins_or_global_windows(spark):
+    for name, fn in Q.items():
+        if name.startswith("scan_measurements"):
+            continue  # writes files when called; plain scans
+        text = plan_string(fn(spark, SF_SMALL), "simple")
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Window ", "SinglePartition, ENSURE"):
+            # the only SinglePartition exchange allowed is the one-row global max of Q3
+            if bad.startswith("SinglePartition") and name in ("busiest_stops", "max_vehicles"):
+                continue
+            assert bad not in text, (name, bad)
