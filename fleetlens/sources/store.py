@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetlens.schema import TYPED_SCHEMA
 from fleetlens.sources.csv_ingest import BAD_COLUMNS, Ingest, parse_lines
@@ -20,6 +21,19 @@ from fleetlens.sources.csv_ingest import BAD_COLUMNS, Ingest, parse_lines
 GOOD = "good"
 BAD = "bad"
 
+# The layouts written below, declared so reads skip schema inference (a Spark job per read)
+# and partition values get their types from here, not from guessing directory names.
+MEASUREMENTS_STORE_SCHEMA = TYPED_SCHEMA
+INGEST_STORE_SCHEMA = T.StructType(
+    [f for f in TYPED_SCHEMA.fields if f.name != "day"]
+    + [
+        T.StructField("line", T.StringType(), True),
+        T.StructField("reason", T.StringType(), True),
+        T.StructField("status", T.StringType(), True),
+        T.StructField("day", T.DateType(), True),
+    ]
+)
+
 
 # Fixed value: the store's clustering key (day first: it is also the partition column).
 CLUSTER_KEY = ["day", "vehicleID", "ts"]
@@ -46,7 +60,11 @@ def write_measurements(
 
 
 def read_measurements(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*TYPED_SCHEMA.fieldNames())
+    return (
+        spark.read.schema(MEASUREMENTS_STORE_SCHEMA)
+        .parquet(path)
+        .select(*TYPED_SCHEMA.fieldNames())
+    )
 
 
 def store_rows(parsed: DataFrame) -> DataFrame:
@@ -78,7 +96,7 @@ def ingest_csv_to_store(
 
 def read_ingested(spark: SparkSession, dest: str) -> Ingest:
     """(good, bad) from an ingest store; each side reads only its own partition."""
-    table = spark.read.parquet(dest)
+    table = spark.read.schema(INGEST_STORE_SCHEMA).parquet(dest)
     good = table.filter(F.col("status") == GOOD).select(*TYPED_SCHEMA.fieldNames())
     bad = table.filter(F.col("status") == BAD).select(*BAD_COLUMNS)
     return Ingest(good, bad)
