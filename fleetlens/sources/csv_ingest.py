@@ -42,8 +42,14 @@ def _typed_field(raw: Column, name: str) -> Column:
     return raw
 
 
-def parse_lines(lines: DataFrame, text_col: str = "value") -> DataFrame:
-    """Typed columns + ``ts``/``day`` + ``line`` + ``reason`` (NULL for a good row)."""
+def parse_lines(
+    lines: DataFrame, text_col: str = "value", filter_barrier: bool = True
+) -> DataFrame:
+    """Typed columns + ``ts``/``day`` + ``line`` + ``reason`` (NULL for a good row).
+
+    ``filter_barrier`` (see the end of the function) is needed when the result is filtered
+    on ``reason``; a consumer that only projects (the one-pass store ingest) can skip it.
+    """
     # Split once into an array column; every field below reads that column, so the split is
     # computed once per line (not once per field reference).
     split = lines.select(
@@ -74,6 +80,8 @@ def parse_lines(lines: DataFrame, text_col: str = "value") -> DataFrame:
     # filter below it and inlines the split into the condition once per field reference
     # (13 splits per line instead of 1, ~4x slower). A one-row-per-row Generate is a
     # boundary for pushdown: the verdict is computed once, in the projection above.
+    if not filter_barrier:
+        return parsed
     return parsed.select(F.inline(F.array(F.struct(*parsed.columns))))
 
 

@@ -34,7 +34,7 @@ def start_ingest_stream(
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    out = store_rows(parse_lines(reader.load(src_dir)))
+    out = store_rows(parse_lines(reader.load(src_dir), filter_barrier=False))
     writer = (
         out.writeStream.format("parquet")
         .option("path", dest)
