@@ -29,6 +29,10 @@ Q2_DAY = "2024-01-08"
 Q2_DELAY_LIMIT = 60
 Q3_START = "2024-01-08 06:30:00"
 Q3_HORIZON = 21600
+# Wider settings of the same operators: every hour of the day; the whole month.
+ALL_HOURS = [f"{h:02d}" for h in range(24)]
+MONTH_START = "2024-01-01 00:00:00"
+MONTH_SECONDS = 31 * 86400
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +70,9 @@ def scan_measurements_csv_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {
     "congestion_by_hour": lambda s, d: ops.congestion_by_hour(_m(s, d), hours=Q1_HOURS, **Q1_BOX),
+    "congestion_by_hour_all_hours": lambda s, d: ops.congestion_by_hour(
+        _m(s, d), hours=ALL_HOURS, **Q1_BOX
+    ),
     "congestion_by_hour_joined": lambda s, d: ops.hourly_counts_joined(_m(s, d)),
     "first_arrivals": lambda s, d: ops.first_arrivals(
         _m(s, d), Q2_VEHICLE, Q2_DAY, Q2_DELAY_LIMIT
@@ -74,6 +81,7 @@ QUERIES: dict[str, QueryFn] = {
         _m(s, d), Q2_VEHICLE, Q2_DAY, Q2_DELAY_LIMIT
     ),
     "busiest_stops": lambda s, d: ops.busiest_stops(_m(s, d), Q3_START, Q3_HORIZON),
+    "busiest_stops_month": lambda s, d: ops.busiest_stops(_m(s, d), MONTH_START, MONTH_SECONDS),
     "line_delay_average": lambda s, d: ops.line_delay_average(_m(s, d)),
     "line_abs_delay_average": lambda s, d: ops.line_abs_delay_average(_m(s, d)),
     "scan_measurements": scan_measurements,
@@ -131,6 +139,16 @@ WHERE dayofweek(CAST(date AS TIMESTAMP)) BETWEEN 1 AND 5
   AND substr(date, 12, 2) IN ('07', '08', '09')
   AND {_BOX}
 GROUP BY 1
+HAVING count(*) FILTER (WHERE congestion = 1) > 0""",
+    "congestion_by_hour_all_hours": f"""
+SELECT substr(date, 12, 2) AS hour,
+       round(CAST(count(*) FILTER (WHERE congestion = 1) AS DOUBLE) / count(*) * 100, 2) AS percentage,
+       count(*) AS "numMeasurements",
+       count(*) FILTER (WHERE congestion = 1) AS "congestionMeasurements"
+FROM measurements
+WHERE dayofweek(CAST(date AS TIMESTAMP)) BETWEEN 1 AND 5
+  AND {_BOX}
+GROUP BY 1
 HAVING count(*) FILTER (WHERE congestion = 1) > 0""",
     "congestion_by_hour_joined": """
 SELECT a.hour, a.n AS "numMeasurements", b.c AS "congestionMeasurements"
@@ -159,6 +177,15 @@ SELECT "closerStopID" AS "stationID",
 FROM measurements
 WHERE "atStop" = 1 AND {_WINDOW}
 GROUP BY 1
+QUALIFY rank() OVER (ORDER BY count(DISTINCT "vehicleID") DESC) = 1""",
+    "busiest_stops_month": """
+SELECT "closerStopID" AS "stationID",
+       list_sort(list(DISTINCT "vehicleID")) AS "sortedvehicleIDList"
+FROM measurements
+WHERE "atStop" = 1
+  AND CAST(date AS TIMESTAMP) BETWEEN TIMESTAMP '2024-01-01 00:00:00'
+                                  AND TIMESTAMP '2024-01-01 00:00:00' + INTERVAL 2678400 SECOND
+GROUP BY 1
 QUALIFY rank() OVER (ORDER BY count(DISTINCT "vehicleID") DESC) = 1""",
     "line_delay_average": """
 SELECT "busLineID" AS "lineID",
