@@ -4,8 +4,9 @@ the rows, and report per-stage task balance and shuffle volume from Spark's even
     python -m fleetlens.plans.skew_check /root/testdata/sf0.1 [copies]
 
 The copy is derived by Spark from the given table (``copies`` replicas with distinct user
-ids, then every third event moved onto one user and one ``k``, i.e. one vehicle, one line
-and one stop) and written under ``spark.checkpoint.dir``. What to look for: the map stages'
+ids, then every third event moved onto one user, one ``k`` and one day, i.e. one vehicle,
+line and stop on 2024-01-08) and written under ``spark.checkpoint.dir``. The clustered store
+write (the only full shuffle) is run on it too. What to look for: the map stages'
 max task time close to the median, and shuffles that carry partial aggregates (a few rows
 per map task and group) rather than the hot key's rows.
 """
@@ -23,10 +24,10 @@ from pyspark.sql import functions as F
 
 from fleetlens import operators as ops
 from fleetlens.session import get_session, shared_dir
-from fleetlens.sources import measurements_from_events
+from fleetlens.sources import measurements_from_events, write_measurements
 from fleetlens.sources.events import events_path
 
-# The hot key (user 1 -> vehicle 33001; k 13 -> line 6, stop 201).
+# The hot key (user 1 -> vehicle 33001; k 13 -> line 6, stop 201; 2024-01-08).
 HOT_USER = 1
 HOT_PROPS = '{"k": 13}'
 USER_STRIDE = 10_000_000
@@ -40,6 +41,11 @@ def _skewed_copy(spark, sf_dir: str, copies: int) -> str:
     hot = F.col("event_id") % 3 == 0
     ev = ev.withColumn("user_id", F.when(hot, F.lit(HOT_USER)).otherwise(F.col("user_id")))
     ev = ev.withColumn("props", F.when(hot, F.lit(HOT_PROPS)).otherwise(F.col("props")))
+    # ... and onto one day, keeping the time of day: one vehicle-day holds a third of the rows
+    on_hot_day = F.make_timestamp_ntz(
+        F.lit(2024), F.lit(1), F.lit(8), F.hour("ts"), F.minute("ts"), F.second("ts")
+    )
+    ev = ev.withColumn("ts", F.when(hot, on_hot_day).otherwise(F.col("ts")))
     out = shared_dir(spark, "skewed-events")
     # several files, so the scan is spread over tasks as it would be on a real table
     ev.repartition(max(8, copies)).write.parquet(f"{out}/events.parquet")
@@ -120,8 +126,15 @@ def main(argv: list[str]) -> int:
         t0 = time.perf_counter()
         build().write.format("noop").mode("overwrite").save()
         timings[name] = round(time.perf_counter() - t0, 3)
+    spark.sparkContext.setJobGroup("store", "store")
+    t0 = time.perf_counter()
+    write_measurements(m(), shared_dir(spark, "skewed-store"), cluster=True)
+    timings["store"] = round(time.perf_counter() - t0, 3)
     spark.stop()
-    print(f"skewed copy of {sf_dir} x{copies}: one third of the rows on vehicle 33001 / stop 201")
+    print(
+        f"skewed copy of {sf_dir} x{copies}: one third of the rows on vehicle 33001, "
+        "stop 201, day 2024-01-08"
+    )
     print(f"wall seconds: {timings}\n")
     print("\n".join(_stage_report(log_dir)))
     return 0
