@@ -25,8 +25,9 @@ _DOUBLE_FIELDS = {"longitude", "latitude"}
 
 BAD_COLUMNS = ["line", "reason"]
 
-# Fixed value: what Python's str.strip() removes around a line (ASCII whitespace).
-_WHITESPACE = " \t\n\r\x0b\x0c"
+# What Python's str.strip() removes around a line, built from Python's own rule: every
+# character that str.isspace() accepts (the highest one is U+3000).
+_WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 
 class Ingest(NamedTuple):

@@ -102,3 +102,11 @@ def test_csv_reader_is_lenient(spark, tmp_path):
     assert got["2013-01-07 25:00:00"].ts is None
     nulls = df.filter("busLineID IS NULL OR delay IS NULL OR ts IS NULL").count()
     assert nulls >= 3
+
+
+def test_strip_matches_python_whitespace(spark):
+    line = "2013-01-07 07:00:00,1,A,0,-6.25,53.35,5,1,2,1"
+    text = f" 　{line}\x1f \n\t{line}\u0085"
+    good, bad = split_parsed(parse_lines(lines_df(spark, text)))
+    assert (good.count(), bad.count()) == (2, 0)
+    assert {r.atStop for r in good.collect()} == {1}
