@@ -8,6 +8,11 @@ This is done with ``spark.read.text`` + ``split`` + ``try_cast`` rather than the
 corrupt-record column: that column is filled only for the fields a query happens to read
 (column pruning), so the good/bad split would change with the projection. Here the verdict
 depends on every field, so it is the same whatever is selected afterwards.
+
+Numbers are read with ``try_cast``, which accepts what Python's ``int()``/``float()`` accept
+(surrounding spaces, signs, exponents, ``inf``/``nan``) except digit-group underscores,
+non-ASCII digits and integers beyond 32 bits (the columns are ``int``); such lines are
+reported as bad rather than raising.
 """
 
 from __future__ import annotations
