@@ -5,7 +5,7 @@ Plan, built for a stop that may hold a third of all rows:
 
 1. ``distinct(stop, vehicle)`` - partial dedupe in every map task, then a shuffle keyed on
    the *pair*, so a hot stop is spread over as many tasks as it has vehicles.
-2. one aggregate per stop over the deduplicated pairs: the count and the sorted list. A
+2. one aggregate per stop over the deduplicated pairs: the sorted list (its size is the count). A
    list holds distinct vehicles only, so its length is bounded by the fleet, not by the
    number of reports.
 3. the global maximum is a one-row aggregate of step 2, joined back by equality on the
@@ -50,11 +50,14 @@ def busiest_stops(
         in_window(F.col("ts"), current_time, seconds_horizon, F.col("day"))
         & flag_set(F.col("atStop"))
     )
-    per_stop = _stop_vehicle_pairs(kept).groupBy("closerStopID").agg(
-        # count(vehicleID), not count(1): a NULL vehicle (only possible from the lenient CSV
-        # reader) is in no list, so it must not count either
-        F.count("vehicleID").alias("_n"),
-        F.sort_array(F.collect_list("vehicleID")).alias("sortedvehicleIDList"),
+    # The count is the list's size (collect_list skips a NULL vehicle, which only the lenient
+    # CSV reader can produce, so it counts nowhere). Deriving it after the aggregate keeps
+    # both consumers of `per_stop` on the identical aggregate: its exchange is reused too.
+    per_stop = (
+        _stop_vehicle_pairs(kept)
+        .groupBy("closerStopID")
+        .agg(F.sort_array(F.collect_list("vehicleID")).alias("sortedvehicleIDList"))
+        .withColumn("_n", F.size("sortedvehicleIDList"))
     )
     return (
         _stops_at_max(per_stop, "_n")
