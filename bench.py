@@ -41,6 +41,15 @@ from fleetlens.sources import (  # noqa: E402
 )
 
 
+def _driver_memory() -> str:
+    """Half the machine's memory, at most 8g (local mode: the driver JVM is the executor)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError):
+        return "4g"
+    return f"{max(1, min(8, total // 2 // 2**30))}g"
+
+
 def _run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -53,7 +62,7 @@ def main() -> None:
         f"local[{cpus}]",
         app_name="fleetlens-bench",
         shuffle_partitions=max(2 * cpus, 8),
-        conf={"spark.driver.memory": "8g"},
+        conf={"spark.driver.memory": _driver_memory()},
     )
     spark.sparkContext.setLogLevel("ERROR")
 
