@@ -52,3 +52,20 @@ def test_registry_same_in_any_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert utc == other
+
+
+def test_registry_same_with_ansi_off(spark):
+    from conftest import SF_SMALL
+
+    from __spark_entry__ import queries
+
+    q = queries()
+    names = ["congestion_by_hour", "first_arrivals_by_delay", "line_delay_average", "in_box"]
+    on = {n: sorted(rows(q[n](spark, SF_SMALL))) for n in names}
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        off = {n: sorted(rows(q[n](spark, SF_SMALL))) for n in names}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert on == off
