@@ -35,7 +35,7 @@ def _hour_numbers(hours: Iterable[str]) -> list[int]:
     # hour, so it selects nothing ("7" does not match 07:xx), exactly as a string compare.
     wanted = set()
     for h in hours:
-        if isinstance(h, str) and len(h) == 2 and h.isdigit() and int(h) < 24:
+        if isinstance(h, str) and len(h) == 2 and h.isascii() and h.isdigit() and int(h) < 24:
             wanted.add(int(h))
     return sorted(wanted)
 

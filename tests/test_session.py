@@ -24,6 +24,7 @@ def test_sql_settings_applied(spark):
 def test_hour_list_normalisation():
     assert _hour_numbers(["07", "08", "09"]) == [7, 8, 9]
     assert _hour_numbers(["7", "24", "ab", 8, "23", "00"]) == [0, 23]
+    assert _hour_numbers(["\uff10\uff17", " 7", "7 "]) == []  # fullwidth "07", padded
 
 
 def test_parameter_validation():
