@@ -7,8 +7,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every fleetlens job relies on. UTC + timestamp_ntz keep hour/day logic free of
-# daylight-saving shifts; AQE re-plans joins and coalesces partitions from runtime sizes.
+# Settings for sessions fleetlens builds itself (bench, CLI, tests). Results do not depend on
+# the time zone (timestamp_ntz throughout); UTC only makes logs and displays unambiguous.
+# AQE re-plans joins and coalesces partitions from runtime sizes.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -51,21 +52,19 @@ def get_session(
 
 
 def _checkpoint_root(spark: SparkSession) -> str | None:
-    conf_value = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if conf_value:
-        return conf_value
-    try:
-        return spark.conf.get("spark.checkpoint.dir")
-    except Exception:  # noqa: BLE001 - unset key raises on some versions
-        return None
+    """``spark.checkpoint.dir`` as configured, else a dir set with ``setCheckpointDir``."""
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
+    return spark.sparkContext.getCheckpointDir()
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
     The setting is read from the session. Only when it is unset *and* Spark runs in local
-    mode (tests, the driver's checks) is a local folder chosen and registered as the
-    checkpoint dir; on a cluster an unset value is an error, because a machine-local
+    mode (tests, the driver's checks) is a local folder chosen and registered with
+    ``setCheckpointDir``; on a cluster an unset value is an error, because a machine-local
     folder is not visible to other executors.
     """
     root = _checkpoint_root(spark)
@@ -75,8 +74,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3/...)"
             )
-        root = tempfile.mkdtemp(prefix="fleetlens-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fleetlens-ckpt-"))
+        root = spark.sparkContext.getCheckpointDir()
     # Not created here: Spark writers create it (and refuse an existing one by default).
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

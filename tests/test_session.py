@@ -34,3 +34,28 @@ def test_parameter_validation():
         parse_day("2013-1-7x")
     lo, hi = window_bounds("2013-03-31 00:30:00", 3600)
     assert (hi - lo).total_seconds() == 3600  # wall clock, no DST jump
+
+
+def test_checkpoint_fallback_when_unset(tmp_path):
+    """Without spark.checkpoint.dir (no spark-defaults), local mode picks one folder."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from fleetlens.session import get_session, shared_dir, _checkpoint_root\n"
+        "s = get_session('local[1]')\n"
+        "assert _checkpoint_root(s) is None\n"
+        "a, b = shared_dir(s, 'x'), shared_dir(s, 'y')\n"
+        "assert a.rsplit('/', 1)[0] == b.rsplit('/', 1)[0]\n"
+        "s.range(3).write.parquet(a)\n"
+        "print(s.read.parquet(a).count())\n"
+    ) % root
+    env = dict(os.environ, SPARK_CONF_DIR=str(tmp_path))  # an empty conf dir
+    out = subprocess.run(
+        [sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300
+    )
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert out.stdout.strip().endswith("3")
