@@ -80,7 +80,11 @@ def parse_lines(
     reason = F.lit(None).cast("string")
     for cond, label in reversed(checks):
         reason = F.when(cond, F.lit(label)).otherwise(reason)
-    parsed = staged.select(*TYPED_SCHEMA.fieldNames()[:-1], F.to_date("ts").alias("day"),
+    # A bad row is filed under the day its date field starts with when that prefix is a date
+    # (the hour-25 row still belongs to 2013-01-07), so re-ingesting a day's files replaces
+    # that day's bad rows too; only lines without a usable date prefix stay undated.
+    day = F.coalesce(F.to_date("ts"), F.substring("date", 1, 10).try_cast("date"))
+    parsed = staged.select(*TYPED_SCHEMA.fieldNames()[:-1], day.alias("day"),
                            "line", reason.alias("reason"))
     # The good/bad filters read `reason`. Left as a plain projection, Catalyst pushes such a
     # filter below it and inlines the split into the condition once per field reference

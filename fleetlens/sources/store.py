@@ -35,6 +35,13 @@ INGEST_STORE_SCHEMA = T.StructType(
 )
 
 
+def _writer(df: DataFrame, mode: str):
+    # "overwrite" replaces only the partitions this write produces (dynamic overwrite): a
+    # re-run of one day's files replaces that day and leaves every other day in place, so
+    # daily ingest is idempotent and a failed run can simply be repeated.
+    return df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+
+
 # Fixed value: the store's clustering key (day first: it is also the partition column).
 CLUSTER_KEY = ["day", "vehicleID", "ts"]
 
@@ -56,7 +63,7 @@ def write_measurements(
     out = df.select(*TYPED_SCHEMA.fieldNames())
     if cluster:
         out = out.repartitionByRange(*CLUSTER_KEY).sortWithinPartitions(*CLUSTER_KEY)
-    out.write.mode(mode).partitionBy("day").parquet(path)
+    _writer(out, mode).partitionBy("day").parquet(path)
 
 
 def read_measurements(spark: SparkSession, path: str) -> DataFrame:
@@ -92,7 +99,7 @@ def ingest_csv_to_store(
     paths = [src] if isinstance(src, str) else list(src)
     # no filter downstream (status is a partition column): the pushdown barrier is not needed
     parsed = parse_lines(spark.read.text(paths), filter_barrier=False)
-    store_rows(parsed).write.mode(mode).partitionBy("status", "day").parquet(dest)
+    _writer(store_rows(parsed), mode).partitionBy("status", "day").parquet(dest)
 
 
 def read_ingested(spark: SparkSession, dest: str) -> Ingest:

@@ -110,3 +110,38 @@ def test_strip_matches_python_whitespace(spark):
     good, bad = split_parsed(parse_lines(lines_df(spark, text)))
     assert (good.count(), bad.count()) == (2, 0)
     assert {r.atStop for r in good.collect()} == {1}
+
+
+def test_reingest_replaces_only_its_days(spark, tmp_path):
+    day1 = "2013-01-07 07:00:00,1,A,0,-6.25,53.35,5,1,2,1\n"
+    day2 = "2013-01-08 07:00:00,1,A,0,-6.25,53.35,5,1,2,1\n"
+    a, b = tmp_path / "a", tmp_path / "b"
+    a.mkdir()
+    b.mkdir()
+    (a / "f.csv").write_text(day1)
+    (b / "f.csv").write_text(day2)
+    dest = shared_dir(spark, "reingest")
+    ingest_csv_to_store(spark, str(a), dest)
+    ingest_csv_to_store(spark, str(b), dest)
+    good, _ = read_ingested(spark, dest)
+    assert sorted(str(r.day) for r in good.collect()) == ["2013-01-07", "2013-01-08"]
+    # day 1 again, corrected: replaced, day 2 untouched
+    (a / "f.csv").write_text(day1.replace(",5,1,2,1", ",9,1,2,1"))
+    ingest_csv_to_store(spark, str(a), dest)
+    got = sorted((str(r.day), r.delay) for r in read_ingested(spark, dest).good.collect())
+    assert got == [("2013-01-07", 9), ("2013-01-08", 5)]
+
+
+def test_bad_rows_are_filed_by_their_day(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "f.csv").write_text(MALFORMED.strip() + "\n")
+    dest = shared_dir(spark, "bad-days")
+    ingest_csv_to_store(spark, str(src), dest)
+    table = spark.read.parquet(dest)
+    days = sorted(
+        (r.status, str(r.day)) for r in table.select("status", "day").distinct().collect()
+    )
+    # "bad,row" has no date prefix: the only undated row
+    assert days == [("bad", "2013-01-07"), ("bad", "None"), ("good", "2013-01-07")]
+    assert table.filter("status = 'bad' AND day IS NULL").count() == 1
