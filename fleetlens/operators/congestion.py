@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions import flag_set, hour_in, in_box, is_weekday
+from fleetlens.operators._checks import require_columns
 
 # The reference's default area of interest and hours.
 DEFAULT_NORTH = 53.3702027
@@ -41,6 +42,7 @@ def congestion_by_hour(
     to the totals with an inner join, so 0 % never appears). Percentage is
     ``round(C / T * 100, 2)`` half-up; ordered by percentage desc, then hour asc.
     """
+    require_columns(m, "ts", "day", "latitude", "longitude", "congestion")
     kept = m.filter(
         is_weekday(F.col("day"))
         & hour_in(F.col("ts"), hours)
@@ -66,6 +68,7 @@ def congestion_by_hour(
 
 def reports_per_hour(m: DataFrame) -> DataFrame:
     """``(hour, numMeasurements)`` over all reports."""
+    require_columns(m, "ts")
     # group on the integer hour; format the (at most 24) result rows, not every input row
     per_hour = m.groupBy(F.hour("ts").alias("_h")).agg(F.count(F.lit(1)).alias("numMeasurements"))
     return per_hour.select(_hour_text(F.col("_h")).alias("hour"), "numMeasurements")
@@ -79,6 +82,7 @@ def hourly_counts_joined(m: DataFrame) -> DataFrame:
     has at most 24 rows, one per hour of day: broadcasting one of them is safe at any input
     size, and the join itself needs no shuffle.
     """
+    require_columns(m, "ts", "congestion")
     per_flag = (
         m.groupBy(F.hour("ts").alias("_h"), flag_set(F.col("congestion")).alias("_congested"))
         .agg(F.count(F.lit(1)).alias("_n"))

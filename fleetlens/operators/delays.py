@@ -14,9 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions import flag_set
+from fleetlens.operators._checks import require_columns
 
 
 def _at_stop(m: DataFrame) -> DataFrame:
+    require_columns(m, "atStop", "busLineID", "delay")
     return m.filter(flag_set(F.col("atStop")))
 
 

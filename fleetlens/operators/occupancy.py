@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions import flag_set, in_window
+from fleetlens.operators._checks import require_columns
 
 # The reference's default window.
 DEFAULT_START = "2013-01-07 06:30:00"
@@ -28,6 +29,7 @@ DEFAULT_HORIZON_SECONDS = 1800
 
 
 def _stop_vehicle_pairs(m: DataFrame) -> DataFrame:
+    require_columns(m, "closerStopID", "vehicleID")
     return m.select("closerStopID", "vehicleID").distinct()
 
 
@@ -46,6 +48,7 @@ def busiest_stops(
     The window ``[current_time, current_time + seconds_horizon]`` is inclusive at both ends.
     An empty window gives an empty result.
     """
+    require_columns(m, "ts", "day", "atStop", "closerStopID", "vehicleID")
     kept = m.filter(
         in_window(F.col("ts"), current_time, seconds_horizon, F.col("day"))
         & flag_set(F.col("atStop"))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions import flag_set, on_day, on_time, time_of_day
+from fleetlens.operators._checks import require_columns
 
 # The reference's default delay limit (seconds).
 DEFAULT_DELAY_LIMIT = 60
@@ -23,6 +24,7 @@ _ROW_ORDER = ["date", "busLinePatternID", "congestion", "longitude", "latitude",
 
 
 def _vehicle_day_at_stop(m: DataFrame, vehicle_id: int, day: str) -> DataFrame:
+    require_columns(m, "ts", "day", "vehicleID", "atStop")
     return m.filter(
         (F.col("vehicleID") == int(vehicle_id))
         & on_day(F.col("ts"), day, F.col("day"))

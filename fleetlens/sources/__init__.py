@@ -3,6 +3,7 @@
 from fleetlens.sources.csv_ingest import Ingest, parse_lines, read_measurements_csv, split_parsed
 from fleetlens.sources.csv_reader import read_measurements_csv_reader
 from fleetlens.sources.events import measurements_from_events
+from fleetlens.sources.frame import measurements_from_frame
 from fleetlens.sources.store import (
     ingest_csv_to_store,
     read_ingested,
@@ -14,6 +15,7 @@ __all__ = [
     "Ingest",
     "ingest_csv_to_store",
     "measurements_from_events",
+    "measurements_from_frame",
     "parse_lines",
     "read_ingested",
     "read_measurements",

@@ -188,3 +188,11 @@ def test_q3_null_vehicle_is_not_counted(spark):
     )
     assert rows(ops.busiest_stops(m, "2013-01-07 06:30:00", 1800)) == [(7, [1, 2])]
     assert sorted(rows(ops.vehicles_per_stop(m))) == [(7, [1, 2], 2), (8, [3], 1)]
+
+
+def test_operator_names_missing_columns(spark):
+    import pytest
+
+    raw = spark.createDataFrame([("2013-01-07 08:00:00", 1)], "date string, busLineID int")
+    with pytest.raises(ValueError, match="measurements_from_frame"):
+        ops.congestion_by_hour(raw)

@@ -145,3 +145,28 @@ def test_bad_rows_are_filed_by_their_day(spark, tmp_path):
     # "bad,row" has no date prefix: the only undated row
     assert days == [("bad", "2013-01-07"), ("bad", "None"), ("good", "2013-01-07")]
     assert table.filter("status = 'bad' AND day IS NULL").count() == 1
+
+
+def test_measurements_from_frame(spark):
+    from pyspark.sql import types as T
+
+    from fleetlens import operators as ops
+    from fleetlens.sources import measurements_from_frame
+
+    # the reference DataFrame jobs' schema: 32-bit floats for the coordinates
+    float_schema = T.StructType(
+        [
+            T.StructField(f.name, T.FloatType() if f.name in ("longitude", "latitude")
+                          else f.dataType, True)
+            for f in TYPED_SCHEMA.fields[:10]
+        ]
+    )
+    rows = [
+        ("2013-01-07 08:00:00", 1, "A", 1, -6.25, 53.35, 10, 33145, 279, 0),
+        ("2013-01-07 08:10:00", 1, "A", 0, -6.25, 53.35, 10, 33145, 279, 0),
+    ]
+    m = measurements_from_frame(spark.createDataFrame(rows, float_schema))
+    assert m.schema == TYPED_SCHEMA
+    assert [tuple(r) for r in ops.congestion_by_hour(m, hours=["08"]).collect()] == [
+        ("08", 50.0, 2, 1)
+    ]
