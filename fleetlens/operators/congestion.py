@@ -2,7 +2,7 @@
 
 Plan shape: one scan -> filter -> hash aggregate on the hour (partial aggregate in every map
 task, so at most 24 rows per task reach the shuffle whatever the data size or skew) ->
-ratio -> sort of at most 24 rows. The total and congested counts come from the same pass
+ratio -> sort of at most 24 rows in one partition. The total and congested counts come from the same pass
 (``count`` beside ``count_if``) instead of two filtered branches joined back together.
 """
 
@@ -54,6 +54,8 @@ def congestion_by_hour(
     )
     t = F.col("numMeasurements")
     c = F.col("congestionMeasurements")
+    # At most 24 result rows (one per hour of day): a single partition orders them without
+    # the sampling job a range-partitioned global sort needs.
     return (
         per_hour.filter(c > 0)
         .select(
@@ -62,7 +64,8 @@ def congestion_by_hour(
             t,
             c,
         )
-        .orderBy(F.col("percentage").desc(), F.col("hour").asc())
+        .repartition(1)
+        .sortWithinPartitions(F.col("percentage").desc(), F.col("hour").asc())
     )
 
 

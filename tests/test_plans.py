@@ -26,7 +26,8 @@ def test_q1_single_scan_single_aggregate_shuffle(spark):
     df = Q["congestion_by_hour"](spark, SF_SMALL)
     assert scan_count(df) == 1
     text = plan_string(df)
-    # one hash exchange for the hour aggregate + one range exchange for the final order
+    # one hash exchange for the hour aggregate + one single-partition exchange (<= 24 rows)
+    # for the final order
     assert len(re.findall(r"Exchange \(\d+\)", text.split("\n\n")[0])) == 2
     assert "partial_count" in text
 
