@@ -13,6 +13,12 @@ Plan, built for a stop that may hold a third of all rows:
    are the same subplan, so the executed plan reads the input once (ReusedExchange).
 
 No driver round trip for the maximum and no single-partition window.
+
+Lists are built for every stop, not only for the winners. Tried and measured: joining the
+pairs with the winners first (semi or inner join) makes the executed plan read the input a
+second time, because the optimizer rewrites the branches so their exchanges no longer match.
+One extra scan of the input costs more than lists whose total size equals the deduplicated
+pairs already shuffled in step 1.
 """
 
 from __future__ import annotations
