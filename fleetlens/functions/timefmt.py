@@ -15,13 +15,22 @@ _PY_INSTANT = "%Y-%m-%d %H:%M:%S"
 _PY_DAY = "%Y-%m-%d"
 
 
-def parse_instant(text: str) -> _dt.datetime:
-    """Validate a ``yyyy-MM-dd HH:mm:ss`` parameter (raises ValueError on a bad one)."""
+def parse_instant(text: str | _dt.datetime) -> _dt.datetime:
+    """Validate a ``yyyy-MM-dd HH:mm:ss`` parameter (raises ValueError on a bad one).
+
+    A ``datetime`` is taken as wall-clock time (any tzinfo and sub-second part ignored).
+    """
+    if isinstance(text, _dt.datetime):
+        return text.replace(tzinfo=None, microsecond=0)
     return _dt.datetime.strptime(text, _PY_INSTANT)
 
 
-def parse_day(text: str) -> _dt.date:
-    """Validate a ``yyyy-MM-dd`` parameter."""
+def parse_day(text: str | _dt.date) -> _dt.date:
+    """Validate a ``yyyy-MM-dd`` parameter; a ``date`` is taken as it is."""
+    if isinstance(text, _dt.datetime):
+        return text.date()
+    if isinstance(text, _dt.date):
+        return text
     return _dt.datetime.strptime(text, _PY_DAY).date()
 
 
@@ -34,7 +43,7 @@ def date_literal(value: _dt.date) -> Column:
     return F.expr(f"DATE '{value.isoformat()}'")
 
 
-def window_bounds(start: str, seconds: int) -> tuple[_dt.datetime, _dt.datetime]:
+def window_bounds(start: str | _dt.datetime, seconds: int) -> tuple[_dt.datetime, _dt.datetime]:
     """``[start, start + seconds]`` as wall-clock instants (no time zone: no DST jumps)."""
     lo = parse_instant(start)
     return lo, lo + _dt.timedelta(seconds=int(seconds))

@@ -59,3 +59,12 @@ def test_checkpoint_fallback_when_unset(tmp_path):
     )
     assert out.returncode == 0, out.stderr[-2000:]
     assert out.stdout.strip().endswith("3")
+
+
+def test_parameters_accept_date_objects():
+    import datetime as dt
+
+    assert parse_day(dt.date(2013, 1, 2)) == dt.date(2013, 1, 2)
+    assert parse_day(dt.datetime(2013, 1, 2, 8, 0)) == dt.date(2013, 1, 2)
+    lo, hi = window_bounds(dt.datetime(2013, 1, 7, 6, 30, 0, 500), 60)
+    assert (lo, hi) == (dt.datetime(2013, 1, 7, 6, 30), dt.datetime(2013, 1, 7, 6, 31))
