@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetlens.schema import MEASUREMENT_COLUMNS, MEASUREMENTS_SCHEMA, TYPED_SCHEMA
 
@@ -18,7 +19,16 @@ def measurements_from_frame(df: DataFrame) -> DataFrame:
     missing = [c for c in MEASUREMENT_COLUMNS if c not in df.columns]
     if missing:
         raise ValueError(f"missing report fields: {missing}")
-    typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in MEASUREMENTS_SCHEMA.fields]
+    source_types = {f.name: f.dataType for f in df.schema.fields}
+    typed = []
+    for f in MEASUREMENTS_SCHEMA.fields:
+        col = F.col(f.name)
+        if isinstance(source_types[f.name], T.FloatType):
+            # Widen a 32-bit coordinate through its shortest decimal text: 53.35f becomes
+            # 53.35, not 53.349998474121094. Values with more digits than a float holds (the
+            # 8-digit box corners) are already lost; read the source as DOUBLE to keep them.
+            col = col.cast("string")
+        typed.append(col.cast(f.dataType).alias(f.name))
     ts = F.col("date").cast("string").try_cast("timestamp_ntz")
     return df.select(*typed, ts.alias("ts"), F.to_date(ts).alias("day")).select(
         *TYPED_SCHEMA.fieldNames()

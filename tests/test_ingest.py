@@ -167,6 +167,8 @@ def test_measurements_from_frame(spark):
     ]
     m = measurements_from_frame(spark.createDataFrame(rows, float_schema))
     assert m.schema == TYPED_SCHEMA
+    # floats are widened through their decimal text: 53.35f -> 53.35, not 53.3499984...
+    assert {(r.longitude, r.latitude) for r in m.collect()} == {(-6.25, 53.35)}
     assert [tuple(r) for r in ops.congestion_by_hour(m, hours=["08"]).collect()] == [
         ("08", 50.0, 2, 1)
     ]
