@@ -52,3 +52,15 @@ def test_cli_ingest_then_store(spark, tmp_path, capsys):
          spark=spark)
     rows = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     assert rows == [(1, 7.0), (2, 4.0), (4, 0.0)]
+
+
+def test_cli_arrivals_by_delay(spark, tmp_path, capsys):
+    src = _csv(tmp_path, "q2b", FX_Q2)
+    args = ["arrivals-by-delay", "--input", src, "--vehicle", "33145", "--day", "2013-01-02"]
+    assert main(args, spark=spark) == 0
+    assert capsys.readouterr().out.strip().split("\n")[1:] == [
+        "1\t279\t08:00:00\t1",
+        "1\t279\t08:00:20\t0",
+        "1\t500\t08:05:00\t0",
+        "2\t-1\t08:10:00\t1",
+    ]
