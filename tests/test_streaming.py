@@ -38,3 +38,22 @@ def test_stream_ingest_incremental(spark, tmp_path):
     out = ops.congestion_by_hour(good, hours=["08"])
     # two reports at 08 in the box (one congested); the malformed file adds none at 08
     assert [tuple(r) for r in out.collect()] == [("08", 50.0, 2, 1)]
+
+
+def test_stream_ingest_continuous_trigger(spark, tmp_path):
+    src = tmp_path / "landing"
+    src.mkdir()
+    (src / "a.csv").write_text(MORE.strip() + "\n")
+    dest = shared_dir(spark, "stream-store-cont")
+    q = start_ingest_stream(
+        spark, str(src), dest, available_now=False, processing_time="1 second",
+        max_files_per_trigger=1,
+    )
+    try:
+        q.processAllAvailable()
+        (src / "b.csv").write_text(MALFORMED.strip() + "\n")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    good, bad = read_ingested(spark, dest)
+    assert (good.count(), bad.count()) == (3, 5)
