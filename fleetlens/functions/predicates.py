@@ -82,10 +82,15 @@ def in_window(ts: Column, start: str, seconds: int, day_col: Column | None = Non
     end; for a sub-second ``ts`` it keeps exactly the reports whose ``date`` text is inside
     (12:30:00.5 prints as 12:30:00). Both sides stay plain comparisons on ``ts``.
     """
-    lo, hi = window_bounds(start, seconds)
-    cond = (ts >= ntz_literal(lo)) & (ts < ntz_literal(hi + _dt.timedelta(seconds=1)))
+    lo, _ = window_bounds(start, seconds)  # validates the parameters
+    start_lit = ntz_literal(lo)
+    # The end stays an expression (start + INTERVAL n SECONDS); Catalyst folds it to a literal
+    # before planning, so it still reaches the scan as a pushed filter.
+    end = start_lit + F.make_dt_interval(secs=F.lit(int(seconds)))
+    end_excl = start_lit + F.make_dt_interval(secs=F.lit(int(seconds) + 1))
+    cond = (ts >= start_lit) & (ts < end_excl)
     if day_col is not None:
-        cond = day_col.between(date_literal(lo.date()), date_literal(hi.date())) & cond
+        cond = day_col.between(date_literal(lo.date()), F.to_date(end)) & cond
     return cond
 
 
