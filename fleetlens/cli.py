@@ -29,7 +29,7 @@ from fleetlens.operators.congestion import (
     DEFAULT_WEST,
 )
 from fleetlens.operators.occupancy import DEFAULT_HORIZON_SECONDS, DEFAULT_START
-from fleetlens.operators.timetable import DEFAULT_DELAY_LIMIT
+from fleetlens.operators.timetable import DEFAULT_DAY, DEFAULT_DELAY_LIMIT, DEFAULT_VEHICLE
 from fleetlens.session import get_session
 from fleetlens.sources import (
     ingest_csv_to_store,
@@ -62,8 +62,8 @@ def _parser() -> argparse.ArgumentParser:
     ):
         a = sub.add_parser(name, help=helptext)
         common(a)
-        a.add_argument("--vehicle", type=int, required=True)
-        a.add_argument("--day", required=True, help="yyyy-MM-dd")
+        a.add_argument("--vehicle", type=int, default=DEFAULT_VEHICLE)
+        a.add_argument("--day", default=DEFAULT_DAY, help="yyyy-MM-dd")
         a.add_argument("--delay-limit", type=int, default=DEFAULT_DELAY_LIMIT)
 
     b = sub.add_parser("busiest-stops", help="Q3: stops with the most distinct vehicles")

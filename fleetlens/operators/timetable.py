@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from fleetlens.functions import flag_set, on_day, on_time, time_of_day
 from fleetlens.operators._checks import require_columns
 
-# The reference's default delay limit (seconds).
+# The reference's default vehicle, day and delay limit (seconds).
+DEFAULT_VEHICLE = 33145
+DEFAULT_DAY = "2013-01-02"
 DEFAULT_DELAY_LIMIT = 60
 
 # Row order inside a group: the second-resolution time text, then the other varying fields
@@ -33,7 +35,10 @@ def _vehicle_day_at_stop(m: DataFrame, vehicle_id: int, day: str) -> DataFrame:
 
 
 def first_arrivals(
-    m: DataFrame, vehicle_id: int, day: str, delay_limit: int = DEFAULT_DELAY_LIMIT
+    m: DataFrame,
+    vehicle_id: int = DEFAULT_VEHICLE,
+    day: str = DEFAULT_DAY,
+    delay_limit: int = DEFAULT_DELAY_LIMIT,
 ) -> DataFrame:
     """``(lineID, stationID, arrivalTime "HH:mm:ss", onTime 0/1)`` ordered by arrival."""
     first = (
@@ -50,7 +55,10 @@ def first_arrivals(
 
 
 def first_arrivals_by_delay(
-    m: DataFrame, vehicle_id: int, day: str, delay_limit: int = DEFAULT_DELAY_LIMIT
+    m: DataFrame,
+    vehicle_id: int = DEFAULT_VEHICLE,
+    day: str = DEFAULT_DAY,
+    delay_limit: int = DEFAULT_DELAY_LIMIT,
 ) -> DataFrame:
     """Q2b: the same, but one row per distinct delay of each (line, stop).
 

@@ -196,3 +196,8 @@ def test_operator_names_missing_columns(spark):
     raw = spark.createDataFrame([("2013-01-07 08:00:00", 1)], "date string, busLineID int")
     with pytest.raises(ValueError, match="measurements_from_frame"):
         ops.congestion_by_hour(raw)
+
+
+def test_q2_defaults_are_the_reference_parameters(spark):
+    m = measurements(spark, FX_Q2)
+    assert rows(ops.first_arrivals(m)) == rows(ops.first_arrivals(m, 33145, "2013-01-02", 60))
