@@ -71,6 +71,28 @@ def brute_q2(recs, vehicle, day, limit):
     return sorted(out, key=lambda x: (x[2], x[0], x[1]))
 
 
+def brute_q2b(recs, vehicle, day, limit):
+    first = {}
+    for r in recs:
+        if r[7] == vehicle and r[0][:10] == day and r[9] == 1:
+            key = (r[1], r[8], r[6])
+            first[key] = min(first.get(key, r[0]), r[0])
+    out = [
+        (line, stop, t[11:], 1 if -limit <= delay <= limit else 0, delay)
+        for (line, stop, delay), t in first.items()
+    ]
+    out.sort(key=lambda x: (x[2], x[0], x[1], x[4]))
+    return [x[:4] for x in out]
+
+
+def brute_j1(recs):
+    t, c = defaultdict(int), defaultdict(int)
+    for r in recs:
+        t[r[0][11:13]] += 1
+        c[r[0][11:13]] += r[3] == 1
+    return sorted((h, t[h], c[h]) for h in t if c[h] > 0)
+
+
 def brute_q3(recs, start, seconds):
     lo = dt.datetime.strptime(start, "%Y-%m-%d %H:%M:%S")
     hi = lo + dt.timedelta(seconds=seconds)
@@ -114,3 +136,7 @@ def test_operators_match_brute_force(spark, reports):
         (k, v) for k, v in brute_q3(recs, "2013-01-07 07:00:00", 5400)
     ]
     assert rows(ops.line_delay_average(m)) == brute_q5(recs)
+    assert rows(ops.first_arrivals_by_delay(m, 2, "2013-01-07", 60)) == brute_q2b(
+        recs, 2, "2013-01-07", 60
+    )
+    assert sorted(rows(ops.hourly_counts_joined(m))) == brute_j1(recs)
