@@ -140,3 +140,42 @@ def test_operators_match_brute_force(spark, reports):
         recs, 2, "2013-01-07", 60
     )
     assert sorted(rows(ops.hourly_counts_joined(m))) == brute_j1(recs)
+
+
+@settings(
+    max_examples=8,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
+)
+@given(st.lists(report, min_size=1, max_size=40))
+def test_selections_match_brute_force(spark, reports):
+    m = measurements(spark, "\n".join(_line(r) for r in reports))
+    recs = [_parsed(r) for r in reports]
+
+    def when(pred):
+        return [r for r in recs if pred(r)]
+
+    def dtime(r):
+        return dt.datetime.strptime(r[0], "%Y-%m-%d %H:%M:%S")
+
+    assert sorted(rows(ops.weekday_reports(m))) == sorted(
+        (r[0], r[7]) for r in when(lambda r: dtime(r).weekday() < 5)
+    )
+    assert sorted(rows(ops.hour_in_list(m, HOURS))) == sorted(
+        (r[0], r[0][11:13]) for r in when(lambda r: r[0][11:13] in HOURS)
+    )
+    assert sorted(rows(ops.in_box_reports(m, NORTH, EAST, SOUTH, WEST))) == sorted(
+        (r[0], r[4], r[5])
+        for r in when(lambda r: SOUTH <= r[5] <= NORTH and WEST <= r[4] <= EAST)
+    )
+    lo = dt.datetime(2013, 1, 7, 7, 0)
+    hi = lo + dt.timedelta(seconds=5400)
+    assert sorted(rows(ops.time_window(m, "2013-01-07 07:00:00", 5400))) == sorted(
+        (r[0], r[7]) for r in when(lambda r: lo <= dtime(r) <= hi)
+    )
+    assert sorted(rows(ops.vehicle_day(m, 2, "2013-01-07"))) == sorted(
+        (r[0], r[7], r[0][:10]) for r in when(lambda r: r[7] == 2 and r[0][:10] == "2013-01-07")
+    )
+    assert sorted(rows(ops.on_time_flag(m, 60))) == sorted(
+        (r[0], r[6], 1 if -60 <= r[6] <= 60 else 0) for r in recs
+    )
