@@ -179,3 +179,29 @@ def test_selections_match_brute_force(spark, reports):
     assert sorted(rows(ops.on_time_flag(m, 60))) == sorted(
         (r[0], r[6], 1 if -60 <= r[6] <= 60 else 0) for r in recs
     )
+
+
+@settings(
+    max_examples=5,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
+)
+@given(st.lists(report, min_size=1, max_size=30))
+def test_store_roundtrip_preserves_rows_and_answers(spark, tmp_path_factory, reports):
+    from fleetlens.session import shared_dir
+    from fleetlens.sources import ingest_csv_to_store, read_ingested
+
+    src = tmp_path_factory.mktemp("csv")
+    (src / "part.csv").write_text("\n".join(_line(r) for r in reports) + "\n")
+    direct = measurements(spark, "\n".join(_line(r) for r in reports))
+    dest = shared_dir(spark, "prop-store")
+    ingest_csv_to_store(spark, str(src), dest)
+    stored, bad = read_ingested(spark, dest)
+    assert bad.count() == 0
+    assert sorted(rows(stored)) == sorted(rows(direct))  # `date` re-derived exactly
+    for q in (
+        lambda x: ops.congestion_by_hour(x, NORTH, EAST, SOUTH, WEST, HOURS),
+        lambda x: ops.first_arrivals(x, 2, "2013-01-07", 60),
+        lambda x: ops.busiest_stops(x, "2013-01-07 07:00:00", 5400),
+    ):
+        assert rows(q(stored)) == rows(q(direct))
