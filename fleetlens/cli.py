@@ -78,6 +78,10 @@ def _parser() -> argparse.ArgumentParser:
     i = sub.add_parser("ingest", help="parse CSV once into the day-partitioned store")
     i.add_argument("--input", required=True)
     i.add_argument("--output", required=True)
+    i.add_argument(
+        "--rebalance", action="store_true",
+        help="shuffle by day before writing (input files that each span many days)",
+    )
     return p
 
 
@@ -91,7 +95,7 @@ def _measurements(spark: SparkSession, args) -> DataFrame:
 
 def build(spark: SparkSession, args) -> DataFrame | None:
     if args.command == "ingest":
-        ingest_csv_to_store(spark, args.input, args.output)
+        ingest_csv_to_store(spark, args.input, args.output, rebalance=args.rebalance)
         return None
     m = _measurements(spark, args)
     if args.command == "congestion":

@@ -57,13 +57,22 @@ CLUSTER_KEY = ["day", "vehicleID", "ts"]
 
 
 def write_measurements(
-    df: DataFrame, path: str, mode: str = "overwrite", cluster: bool = False
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    cluster: bool = False,
+    rebalance: bool = False,
 ) -> None:
     """Write typed measurements partitioned by ``day`` (``date`` is re-derived from ``ts``).
 
     ``cluster=False``: no shuffle; each task writes the days it holds (input files are
     normally time-ordered), so a hot day is never funnelled into a single task.
 
+    ``rebalance=True``: for input that is not time-ordered, where every task would write a
+    small file for every day it holds. A REBALANCE shuffle by day, which AQE splits for hot
+    days and coalesces for small ones (``spark.sql.adaptive.advisoryPartitionSizeInBytes``),
+    so each day gets a few files of the advisory size.
+
     ``cluster=True``: a one-off compaction. Rows are range-partitioned and sorted on
     (day, vehicleID, ts), so each file covers a narrow vehicle range and parquet min/max
     statistics let a vehicle filter (Q2) skip whole files and row groups. ``ts`` is part of
@@ -73,6 +82,8 @@ def write_measurements(
     out = df.select(*STORED_COLUMNS, "day")
     if cluster:
         out = out.repartitionByRange(*CLUSTER_KEY).sortWithinPartitions(*CLUSTER_KEY)
+    elif rebalance:
+        out = out.hint("rebalance", "day")
     _writer(out, mode).partitionBy("day").parquet(path)
 
 
@@ -101,13 +112,24 @@ def store_rows(parsed: DataFrame) -> DataFrame:
 
 
 def ingest_csv_to_store(
-    spark: SparkSession, src: str | list[str], dest: str, mode: str = "overwrite"
+    spark: SparkSession,
+    src: str | list[str],
+    dest: str,
+    mode: str = "overwrite",
+    rebalance: bool = False,
 ) -> None:
-    """Parse CSV text once; write good rows (by day) and bad rows side by side."""
+    """Parse CSV text once; write good rows (by day) and bad rows side by side.
+
+    ``rebalance`` as in :func:`write_measurements` (off: one pass, no shuffle, right for
+    landing files that each cover a short time span).
+    """
     paths = [src] if isinstance(src, str) else list(src)
     # no filter downstream (status is a partition column): the pushdown barrier is not needed
     parsed = parse_lines(spark.read.text(paths), filter_barrier=False)
-    _writer(store_rows(parsed), mode).partitionBy("status", "day").parquet(dest)
+    rows = store_rows(parsed)
+    if rebalance:
+        rows = rows.hint("rebalance", "status", "day")
+    _writer(rows, mode).partitionBy("status", "day").parquet(dest)
 
 
 def read_ingested(spark: SparkSession, dest: str) -> Ingest:

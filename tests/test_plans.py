@@ -150,3 +150,17 @@ def test_no_cross_joins_or_global_windows(spark):
             ):
                 continue
             assert bad not in text, (name, bad)
+
+
+def test_rebalanced_store_write(spark):
+    import glob
+
+    m = measurements_from_events(spark, SF_SMALL)
+    path = shared_dir(spark, "rebalance-test")
+    # input spread over 8 tasks: without rebalancing every task would write every day
+    write_measurements(m.repartition(8), path, rebalance=True)
+    files = glob.glob(f"{path.replace('file:', '')}/day=*/*.parquet")
+    days = {f.split("/day=")[1].split("/")[0] for f in files}
+    assert len(files) == len(days)  # tiny data: one file per day
+    back = read_measurements(spark, path)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, m.collect()))
