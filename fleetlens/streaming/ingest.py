@@ -5,6 +5,11 @@ Same parse as the batch ingest (``parse_lines``) and the same layout as
 every operator work on its output unchanged. The parquet file sink commits each micro-batch
 through its metadata log and the checkpoint records which input files are done: a lost
 executor or a restarted driver re-runs the unfinished batch without duplicating rows.
+
+Each micro-batch adds its own files to the days it touches. Larger triggers
+(``max_files_per_trigger``, a longer ``processing_time``) mean fewer, bigger files; a stream
+that runs for long is compacted by rewriting it, e.g.
+``write_measurements(read_ingested(spark, dest).good, other_path, rebalance=True)``.
 """
 
 from __future__ import annotations
