@@ -27,17 +27,25 @@ def test_matches_duckdb(spark, con, name):
     assert ok, msg
 
 
-def test_expected_result_sizes(spark):
-    # FIXTURES.md section 1: Q1 / Q2 / Q2b / Q3 / Q5 result rows at sf0.01
-    sizes = {
-        "congestion_by_hour": 3,
-        "first_arrivals": 27,
-        "first_arrivals_by_delay": 30,
-        "busiest_stops": 1,
-        "line_delay_average": 7,
-    }
-    for name, n in sizes.items():
-        assert QUERIES[name](spark, SF_ORACLE).count() == n, name
+# FIXTURES.md section 1: Q1 / Q2 / Q2b / Q3 / Q5 result rows per scale factor
+EXPECTED_SIZES = {
+    "/root/testdata/sf0.001": (3, 2, 2, 1, 7),
+    "/root/testdata/sf0.01": (3, 27, 30, 1, 7),
+    "/root/testdata/sf0.1": (3, 76, 258, 10, 7),
+}
+SIZED = [
+    "congestion_by_hour",
+    "first_arrivals",
+    "first_arrivals_by_delay",
+    "busiest_stops",
+    "line_delay_average",
+]
+
+
+@pytest.mark.parametrize("sf_dir", sorted(EXPECTED_SIZES))
+def test_expected_result_sizes(spark, sf_dir):
+    got = tuple(QUERIES[name](spark, sf_dir).count() for name in SIZED)
+    assert got == EXPECTED_SIZES[sf_dir]
 
 
 def test_entry_smoke(spark):
