@@ -164,3 +164,34 @@ def test_rebalanced_store_write(spark):
     assert len(files) == len(days)  # tiny data: one file per day
     back = read_measurements(spark, path)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, m.collect()))
+
+
+def test_time_clustered_store_skips_files_for_a_window(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    m = measurements_from_events(spark, "/root/testdata/sf0.01").filter("day = DATE'2024-01-08'")
+    path = shared_dir(spark, "cluster-ts-test")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_measurements(m, path, cluster=("day", "ts"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = glob.glob(f"{path.replace('file:', '')}/day=2024-01-08/*.parquet")
+    import datetime as dt
+
+    lo, hi = dt.datetime(2024, 1, 8, 6, 30), dt.datetime(2024, 1, 8, 8, 30)
+    hit = 0
+    for f in files:
+        meta = pq.ParquetFile(f).metadata
+        col = [meta.schema.column(i).name for i in range(meta.num_columns)].index("ts")
+        st = [meta.row_group(g).column(col).statistics for g in range(meta.num_row_groups)]
+        hit += min(x.min for x in st) <= hi and max(x.max for x in st) >= lo
+    assert len(files) >= 8 and hit <= len(files) // 2
+    stored = read_measurements(spark, path)
+    assert sorted(map(tuple, ops.busiest_stops(stored, "2024-01-08 06:30:00", 7200).collect())) == sorted(
+        map(tuple, ops.busiest_stops(m, "2024-01-08 06:30:00", 7200).collect())
+    )
