@@ -6,9 +6,11 @@
     python -m fleetlens busiest-stops --input DIR --start "2013-01-07 06:30:00" --horizon 1800
     python -m fleetlens line-delay --input DIR [--absolute]
     python -m fleetlens ingest --input DIR --output STORE
+    python -m fleetlens compact --input STORE --output COMPACTED [--cluster vehicle|time|none]
 
 ``--source csv`` (default) parses CSV text strictly, ``--source csv-reader`` uses the schema
-reader, ``--source store`` reads a store written by ``ingest``. With ``--output`` the result is
+reader, ``--source store`` reads a store written by ``ingest`` and ``--source compacted`` one
+written by ``compact``. With ``--output`` the result is
 written as parquet by the executors; without it, rows are streamed to stdout one partition at
 a time (``toLocalIterator``), never collected whole.
 """
@@ -34,8 +36,10 @@ from fleetlens.session import get_session
 from fleetlens.sources import (
     ingest_csv_to_store,
     read_ingested,
+    read_measurements,
     read_measurements_csv,
     read_measurements_csv_reader,
+    write_measurements,
 )
 
 
@@ -45,7 +49,9 @@ def _parser() -> argparse.ArgumentParser:
 
     def common(sp):
         sp.add_argument("--input", required=True, help="CSV file/dir/glob, or a store dir")
-        sp.add_argument("--source", choices=["csv", "csv-reader", "store"], default="csv")
+        sp.add_argument(
+            "--source", choices=["csv", "csv-reader", "store", "compacted"], default="csv"
+        )
         sp.add_argument("--output", help="write the result here as parquet")
 
     c = sub.add_parser("congestion", help="Q1: congested share per weekday hour in a box")
@@ -82,12 +88,23 @@ def _parser() -> argparse.ArgumentParser:
         "--rebalance", action="store_true",
         help="shuffle by day before writing (input files that each span many days)",
     )
+
+    k = sub.add_parser("compact", help="rewrite a store's good rows in a query-friendly layout")
+    k.add_argument("--input", required=True, help="a store written by `ingest`")
+    k.add_argument("--output", required=True)
+    k.add_argument(
+        "--cluster", choices=["vehicle", "time", "none"], default="vehicle",
+        help="vehicle: (day, vehicleID, ts) for vehicle lookups; time: (day, ts) for windows",
+    )
+    k.add_argument("--rebalance", action="store_true", help="with --cluster none")
     return p
 
 
 def _measurements(spark: SparkSession, args) -> DataFrame:
     if args.source == "store":
         return read_ingested(spark, args.input).good
+    if args.source == "compacted":
+        return read_measurements(spark, args.input)
     if args.source == "csv-reader":
         return read_measurements_csv_reader(spark, args.input)
     return read_measurements_csv(spark, args.input).good
@@ -97,6 +114,11 @@ def build(spark: SparkSession, args) -> DataFrame | None:
     if args.command == "ingest":
         ingest_csv_to_store(spark, args.input, args.output, rebalance=args.rebalance)
         return None
+    if args.command == "compact":
+        cluster = {"vehicle": True, "time": ("day", "ts"), "none": False}[args.cluster]
+        good = read_ingested(spark, args.input).good
+        write_measurements(good, args.output, cluster=cluster, rebalance=args.rebalance)
+        return None
     m = _measurements(spark, args)
     if args.command == "congestion":
         return ops.congestion_by_hour(m, args.north, args.east, args.south, args.west, args.hours)

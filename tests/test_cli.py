@@ -64,3 +64,17 @@ def test_cli_arrivals_by_delay(spark, tmp_path, capsys):
         "1\t500\t08:05:00\t0",
         "2\t-1\t08:10:00\t1",
     ]
+
+
+def test_cli_compact_then_query(spark, tmp_path, capsys):
+    src = _csv(tmp_path, "q2c", FX_Q2)
+    store = shared_dir(spark, "cli-compact-src")
+    out = shared_dir(spark, "cli-compact-out")
+    assert main(["ingest", "--input", src, "--output", store], spark=spark) == 0
+    assert main(["compact", "--input", store, "--output", out, "--cluster", "time"], spark=spark) == 0
+    main(["arrivals", "--input", out, "--source", "compacted"], spark=spark)
+    assert capsys.readouterr().out.strip().split("\n")[1:] == [
+        "1\t279\t08:00:00\t1",
+        "1\t500\t08:05:00\t0",
+        "2\t-1\t08:10:00\t1",
+    ]
