@@ -54,7 +54,7 @@ def _writer(df: DataFrame, mode: str):
     return df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
 
 
-# Fixed value: the store's clustering key (day first: it is also the partition column).
+# Fixed value: the default clustering key (day first: it is also the partition column).
 CLUSTER_KEY = ["day", "vehicleID", "ts"]
 
 
