@@ -201,3 +201,19 @@ def test_operator_names_missing_columns(spark):
 def test_q2_defaults_are_the_reference_parameters(spark):
     m = measurements(spark, FX_Q2)
     assert rows(ops.first_arrivals(m)) == rows(ops.first_arrivals(m, 33145, "2013-01-02", 60))
+
+
+def test_edge_parameters(spark):
+    m1 = measurements(spark, FX_Q1)
+    # north below south: an empty box, nothing selected
+    assert rows(ops.congestion_by_hour(m1, north=53.0, south=54.0)) == []
+    # duplicate hours behave like one
+    assert rows(ops.congestion_by_hour(m1, hours=["08", "08"])) == [("08", 33.33, 3, 1)]
+    m3 = measurements(spark, FX_Q3)
+    # a negative horizon ends before it starts: empty, as in the reference
+    assert rows(ops.busiest_stops(m3, "2013-01-07 07:00:00", -60)) == []
+    # a zero horizon keeps exactly the reports at the start second
+    assert rows(ops.busiest_stops(m3, "2013-01-07 06:30:00", 0)) == [(279, [33145])]
+    m2 = measurements(spark, FX_Q2)
+    # a day with no reports for the vehicle
+    assert rows(ops.first_arrivals(m2, 33145, "2013-01-05", 60)) == []
