@@ -38,6 +38,7 @@ SPARK_TO_DUCK = {
     "int": "INTEGER",
     "bigint": "BIGINT",
     "double": "DOUBLE",
+    "boolean": "BOOLEAN",
     "array<int>": "INTEGER[]",
 }
 

@@ -6,10 +6,8 @@ import pytest
 from conftest import SF_ORACLE
 from differential import compare, duck
 
-from __spark_entry__ import oracle_sql, queries
-
-QUERIES = queries()
-ORACLE = oracle_sql()
+from fleetlens.plans.registry import ORACLE_SQL as ORACLE
+from fleetlens.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
