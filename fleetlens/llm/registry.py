@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from fleetlens.llm import quality_rules, simhash_gph
+from fleetlens.llm import packing, quality_rules, simhash_gph
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
+    "op5_packing": packing.query,
     "op10_simhash": simhash_gph.query,
 }
 
