@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from fleetlens.llm import packing, quality_rules, simhash_gph
+from fleetlens.llm import packing, quality_rules, simhash_gph, toxicity_knn
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
     "op5_packing": packing.query,
+    "op6_toxicity": toxicity_knn.query,
     "op10_simhash": simhash_gph.query,
 }
 
