@@ -60,6 +60,7 @@ def test_edge_rows(spark):
     [
         "It's  WE'LL nbsp em \x1c fs <|endoftext|> <|startoftext|>x ｆｕｌｌ é ́lone",
         "İstanbul ΣΑΣ ß Ǆ ½ ² ٣ 12a3 ,.!? don't'S 'tis a'b 're",
+        "THE!! the&&& don't, don', x<|endoftext|>. İ, क़, é, é. …, a…, ½. Σ? <|STARTOFTEXT|>! É!",
         "x" * 5000 + " ‍​ \x85 \x00 end",
     ],
 )
