@@ -21,6 +21,7 @@ table gives an empty ledger.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,25 +30,15 @@ from pyspark.sql import functions as F
 from fleetlens.llm.common import NOT_WS, let, table, words_of
 
 SYMBOLS = "[#*$%&|<>]"
-MEASURES = (
-    "n_words",
-    "word_chars",
-    "n_symbols",
-    "n_lines",
-    "n_dup_lines",
-    "n_repeat_words",
-    "n_upper",
-    "n_lower",
-)
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``fails`` is a SQL predicate over the measurements."""
+    """``fails`` is a predicate over a struct of the measurements."""
 
     bit: int
     name: str
-    fails: str
+    fails: Callable[[Column], Column]
 
 
 @dataclass(frozen=True)
@@ -57,12 +48,16 @@ class Policy:
 
 
 RULES = (
-    Rule(0, "short", "n_words < 50"),
-    Rule(1, "repeats", "100 * n_repeat_words > 50 * n_words"),
-    Rule(2, "symbols", "100 * n_symbols > 30 * n_words"),
-    Rule(3, "shouting", "n_upper > n_lower"),
-    Rule(4, "dup_lines", "100 * n_dup_lines > 50 * n_lines"),
-    Rule(5, "word_length", "word_chars > 15 * n_words OR word_chars < 2 * n_words"),
+    Rule(0, "short", lambda m: m["n_words"] < 50),
+    Rule(1, "repeats", lambda m: 100 * m["n_repeat_words"] > 50 * m["n_words"]),
+    Rule(2, "symbols", lambda m: 100 * m["n_symbols"] > 30 * m["n_words"]),
+    Rule(3, "shouting", lambda m: m["n_upper"] > m["n_lower"]),
+    Rule(4, "dup_lines", lambda m: 100 * m["n_dup_lines"] > 50 * m["n_lines"]),
+    Rule(
+        5,
+        "word_length",
+        lambda m: (m["word_chars"] > 15 * m["n_words"]) | (m["word_chars"] < 2 * m["n_words"]),
+    ),
 )
 POLICIES = {
     p.version: p
@@ -144,18 +139,18 @@ def _measures(text: Column) -> Column:
     return let(words_of(text), lambda w: let(lines, lambda ls: of_words(w, t, ls)))
 
 
-def _fail_bits(rules: tuple[Rule, ...]) -> Column:
-    bits = [F.when(F.expr(r.fails), F.lit(1 << r.bit)).otherwise(F.lit(0)) for r in rules]
+def _fail_bits(measures: Column, rules: tuple[Rule, ...]) -> Column:
     out = F.lit(0).cast("long")
-    for b in bits:
-        out = out.bitwiseOR(b.cast("long"))
+    for r in rules:
+        bit = F.when(r.fails(measures), F.lit(1 << r.bit)).otherwise(F.lit(0))
+        out = out.bitwiseOR(bit.cast("long"))
     return out
 
 
 def ledger(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``doc_id``, the measurements, and ``fail_bits`` (bit b set: rule b fails)."""
     measured = docs.select("doc_id", _measures(F.col("text")).alias("m"))
-    return measured.select("doc_id", "m.*").withColumn("fail_bits", _fail_bits(rules))
+    return measured.select("doc_id", "m.*", _fail_bits(F.col("m"), rules).alias("fail_bits"))
 
 
 def kept_by(policy: Policy, fail_bits: Column) -> Column:
@@ -198,24 +193,13 @@ def ablate(led: DataFrame, policy: Policy, rules: tuple[Rule, ...] = RULES) -> D
     )
 
 
-def filter_documents(docs: DataFrame, policy: Policy) -> DataFrame:
+def filter_documents(
+    docs: DataFrame, policy: Policy, rules: tuple[Rule, ...] = RULES
+) -> DataFrame:
     """The documents that the policy keeps, with all of their columns."""
-    led = _measures(F.col("text"))
-    held = docs.withColumn("__rules_m", led)
-    fields = {r: r for r in MEASURES}
-    bits = F.lit(0).cast("long")
-    for r in RULES:
-        if r.name in policy.rules:
-            bits = bits.bitwiseOR(_failed_on("__rules_m", r, fields))
-    return held.filter(bits == 0).drop("__rules_m")
-
-
-def _failed_on(column: str, rule: Rule, fields: dict[str, str]) -> Column:
-    """One rule's bit, its predicate read from the struct ``column``."""
-    text = rule.fails
-    for f in fields:
-        text = text.replace(f, f"{column}.{f}")
-    return F.when(F.expr(text), F.lit(1 << rule.bit).cast("long")).otherwise(F.lit(0).cast("long"))
+    measured = docs.withColumn("__measures", _measures(F.col("text")))
+    bits = _fail_bits(F.col("__measures"), rules)
+    return measured.filter(kept_by(policy, bits)).drop("__measures")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.llm.common import materialise, table
@@ -384,21 +384,19 @@ def keep_one(
         F.coalesce("root", "fp").alias("root"), "best"
     )
     keepers = best.groupBy("root").agg(F.min("best").alias("k"))
+    key = F.coalesce(F.col("k.doc_id"), F.lit(0))  # the hash tells a null from a 0
     keys = materialise(
-        keepers.select(F.col("k.doc_id").alias("__k_id"), F.col("k.row_hash").alias("__k_hash")),
+        keepers.select(F.col("k.row_hash").alias("__hash"), key.alias("__id")).distinct(),
         "simhash-keepers",
-    ).distinct()
-    first = Window.partitionBy("__k_id", "__k_hash").orderBy(F.lit(0))
-    held = docs.withColumn("__hash", row_hash).withColumn("__id", F.col("doc_id").cast("long"))
-    return (
-        held.join(
-            keys,
-            F.col("__id").eqNullSafe(F.col("__k_id")) & (F.col("__hash") == F.col("__k_hash")),
-        )
-        .withColumn("__row", F.row_number().over(first))
-        .filter("__row = 1")
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
+    held = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
+        row_hash.alias("__hash"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("__id"),
+    )
+    # the join leaves equal keys together and sorted, so the grouping moves nothing again
+    one = held.join(keys, ["__hash", "__id"]).groupBy("__hash", "__id")
+    return one.agg(F.first("__row").alias("__row")).select("__row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
