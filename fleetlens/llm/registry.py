@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from fleetlens.llm import packing, pii_weak, quality_rules, simhash_gph, toxicity_knn
+from fleetlens.llm import (
+    fingerprint_cth,
+    packing,
+    pii_weak,
+    quality_rules,
+    simhash_gph,
+    toxicity_knn,
+)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
     "op5_packing": packing.query,
     "op6_toxicity": toxicity_knn.query,
     "op7_pii": pii_weak.query,
+    "op8_fingerprint": fingerprint_cth.query,
     "op10_simhash": simhash_gph.query,
 }
 
