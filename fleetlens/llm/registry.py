@@ -6,6 +6,7 @@ from fleetlens.llm import (
     fingerprint_cth,
     packing,
     pii_weak,
+    quality_bt,
     quality_rules,
     simhash_gph,
     toxicity_knn,
@@ -17,6 +18,7 @@ QUERIES = {
     "op6_toxicity": toxicity_knn.query,
     "op7_pii": pii_weak.query,
     "op8_fingerprint": fingerprint_cth.query,
+    "op9_quality": quality_bt.query,
     "op10_simhash": simhash_gph.query,
 }
 
