@@ -8,12 +8,14 @@ from fleetlens.llm import (
     pii_weak,
     quality_bt,
     quality_rules,
+    secrets_owners,
     simhash_gph,
     toxicity_knn,
 )
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
+    "op4_secrets": secrets_owners.query,
     "op5_packing": packing.query,
     "op6_toxicity": toxicity_knn.query,
     "op7_pii": pii_weak.query,
@@ -24,4 +26,5 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_quality_rules": quality_rules.ORACLE,
+    "op4_secrets": secrets_owners.ORACLE,
 }
