@@ -8,6 +8,7 @@ from fleetlens.llm import (
     pii_weak,
     quality_bt,
     quality_rules,
+    sampled_pieces,
     secrets_owners,
     simhash_gph,
     toxicity_knn,
@@ -15,6 +16,7 @@ from fleetlens.llm import (
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
+    "op2_sampled_pieces": sampled_pieces.query,
     "op4_secrets": secrets_owners.query,
     "op5_packing": packing.query,
     "op6_toxicity": toxicity_knn.query,
@@ -26,5 +28,6 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_quality_rules": quality_rules.ORACLE,
+    "op2_sampled_pieces": sampled_pieces.query,
     "op4_secrets": secrets_owners.ORACLE,
 }
