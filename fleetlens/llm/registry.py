@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from fleetlens.llm import (
     fingerprint_cth,
+    html_lstm,
     packing,
     pii_weak,
     quality_bt,
@@ -17,6 +18,7 @@ from fleetlens.llm import (
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
     "op2_sampled_pieces": sampled_pieces.query,
+    "op3_main_text": html_lstm.query,
     "op4_secrets": secrets_owners.query,
     "op5_packing": packing.query,
     "op6_toxicity": toxicity_knn.query,

@@ -1,0 +1,153 @@
+"""op3: the reader, the network's gradients, unseen layouts, and the pages by an independent rule."""
+
+from __future__ import annotations
+
+import html
+import random
+import re
+
+import numpy as np
+import pytest
+from conftest import SF_ORACLE, SF_SMALL
+
+from fleetlens.llm import html_lstm as h
+from fleetlens.llm.common import table
+from fleetlens.llm.html_blocks import blocks
+
+
+def plain_text(page):
+    """The article by the markup of the test pages: everything inside <article>."""
+    m = re.search(r"<article>(.*?)(?:</article>|\Z)", page or "", re.S)
+    if not m:
+        return ""
+    body = re.sub(r"<[^>]*\Z", "", m[1])
+    parts = re.split(r"</?(?:p|h1|div)[^>]*>", body)
+    texts = [html.unescape(re.sub(r"<br>", " ", re.sub(r"</?b>", "", x))) for x in parts]
+    return "\n".join(filter(None, (" ".join(t.split()) for t in texts)))
+
+
+def texts(page):
+    return [b.text for b in blocks(page)]
+
+
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        (None, []),
+        ("", []),
+        ("just text &amp; more", ["just text & more"]),
+        ("<p>a<p>b<b>c<br>d</p>e", ["a", "bc d", "e"]),
+        ("<ul><li>1<li>2</ul><td>x<td>y", ["1", "2", "x", "y"]),
+        ('<script>var t="</p>";</script>a<style>p{}</style><!-- <p>no --> b', ["a b"]),
+        ("<head><title>t</title><body>&lt;p&gt;&#233;&nbsp;&copy;", ["<p>é ©"]),
+        ("a < b and c > d <3 x", ["a < b and c > d <3 x"]),
+        ('<a title="x>y" href=\'>\'>l</a> <p class="q', ["l"]),
+        ("<SCRIPT>x</script >y<textarea>z", ["y"]),
+        ("<div>a</section></div></p>b", ["a", "b"]),
+        ("<![CDATA[x]]><?php y ?><!doctype z>w", ["w"]),
+        ("x <!-- unclosed <p>y", ["x"]),
+    ],
+)
+def test_reader(page, expected):
+    assert texts(page) == expected
+
+
+def test_reader_knows_where_it_is():
+    own = blocks('<main id="thePost"><div class="ad-box left"><p>x <a href=1>yz</a></p></div>w')
+    assert own[0].tags == ("main", "div", "p")
+    assert own[0].names == ("the", "post", "ad", "box", "left") and own[0].link_chars == 2
+    assert own[1].tags == ("main",) and own[1].link_chars == 0
+
+
+def test_reader_is_linear_on_hostile_pages():
+    for page in ("<" * 100_000, "<a " * 50_000, '<p x="' * 30_000, "<div class=\"a b c\">" * 60_000 + "x", "&" * 100_000):
+        blocks(page)
+
+
+def test_gradients():
+    rng = np.random.default_rng(0)
+    net = h.Labeller(rng)
+    net.weights = [w.astype(np.float64) for w in net.weights]
+    lengths = [5, 3]
+    x, mask = h._padded([rng.standard_normal((n, h.WIDTH)).astype(np.float32) for n in lengths])
+    x, mask = x.astype(np.float64), mask.astype(np.float64)
+    y = (rng.random(mask.shape) < 0.5) * mask
+
+    def loss():
+        z = net.logits(x, mask)
+        return ((np.logaddexp(0, z) - y * z) * mask).sum() / mask.sum()
+
+    grads = net.gradients(x, mask, y)
+    for w, g in zip(net.weights, grads, strict=True):
+        for at in rng.integers(0, w.size, 6).tolist():
+            flat = w.reshape(-1)
+            old = flat[at]
+            flat[at] = old + 1e-5
+            up = loss()
+            flat[at] = old - 1e-5
+            down = loss()
+            flat[at] = old
+            assert abs((up - down) / 2e-5 - g.reshape(-1)[at]) < 1e-6
+
+
+@pytest.fixture(scope="module")
+def net(spark):
+    return h.learn(table(spark, SF_ORACLE, "pages"))
+
+
+def test_pages(spark, net):
+    pages = table(spark, SF_ORACLE, "pages")
+    rows = {r.page_id: r for r in h.extract(pages, net).collect()}
+    source = pages.collect()
+    assert len(rows) == len(source)
+    right = 0
+    for p in source:
+        r = rows[p.page_id]
+        assert r.n_chars == len(r.text) and r.url == p.url
+        right += r.text == plain_text(p.html)
+    assert right >= 0.99 * len(source)
+
+
+def test_unseen_layouts(net):
+    features = h.Features()
+    layouts = h.Layouts(["other prose, of the kind that pages have. " * 3, "and a short one."], random.Random(77))
+    examples = [e for e in (layouts.example(features) for _ in range(300)) if len(e[0])]
+    got = h.label(net, [x for x, _ in examples])
+    hits = sum(int((k == (y > 0)).sum()) for k, (_, y) in zip(got, examples, strict=True))
+    assert hits >= 0.97 * sum(len(y) for _, y in examples)
+
+
+def test_labels_do_not_depend_on_the_group(net):
+    features = h.Features()
+    layouts = h.Layouts(["words of a page that are read in any company."], random.Random(5))
+    xs = [x for x, _ in (layouts.example(features) for _ in range(60)) if len(x)]
+    together = h.label(net, xs)
+    for x, k in zip(xs, together, strict=True):
+        assert (h.label(net, [x])[0] == k).all()
+
+
+def test_query(spark):
+    rows = h.query(spark, SF_SMALL).collect()
+    assert len(rows) == 50 and {"page_id", "url", "text", "n_chars"} <= set(rows[0].asDict())
+
+
+def test_edge_rows(spark, net):
+    schema = "page_id long, url string, html string, text string, n_chars string"
+    long = "<article>" + "<p>" + "long words here, all of them. " * 20_000 + "</p></article>"
+    rows = [
+        (1, "u", None, "x", "y"),
+        (2, None, "", None, None),
+        (3, "u", "<nav></nav><script>x", "x", "y"),
+        (None, "u", "<article><p>Some words, of an article. And more of them.</p></article>", "", ""),
+        (5, "u", long, "", ""),
+        (5, "u", long, "", ""),
+        (6, "u", "<p>x" * 5000, "", ""),
+    ]
+    pages = spark.createDataFrame(rows, schema)
+    got = h.extract(pages, net).collect()
+    assert len(got) == 7
+    by = {r.page_id: r for r in got}
+    assert by[1].text == by[2].text == by[3].text == ""
+    assert by[5].text == " ".join(("long words here, all of them. " * 20_000).split())
+    empty = spark.createDataFrame([], schema)
+    assert h.extract(empty).count() == 0
