@@ -5,8 +5,9 @@
     python -m fleetlens arrivals --input DIR --vehicle 33145 --day 2013-01-02 --delay-limit 60
     python -m fleetlens busiest-stops --input DIR --start "2013-01-07 06:30:00" --horizon 1800
     python -m fleetlens line-delay --input DIR [--absolute]
-    python -m fleetlens ingest --input DIR --output STORE
+    python -m fleetlens ingest --input DIR --output STORE --batch 2013-01-07
     python -m fleetlens compact --input STORE --output COMPACTED [--cluster vehicle|time|none]
+        [--days 2013-01-07 2013-01-08]
 
 ``--source csv`` (default) parses CSV text strictly, ``--source csv-reader`` uses the schema
 reader, ``--source store`` reads a store written by ``ingest`` and ``--source compacted`` one
@@ -71,11 +72,15 @@ def _parser() -> argparse.ArgumentParser:
         a.add_argument("--vehicle", type=int, default=DEFAULT_VEHICLE)
         a.add_argument("--day", default=DEFAULT_DAY, help="yyyy-MM-dd")
         a.add_argument("--delay-limit", type=int, default=DEFAULT_DELAY_LIMIT)
+        a.add_argument(
+            "--exclude-no-stop", action="store_true", help="leave out reports near no stop"
+        )
 
     b = sub.add_parser("busiest-stops", help="Q3: stops with the most distinct vehicles")
     common(b)
     b.add_argument("--start", default=DEFAULT_START, help="yyyy-MM-dd HH:mm:ss")
     b.add_argument("--horizon", type=int, default=DEFAULT_HORIZON_SECONDS, help="seconds")
+    b.add_argument("--exclude-no-stop", action="store_true", help="leave out reports near no stop")
 
     d = sub.add_parser("line-delay", help="Q5: average delay per line at stops")
     common(d)
@@ -84,6 +89,10 @@ def _parser() -> argparse.ArgumentParser:
     i = sub.add_parser("ingest", help="parse CSV once into the day-partitioned store")
     i.add_argument("--input", required=True)
     i.add_argument("--output", required=True)
+    i.add_argument(
+        "--batch", required=True,
+        help="name of the landed batch; ingesting it again replaces its rows and no others",
+    )
     i.add_argument(
         "--rebalance", action="store_true",
         help="shuffle by day before writing (input files that each span many days)",
@@ -97,6 +106,9 @@ def _parser() -> argparse.ArgumentParser:
         help="vehicle: (day, vehicleID, ts) for vehicle lookups; time: (day, ts) for windows",
     )
     k.add_argument("--rebalance", action="store_true", help="with --cluster none")
+    k.add_argument(
+        "--days", nargs="+", help="rewrite these days (yyyy-MM-dd) only; others stay as they are"
+    )
     return p
 
 
@@ -112,22 +124,30 @@ def _measurements(spark: SparkSession, args) -> DataFrame:
 
 def build(spark: SparkSession, args) -> DataFrame | None:
     if args.command == "ingest":
-        ingest_csv_to_store(spark, args.input, args.output, rebalance=args.rebalance)
+        ingest_csv_to_store(
+            spark, args.input, args.output, batch=args.batch, rebalance=args.rebalance
+        )
         return None
     if args.command == "compact":
         cluster = {"vehicle": True, "time": ("day", "ts"), "none": False}[args.cluster]
         good = read_ingested(spark, args.input).good
-        write_measurements(good, args.output, cluster=cluster, rebalance=args.rebalance)
+        write_measurements(
+            good, args.output, cluster=cluster, rebalance=args.rebalance, days=args.days
+        )
         return None
     m = _measurements(spark, args)
     if args.command == "congestion":
         return ops.congestion_by_hour(m, args.north, args.east, args.south, args.west, args.hours)
     if args.command == "arrivals":
-        return ops.first_arrivals(m, args.vehicle, args.day, args.delay_limit)
+        return ops.first_arrivals(
+            m, args.vehicle, args.day, args.delay_limit, args.exclude_no_stop
+        )
     if args.command == "arrivals-by-delay":
-        return ops.first_arrivals_by_delay(m, args.vehicle, args.day, args.delay_limit)
+        return ops.first_arrivals_by_delay(
+            m, args.vehicle, args.day, args.delay_limit, args.exclude_no_stop
+        )
     if args.command == "busiest-stops":
-        return ops.busiest_stops(m, args.start, args.horizon)
+        return ops.busiest_stops(m, args.start, args.horizon, args.exclude_no_stop)
     if args.command == "line-delay":
         return ops.line_abs_delay_average(m) if args.absolute else ops.line_delay_average(m)
     raise ValueError(args.command)

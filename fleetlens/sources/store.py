@@ -1,27 +1,43 @@
-"""Parquet store for measurements, partitioned by ``day``.
+"""Parquet stores for measurements.
 
 At scale the CSV text is parsed once and written here; afterwards the day/window questions
 read only the directories of the days they ask for (PartitionFilters) and only the columns
 they use (ReadSchema), and the written table cuts the lineage back to the raw text, so a
 lost executor costs a re-read of parquet, not a re-parse.
 
+Two layouts:
+
+* an *ingest store* holds every line ever ingested, good and bad, keyed by where it came from::
+
+      dest/batches/batch=<id>/status=good|bad/day=.../      one landing batch (batch ingest)
+      dest/streams/<name>/status=good|bad/day=.../          one stream (its sink log beside)
+
+  A batch is written by a static overwrite of its own folder. Ingesting it again, corrected or
+  after a failure, replaces all of its rows and no others, whatever days they fall on; other
+  batches and streams are never touched.
+* a *measurements store* (``dest/day=.../``) is derived from it by compaction: good rows only,
+  whole days, optionally clustered.
+
 Ingest writes good and bad rows in a single pass: one ``status`` partition column, so the
 text is scanned exactly once and nothing is cached.
 
-The ``date`` text is not stored: it is ``ts`` rendered at second resolution (the ingest only
-accepts rows where the two agree exactly) and is derived again on read. Stored, it was about
-30% of the bytes.
+The ``date`` text is stored only where it is not ``ts`` rendered at second resolution (the
+strict sources make no such rows); it is derived again on read. Stored for every row, it was
+about 30% of the bytes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+import re
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetlens.functions.timefmt import instant_text
+from fleetlens.functions.timefmt import date_literal, instant_text, parse_day
 from fleetlens.schema import TYPED_SCHEMA
 from fleetlens.sources.csv_ingest import BAD_COLUMNS, Ingest, parse_lines
 
@@ -30,30 +46,69 @@ BAD = "bad"
 
 # The layouts written below, declared so reads skip schema inference (a Spark job per read)
 # and partition values get their types from here, not from guessing directory names.
-# Typed columns kept in the files: everything but the derived `date` and the partition `day`.
+# Typed columns kept in the files: everything but the partition `day`; `date` where it differs.
 STORED_COLUMNS = [c for c in TYPED_SCHEMA.fieldNames() if c not in ("date", "day")]
+_STORED_FIELDS = [f for f in TYPED_SCHEMA.fields if f.name in STORED_COLUMNS]
+_DAY = T.StructField("day", T.DateType(), True)
 MEASUREMENTS_STORE_SCHEMA = T.StructType(
-    [f for f in TYPED_SCHEMA.fields if f.name in STORED_COLUMNS]
-    + [T.StructField("day", T.DateType(), True)]
+    [*_STORED_FIELDS, T.StructField("date", T.StringType(), True), _DAY]
 )
 INGEST_STORE_SCHEMA = T.StructType(
-    [f for f in TYPED_SCHEMA.fields if f.name in STORED_COLUMNS]
-    + [
+    [
+        *_STORED_FIELDS,
         T.StructField("line", T.StringType(), True),
         T.StructField("reason", T.StringType(), True),
         T.StructField("status", T.StringType(), True),
-        T.StructField("day", T.DateType(), True),
+        _DAY,
     ]
 )
+_BATCHES_SCHEMA = T.StructType(
+    [*INGEST_STORE_SCHEMA.fields, T.StructField("batch", T.StringType(), True)]
+)
+
+# Clustered files aim at this size. A stored report takes some 24 bytes (measured on the driver
+# tables: 15 to 30 by codec and layout); the number of ranges follows from the rows.
+TARGET_FILE_BYTES = 256 * 1024 * 1024
+BYTES_PER_ROW = 24
+
+_BATCH_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
+
+
+# ---- folders ------------------------------------------------------------------------------
+
+
+def _path(spark: SparkSession, path: str):
+    """(Hadoop file system, path): works for any store that Spark can reach."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _path(spark, path)
+    return fs.exists(p)
 
 
-def _writer(df: DataFrame, mode: str):
-    # "overwrite" replaces only the partitions this write produces (dynamic overwrite): a
-    # re-run of one day's files replaces that day and leaves every other day in place, so
-    # daily ingest is idempotent and a failed run can simply be repeated.
-    return df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def batch_path(dest: str, batch: str) -> str:
+    if not _BATCH_ID.fullmatch(batch):
+        raise ValueError(f"a batch id has letters, digits, '.', '_' and '-' only: {batch!r}")
+    return f"{dest.rstrip('/')}/batches/batch={batch}"
+
+
+def stream_path(dest: str, name: str) -> str:
+    if not _BATCH_ID.fullmatch(name):
+        raise ValueError(f"a stream name has letters, digits, '.', '_' and '-' only: {name!r}")
+    return f"{dest.rstrip('/')}/streams/{name}"
+
+
+# ---- measurements store -------------------------------------------------------------------
+
 # Fixed value: the default clustering key (day first: it is also the partition column).
 CLUSTER_KEY = ["day", "vehicleID", "ts"]
 
@@ -64,8 +119,14 @@ def write_measurements(
     mode: str = "overwrite",
     cluster: bool | Sequence[str] = False,
     rebalance: bool = False,
+    days: Iterable[str] | None = None,
+    target_file_bytes: int = TARGET_FILE_BYTES,
 ) -> None:
-    """Write typed measurements partitioned by ``day`` (``date`` is re-derived from ``ts``).
+    """Write typed measurements partitioned by ``day``.
+
+    ``mode="overwrite"`` replaces the whole store. With ``days`` (``yyyy-MM-dd``) only rows of
+    those days are written and only those days' partitions are replaced: ``df`` has to hold all
+    rows of each (as a compaction from the ingest store does).
 
     ``cluster=False``: no shuffle; each task writes the days it holds (input files are
     normally time-ordered), so a hot day is never funnelled into a single task.
@@ -81,27 +142,39 @@ def write_measurements(
     the key so that one vehicle-day holding a large share of the rows is still cut into
     many ranges (a range partitioner cannot split a single key value). A workload of time
     windows (Q3) is better served by ``cluster=("day", "ts")``: row groups then cover short
-    time spans and a window skips the rest of the day.
+    time spans and a window skips the rest of the day. The number of ranges follows the input:
+    rows * ``BYTES_PER_ROW`` / ``target_file_bytes``, so a range fits one task at any scale.
     """
-    out = df.select(*STORED_COLUMNS, "day")
+    differs = ~F.col("date").eqNullSafe(instant_text(F.col("ts")))
+    out = df.select(*STORED_COLUMNS, F.when(differs, F.col("date")).alias("date"), "day")
+    if days is not None:
+        if mode != "overwrite":
+            raise ValueError("days are replaced: mode has to be 'overwrite'")
+        out = out.filter(F.col("day").isin([date_literal(parse_day(d)) for d in days]))
     if cluster:
         key = list(CLUSTER_KEY if cluster is True else cluster)
         if key[0] != "day":
             raise ValueError("a clustering key starts with the partition column 'day'")
-        out = out.repartitionByRange(*key).sortWithinPartitions(*key)
+        ranges = range_count(out.count(), target_file_bytes)
+        out = out.repartitionByRange(ranges, *key).sortWithinPartitions(*key)
     elif rebalance:
         out = out.hint("rebalance", "day")
-    _writer(out, mode).partitionBy("day").parquet(path)
+    overwrite = "static" if days is None else "dynamic"
+    writer = out.write.mode(mode).option("partitionOverwriteMode", overwrite)
+    writer.partitionBy("day").parquet(path)
 
 
-def _with_date(stored: DataFrame) -> DataFrame:
-    return stored.withColumn("date", instant_text(F.col("ts"))).select(
-        *TYPED_SCHEMA.fieldNames()
-    )
+def range_count(rows: int, target_file_bytes: int = TARGET_FILE_BYTES) -> int:
+    return max(1, math.ceil(rows * BYTES_PER_ROW / target_file_bytes))
 
 
 def read_measurements(spark: SparkSession, path: str) -> DataFrame:
-    return _with_date(spark.read.schema(MEASUREMENTS_STORE_SCHEMA).parquet(path))
+    stored = spark.read.schema(MEASUREMENTS_STORE_SCHEMA).parquet(path)
+    date = F.coalesce("date", instant_text(F.col("ts")))
+    return stored.withColumn("date", date).select(*TYPED_SCHEMA.fieldNames())
+
+
+# ---- ingest store -------------------------------------------------------------------------
 
 
 def store_rows(parsed: DataFrame) -> DataFrame:
@@ -122,26 +195,48 @@ def ingest_csv_to_store(
     spark: SparkSession,
     src: str | list[str],
     dest: str,
-    mode: str = "overwrite",
+    batch: str,
     rebalance: bool = False,
 ) -> None:
-    """Parse CSV text once; write good rows (by day) and bad rows side by side.
+    """Parse CSV text once; write its good and bad rows side by side as landing batch ``batch``.
+
+    ``batch`` names what was landed (a day's delivery, a file set). Ingesting a batch again
+    replaces exactly the rows it had before; nothing else in the store changes, even if its
+    rows fall on days of other batches.
 
     ``rebalance`` as in :func:`write_measurements` (off: one pass, no shuffle, right for
     landing files that each cover a short time span).
     """
+    path = batch_path(dest, batch)
     paths = [src] if isinstance(src, str) else list(src)
     # no filter downstream (status is a partition column): the pushdown barrier is not needed
     parsed = parse_lines(spark.read.text(paths), filter_barrier=False)
     rows = store_rows(parsed)
     if rebalance:
         rows = rows.hint("rebalance", "status", "day")
-    _writer(rows, mode).partitionBy("status", "day").parquet(dest)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("status", "day").parquet(path)
 
 
 def read_ingested(spark: SparkSession, dest: str) -> Ingest:
-    """(good, bad) from an ingest store; each side reads only its own partition."""
-    table = spark.read.schema(INGEST_STORE_SCHEMA).parquet(dest)
-    good = _with_date(table.filter(F.col("status") == GOOD))
+    """(good, bad) of all batches and streams; each side reads only its own partitions.
+
+    Streams are read one by one, each through its sink log, so the files of an unfinished
+    micro-batch are not seen.
+    """
+    root = dest.rstrip("/")
+    reader = spark.read.schema(INGEST_STORE_SCHEMA)
+    parts = [reader.parquet(stream_path(root, s)) for s in _folders(spark, f"{root}/streams")]
+    if folder_exists(spark, f"{root}/batches"):
+        parts.append(
+            spark.read.schema(_BATCHES_SCHEMA)
+            .parquet(f"{root}/batches")
+            .drop("batch")
+            .select(*INGEST_STORE_SCHEMA.fieldNames())
+        )
+    if not parts:
+        raise FileNotFoundError(f"no ingest store at {dest}")
+    table = reduce(DataFrame.unionByName, parts)
+    good = table.filter(F.col("status") == GOOD).withColumn("date", instant_text(F.col("ts")))
     bad = table.filter(F.col("status") == BAD).select(*BAD_COLUMNS)
-    return Ingest(good, bad)
+    return Ingest(good.select(*TYPED_SCHEMA.fieldNames()), bad)

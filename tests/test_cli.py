@@ -44,7 +44,7 @@ def test_cli_prints_results(spark, tmp_path, capsys):
 def test_cli_ingest_then_store(spark, tmp_path, capsys):
     src = _csv(tmp_path, "q5", FX_Q5)
     store = shared_dir(spark, "cli-store")
-    assert main(["ingest", "--input", src, "--output", store], spark=spark) == 0
+    assert main(["ingest", "--input", src, "--output", store, "--batch", "b1"], spark=spark) == 0
     main(["line-delay", "--input", store, "--source", "store"], spark=spark)
     assert capsys.readouterr().out.strip().split("\n")[1:] == ["1\t-7.0", "4\t0.0", "2\t4.0"]
     out = shared_dir(spark, "cli-out")
@@ -70,7 +70,7 @@ def test_cli_compact_then_query(spark, tmp_path, capsys):
     src = _csv(tmp_path, "q2c", FX_Q2)
     store = shared_dir(spark, "cli-compact-src")
     out = shared_dir(spark, "cli-compact-out")
-    assert main(["ingest", "--input", src, "--output", store], spark=spark) == 0
+    assert main(["ingest", "--input", src, "--output", store, "--batch", "b1"], spark=spark) == 0
     assert main(["compact", "--input", store, "--output", out, "--cluster", "time"], spark=spark) == 0
     main(["arrivals", "--input", out, "--source", "compacted"], spark=spark)
     assert capsys.readouterr().out.strip().split("\n")[1:] == [

@@ -195,7 +195,7 @@ def test_store_roundtrip_preserves_rows_and_answers(spark, tmp_path_factory, rep
     (src / "part.csv").write_text("\n".join(_line(r) for r in reports) + "\n")
     direct = measurements(spark, "\n".join(_line(r) for r in reports))
     dest = shared_dir(spark, "prop-store")
-    ingest_csv_to_store(spark, str(src), dest)
+    ingest_csv_to_store(spark, str(src), dest, batch="b1")
     stored, bad = read_ingested(spark, dest)
     assert bad.count() == 0
     assert sorted(rows(stored)) == sorted(rows(direct))  # `date` re-derived exactly

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import pytest
 from test_ingest import MALFORMED
 
 from fleetlens import operators as ops
 from fleetlens.session import shared_dir
-from fleetlens.sources import read_ingested
+from fleetlens.sources import ingest_csv_to_store, read_ingested
 from fleetlens.streaming import start_ingest_stream
 
 MORE = """
@@ -20,16 +21,15 @@ def test_stream_ingest_incremental(spark, tmp_path):
     src.mkdir()
     (src / "a.csv").write_text(MALFORMED.strip() + "\n")
     dest = shared_dir(spark, "stream-store")
-    ckpt = shared_dir(spark, "stream-ckpt")
 
-    q = start_ingest_stream(spark, str(src), dest, checkpoint=ckpt)
+    q = start_ingest_stream(spark, str(src), dest)
     q.awaitTermination(120)
     good, bad = read_ingested(spark, dest)
     assert (good.count(), bad.count()) == (1, 5)
 
-    # a new file: only it is processed on the next run (same checkpoint)
+    # a new file: only it is processed on the next run, which finds the checkpoint by itself
     (src / "b.csv").write_text(MORE.strip() + "\n")
-    q = start_ingest_stream(spark, str(src), dest, checkpoint=ckpt)
+    q = start_ingest_stream(spark, str(src), dest)
     q.awaitTermination(120)
     good, bad = read_ingested(spark, dest)
     assert (good.count(), bad.count()) == (3, 5)
@@ -57,3 +57,34 @@ def test_stream_ingest_continuous_trigger(spark, tmp_path):
         q.stop()
     good, bad = read_ingested(spark, dest)
     assert (good.count(), bad.count()) == (3, 5)
+
+
+def test_a_new_checkpoint_is_refused(spark, tmp_path):
+    src = tmp_path / "landing"
+    src.mkdir()
+    (src / "a.csv").write_text(MORE.strip() + "\n")
+    dest = shared_dir(spark, "stream-store-ckpt")
+    start_ingest_stream(spark, str(src), dest).awaitTermination(120)
+    with pytest.raises(ValueError, match="checkpoint"):
+        start_ingest_stream(spark, str(src), dest, checkpoint=shared_dir(spark, "other-ckpt"))
+    # another name is another stream
+    start_ingest_stream(spark, str(src), dest, name="second").awaitTermination(120)
+    assert read_ingested(spark, dest).good.count() == 4
+
+
+def test_batches_and_streams_share_a_store(spark, tmp_path):
+    src, more = tmp_path / "landing", tmp_path / "batch"
+    src.mkdir()
+    more.mkdir()
+    (src / "a.csv").write_text(MORE.strip() + "\n")
+    (more / "b.csv").write_text(MALFORMED.strip() + "\n")
+    dest = shared_dir(spark, "mixed-store")
+    ingest_csv_to_store(spark, str(more), dest, batch="b1")
+    start_ingest_stream(spark, str(src), dest).awaitTermination(120)
+    good, bad = read_ingested(spark, dest)
+    assert (good.count(), bad.count()) == (3, 5)
+    ingest_csv_to_store(spark, str(more), dest, batch="b2")
+    (src / "c.csv").write_text(MORE.strip() + "\n")
+    start_ingest_stream(spark, str(src), dest).awaitTermination(120)
+    good, bad = read_ingested(spark, dest)
+    assert (good.count(), bad.count()) == (6, 10)
