@@ -49,6 +49,16 @@ def window_bounds(start: str | _dt.datetime, seconds: int) -> tuple[_dt.datetime
     return lo, lo + _dt.timedelta(seconds=int(seconds))
 
 
+def strict_instant(text: Column) -> Column:
+    """``timestamp_ntz`` of a ``yyyy-MM-dd HH:mm:ss`` text, NULL for any other form.
+
+    The cast alone also accepts ``2013-1-7`` or a bare date. A whole-second ``timestamp_ntz``
+    casts back to exactly that form (no time zone involved), so the round trip is the check.
+    """
+    ts = text.cast("string").try_cast("timestamp_ntz")
+    return F.when(ts.cast("string") == text, ts)
+
+
 def instant_text(ts: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` text of a ``timestamp_ntz`` (fraction dropped, not rounded).
 

@@ -9,10 +9,14 @@ corrupt-record column: that column is filled only for the fields a query happens
 (column pruning), so the good/bad split would change with the projection. Here the verdict
 depends on every field, so it is the same whatever is selected afterwards.
 
-Numbers are read with ``try_cast``, which accepts what Python's ``int()``/``float()`` accept
-(surrounding spaces, signs, exponents, ``inf``/``nan``) except digit-group underscores,
-non-ASCII digits and integers beyond 32 bits (the columns are ``int``); such lines are
-reported as bad rather than raising.
+Numbers have the forms Python's ``int()``/``float()`` accept (surrounding spaces, signs,
+exponents, ``inf``/``nan``) except digit-group underscores, non-ASCII digits and integers
+beyond 32 bits (the columns are ``int``); such lines are reported as bad rather than raising.
+Spark's casts alone would also read Java's forms (``-6.25f``, ``53.35d``, ``0x1p3``), so the
+text is checked first.
+
+A row whose only fault is the form of its date is bad here, for every question. (A parser
+that never looks at that field would still count it in Q5, which uses no time.)
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlens.functions.timefmt import strict_instant
 from fleetlens.schema import MEASUREMENT_COLUMNS, TYPED_SCHEMA
 
 # Which fields are numeric and their types.
@@ -40,11 +45,19 @@ class Ingest(NamedTuple):
     bad: DataFrame
 
 
+# The decimal forms of int() and float(), in ASCII digits.
+_INT_FORM = r"^[+-]?[0-9]+$"
+_DOUBLE_FORM = r"(?i)^[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf|infinity|nan)$"
+
+
 def _typed_field(raw: Column, name: str) -> Column:
+    text = F.trim(raw, F.lit(_WHITESPACE))
     if name in _INT_FIELDS:
-        return raw.try_cast("int")
+        return F.when(text.rlike(_INT_FORM), text).try_cast("int")
     if name in _DOUBLE_FIELDS:
-        return raw.try_cast("double")
+        # Spark knows nan without a sign only; the sign of a nan says nothing
+        plain = F.when(F.lower(text).endswith("nan"), F.lit("nan")).otherwise(text)
+        return F.when(text.rlike(_DOUBLE_FORM), plain).try_cast("double")
     return raw
 
 
@@ -69,11 +82,8 @@ def parse_lines(
         for i, name in enumerate(MEASUREMENT_COLUMNS)
     ]
     staged = split.select("line", F.size(parts).alias("_n"), *fields)
-    staged = staged.withColumn("ts", F.col("date").try_cast("timestamp_ntz"))
-    # Strict format: the cast alone also accepts "2013-1-7" or a bare date. A whole-second
-    # timestamp_ntz casts back to exactly "yyyy-MM-dd HH:mm:ss" (no time zone involved).
-    date_ok = F.col("ts").isNotNull() & (F.col("ts").cast("string") == F.col("date"))
-    checks = [(F.col("_n") != 10, "field_count"), (~date_ok, "date")]
+    staged = staged.withColumn("ts", strict_instant(F.col("date")))
+    checks = [(F.col("_n") != 10, "field_count"), (F.col("ts").isNull(), "date")]
     for name in MEASUREMENT_COLUMNS:
         if name in _INT_FIELDS or name in _DOUBLE_FIELDS:
             checks.append((F.col(name).isNull(), name))
@@ -81,8 +91,7 @@ def parse_lines(
     for cond, label in reversed(checks):
         reason = F.when(cond, F.lit(label)).otherwise(reason)
     # A bad row is filed under the day its date field starts with when that prefix is a date
-    # (the hour-25 row still belongs to 2013-01-07), so re-ingesting a day's files replaces
-    # that day's bad rows too; only lines without a usable date prefix stay undated.
+    # (the hour-25 row still belongs to 2013-01-07); lines without one stay undated.
     day = F.coalesce(F.to_date("ts"), F.substring("date", 1, 10).try_cast("date"))
     parsed = staged.select(*TYPED_SCHEMA.fieldNames()[:-1], day.alias("day"),
                            "line", reason.alias("reason"))

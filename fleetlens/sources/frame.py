@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetlens.functions.timefmt import strict_instant
 from fleetlens.schema import MEASUREMENT_COLUMNS, MEASUREMENTS_SCHEMA, TYPED_SCHEMA
 
 
@@ -29,7 +30,7 @@ def measurements_from_frame(df: DataFrame) -> DataFrame:
             # 8-digit box corners) are already lost; read the source as DOUBLE to keep them.
             col = col.cast("string")
         typed.append(col.cast(f.dataType).alias(f.name))
-    ts = F.col("date").cast("string").try_cast("timestamp_ntz")
+    ts = strict_instant(F.col("date").cast("string"))
     return df.select(*typed, ts.alias("ts"), F.to_date(ts).alias("day")).select(
         *TYPED_SCHEMA.fieldNames()
     )

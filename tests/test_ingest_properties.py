@@ -21,6 +21,8 @@ int_text = st.one_of(
 float_text = st.one_of(
     st.floats(-1000, 1000, allow_nan=False).map(repr),
     st.sampled_from(["-6.25", " 53.35 ", "1e-3", ".5", "5.", "+1.5", "", "x", "1,5"]),
+    # Java's forms, which float() does not read, and its own special values
+    st.sampled_from(["-6.25f", "53.35d", "5F", "0x1p3", "1e", ".", "inf", "-Infinity", "5_"]),
 )
 date_text = st.one_of(
     st.datetimes(dt.datetime(2000, 1, 1), dt.datetime(2030, 12, 31)).map(
