@@ -5,20 +5,18 @@ Plan, built for a stop that may hold a third of all rows:
 
 1. ``distinct(stop, vehicle)`` - partial dedupe in every map task, then a shuffle keyed on
    the *pair*, so a hot stop is spread over as many tasks as it has vehicles.
-2. one aggregate per stop over the deduplicated pairs: the sorted list (its size is the count). A
-   list holds distinct vehicles only, so its length is bounded by the fleet, not by the
-   number of reports.
-3. the global maximum is a one-row aggregate of step 2, joined back by equality on the
-   count (a one-row broadcast: its size is fixed, not estimated). Both consumers of step 2
-   are the same subplan, so the executed plan reads the input once (ReusedExchange).
+2. the number of vehicles per stop over these pairs: partial counts, one row per stop and task.
+3. the global maximum is a one-row aggregate of step 2, joined back on the count (a one-row
+   broadcast: its size is fixed, not estimated); what is left are the winners.
+4. the pairs of step 1 meet the winners, and lists are built for those only. A list holds
+   distinct vehicles, so its length is bounded by the fleet, not by the number of reports.
 
-No driver round trip for the maximum and no single-partition window.
+The joins are null-safe: plain equality would make the optimizer add not-null filters to one
+side, whose exchanges would then differ from the other's. As it is the executed plan reads the
+input once and reuses the exchanges of steps 1 and 2. The winners are not hinted for
+broadcast, since every stop may tie; adaptive execution decides by their size.
 
-Lists are built for every stop, not only for the winners. Tried and measured: joining the
-pairs with the winners first (semi or inner join) makes the executed plan read the input a
-second time, because the optimizer rewrites the branches so their exchanges no longer match.
-One extra scan of the input costs more than lists whose total size equals the deduplicated
-pairs already shuffled in step 1.
+No driver round trip for the maximum and no single-partition window.
 """
 
 from __future__ import annotations
@@ -27,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions import flag_set, in_window
-from fleetlens.operators._checks import require_columns
+from fleetlens.operators._checks import require_columns, without_no_stop
 
 # The reference's default window.
 DEFAULT_START = "2013-01-07 06:30:00"
@@ -39,37 +37,39 @@ def _stop_vehicle_pairs(m: DataFrame) -> DataFrame:
     return m.select("closerStopID", "vehicleID").distinct()
 
 
-def _stops_at_max(counts: DataFrame, count_col: str) -> DataFrame:
-    top = counts.agg(F.max(count_col).alias(count_col))
-    return counts.join(F.broadcast(top), count_col, "inner")
+def _winners(pairs: DataFrame) -> DataFrame:
+    """``(_stop)``: the stops with the most vehicles (a NULL vehicle counts nowhere)."""
+    counts = pairs.groupBy("closerStopID").agg(F.count("vehicleID").alias("_n"))
+    top = counts.agg(F.max("_n").alias("_top"))
+    return counts.join(F.broadcast(top), F.col("_n").eqNullSafe(F.col("_top"))).select(
+        F.col("closerStopID").alias("_stop")
+    )
 
 
 def busiest_stops(
     m: DataFrame,
     current_time: str = DEFAULT_START,
     seconds_horizon: int = DEFAULT_HORIZON_SECONDS,
+    exclude_no_stop: bool = False,
 ) -> DataFrame:
     """``(stationID, sortedvehicleIDList array<int>)`` ordered by stationID.
 
     The window ``[current_time, current_time + seconds_horizon]`` is inclusive at both ends.
-    An empty window gives an empty result.
+    An empty window gives an empty result. ``exclude_no_stop`` leaves out reports with no stop
+    nearby, which otherwise compete as a stop of their own.
     """
     require_columns(m, "ts", "day", "atStop", "closerStopID", "vehicleID")
     kept = m.filter(
         in_window(F.col("ts"), current_time, seconds_horizon, F.col("day"))
         & flag_set(F.col("atStop"))
     )
-    # The count is the list's size (collect_list skips a NULL vehicle, which only the lenient
-    # CSV reader can produce, so it counts nowhere). Deriving it after the aggregate keeps
-    # both consumers of `per_stop` on the identical aggregate: its exchange is reused too.
-    per_stop = (
-        _stop_vehicle_pairs(kept)
+    if exclude_no_stop:
+        kept = without_no_stop(kept)
+    pairs = _stop_vehicle_pairs(kept)
+    return (
+        pairs.join(_winners(pairs), F.col("closerStopID").eqNullSafe(F.col("_stop")))
         .groupBy("closerStopID")
         .agg(F.sort_array(F.collect_list("vehicleID")).alias("sortedvehicleIDList"))
-        .withColumn("_n", F.size("sortedvehicleIDList"))
-    )
-    return (
-        _stops_at_max(per_stop, "_n")
         .select(F.col("closerStopID").alias("stationID"), "sortedvehicleIDList")
         .orderBy("stationID")
     )

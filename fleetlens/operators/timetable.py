@@ -13,25 +13,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions import flag_set, on_day, on_time, time_of_day
-from fleetlens.operators._checks import require_columns
+from fleetlens.functions.timefmt import instant_text
+from fleetlens.operators._checks import require_columns, without_no_stop
 
 # The reference's default vehicle, day and delay limit (seconds).
 DEFAULT_VEHICLE = 33145
 DEFAULT_DAY = "2013-01-02"
 DEFAULT_DELAY_LIMIT = 60
 
-# Row order inside a group: the second-resolution time text, then the other varying fields
-# in input order (line, vehicle, stop and atStop are constant inside a group).
-_ROW_ORDER = ["date", "busLinePatternID", "congestion", "longitude", "latitude", "delay"]
+# Row order inside a group: the second-resolution time, then the other varying fields in
+# input order (line, vehicle, stop and atStop are constant inside a group).
+_ROW_ORDER = ["busLinePatternID", "congestion", "longitude", "latitude", "delay"]
 
 
-def _vehicle_day_at_stop(m: DataFrame, vehicle_id: int, day: str) -> DataFrame:
-    require_columns(m, "ts", "day", "vehicleID", "atStop")
-    return m.filter(
+def _vehicle_day_at_stop(
+    m: DataFrame, vehicle_id: int, day: str, exclude_no_stop: bool
+) -> DataFrame:
+    require_columns(m, "ts", "day", "vehicleID", "atStop", "closerStopID")
+    kept = m.filter(
         (F.col("vehicleID") == int(vehicle_id))
         & on_day(F.col("ts"), day, F.col("day"))
         & flag_set(F.col("atStop"))
     )
+    return without_no_stop(kept) if exclude_no_stop else kept
 
 
 def first_arrivals(
@@ -39,17 +43,22 @@ def first_arrivals(
     vehicle_id: int = DEFAULT_VEHICLE,
     day: str = DEFAULT_DAY,
     delay_limit: int = DEFAULT_DELAY_LIMIT,
+    exclude_no_stop: bool = False,
 ) -> DataFrame:
-    """``(lineID, stationID, arrivalTime "HH:mm:ss", onTime 0/1)`` ordered by arrival."""
+    """``(lineID, stationID, arrivalTime "HH:mm:ss", onTime 0/1)`` ordered by arrival.
+
+    ``exclude_no_stop`` leaves out reports with no stop nearby, which otherwise form a group.
+    """
+    row = F.struct(instant_text(F.col("ts")).alias("time"), *_ROW_ORDER)
     first = (
-        _vehicle_day_at_stop(m, vehicle_id, day)
+        _vehicle_day_at_stop(m, vehicle_id, day, exclude_no_stop)
         .groupBy("busLineID", "closerStopID")
-        .agg(F.min(F.struct(*_ROW_ORDER)).alias("_first"))
+        .agg(F.min(row).alias("_first"))
     )
     return first.select(
         F.col("busLineID").alias("lineID"),
         F.col("closerStopID").alias("stationID"),
-        F.substring(F.col("_first.date"), 12, 8).alias("arrivalTime"),
+        F.substring(F.col("_first.time"), 12, 8).alias("arrivalTime"),
         on_time(F.col("_first.delay"), delay_limit).alias("onTime"),
     ).orderBy("arrivalTime", "lineID", "stationID")
 
@@ -59,6 +68,7 @@ def first_arrivals_by_delay(
     vehicle_id: int = DEFAULT_VEHICLE,
     day: str = DEFAULT_DAY,
     delay_limit: int = DEFAULT_DELAY_LIMIT,
+    exclude_no_stop: bool = False,
 ) -> DataFrame:
     """Q2b: the same, but one row per distinct delay of each (line, stop).
 
@@ -66,7 +76,7 @@ def first_arrivals_by_delay(
     plain ``min`` (a hash aggregate with a partial stage).
     """
     first = (
-        _vehicle_day_at_stop(m, vehicle_id, day)
+        _vehicle_day_at_stop(m, vehicle_id, day, exclude_no_stop)
         .groupBy("busLineID", "closerStopID", "delay")
         .agg(F.min("ts").alias("_t"))
     )

@@ -28,9 +28,6 @@ MEASUREMENT_COLUMNS = [
     "atStop",
 ]
 
-# Fixed value: the text form of `date`.
-DATE_PATTERN = "yyyy-MM-dd HH:mm:ss"
-
 # Sentinel used by the input for "no stop nearby"; it is an ordinary group value.
 NO_STOP = -1
 
