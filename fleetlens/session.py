@@ -23,6 +23,10 @@ BASE_CONF = {
 }
 
 
+def _modifiable(key: str) -> bool:
+    return SparkSession.getActiveSession().conf.isModifiable(key)
+
+
 def get_session(
     master: str | None = None,
     app_name: str = "fleetlens",
@@ -41,12 +45,16 @@ def get_session(
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
+    running = SparkSession.getActiveSession() is not None
     for key, value in settings.items():
-        builder = builder.config(key, value)
+        # the builder sets its options on a running session too, and static ones raise there
+        if not (running and key.startswith("spark.sql.") and not _modifiable(key)):
+            builder = builder.config(key, value)
     spark = builder.getOrCreate()
     # getOrCreate returns an existing session unchanged: re-apply the SQL settings.
+    # (Static ones, such as the warehouse folder, cannot change once a session runs.)
     for key, value in settings.items():
-        if key.startswith("spark.sql."):
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
             spark.conf.set(key, value)
     return spark
 

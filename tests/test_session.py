@@ -21,6 +21,13 @@ def test_sql_settings_applied(spark):
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
 
 
+def test_static_settings_do_not_fail_on_a_running_session(spark, tmp_path):
+    from fleetlens.session import get_session
+
+    again = get_session(conf={"spark.sql.warehouse.dir": str(tmp_path), "spark.sql.ansi.enabled": "true"})
+    assert again.conf.get("spark.sql.ansi.enabled") == "true"
+
+
 def test_hour_list_normalisation():
     assert _hour_numbers(["07", "08", "09"]) == [7, 8, 9]
     assert _hour_numbers(["7", "24", "ab", 8, "23", "00"]) == [0, 23]
