@@ -8,6 +8,7 @@ not compared (the oracle hash is order-insensitive); ordering is tested separate
 
 from __future__ import annotations
 
+import atexit
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +17,13 @@ from fleetlens import operators as ops
 from fleetlens.schema import MEASUREMENT_COLUMNS
 from fleetlens.session import shared_dir
 from fleetlens.sources import (
+    ingest_csv_to_store,
     measurements_from_events,
+    read_ingested,
+    read_measurements,
     read_measurements_csv,
     read_measurements_csv_reader,
+    write_measurements,
 )
 
 # Parameters used on the driver tables (events span 2024-01-01..2024-01-30).
@@ -41,33 +46,92 @@ def _m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measurements_from_events(spark, sf_dir)
 
 
-def _write_csv_text(spark: SparkSession, sf_dir: str) -> str:
-    """Write the reports as headerless, unquoted CSV text into the shared folder."""
-    path = shared_dir(spark, "csv-roundtrip")
-    (
-        _m(spark, sf_dir)
-        .select(*MEASUREMENT_COLUMNS)
-        .write.option("header", "false")
-        .option("quote", "")
-        .option("escape", "")
-        .option("nullValue", "")
-        .csv(path)
+def _w(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The projection whose vehicles, stops and lines grow with the table."""
+    return measurements_from_events(spark, sf_dir, keys="wide")
+
+
+# Derived copies that several queries read: written once per session and input, and removed
+# when the Python process ends.
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    def remove() -> None:
+        if spark.sparkContext._jsc is not None:  # the session may have ended before
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            conf = spark.sparkContext._jsc.hadoopConfiguration()
+            target.getFileSystem(conf).delete(target, True)
+
+    atexit.register(remove)
+
+
+def _once(
+    spark: SparkSession, sf_dir: str, what: str, write: Callable[[str], None]
+) -> str:
+    key = (spark.sparkContext.applicationId, sf_dir, what)
+    if key not in _WRITTEN:
+        path = shared_dir(spark, what)
+        write(path)
+        _remove_at_exit(spark, path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
+def csv_text(spark: SparkSession, sf_dir: str) -> str:
+    """The reports as headerless, unquoted CSV text in the shared folder."""
+
+    def write(path: str) -> None:
+        (
+            _m(spark, sf_dir)
+            .select(*MEASUREMENT_COLUMNS)
+            .write.option("header", "false")
+            .option("quote", "")
+            .option("escape", "")
+            .option("nullValue", "")
+            .csv(path)
+        )
+
+    return _once(spark, sf_dir, "csv-roundtrip", write)
+
+
+def ingest_store(spark: SparkSession, sf_dir: str) -> str:
+    """An ingest store of that text."""
+    text = csv_text(spark, sf_dir)
+    return _once(
+        spark,
+        sf_dir,
+        "ingest-store",
+        lambda path: ingest_csv_to_store(spark, text, path, batch="events"),
     )
-    return path
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The good reports of the ingest store: text, parse, write, read."""
+    return read_ingested(spark, ingest_store(spark, sf_dir)).good
 
 
 def scan_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV round trip through the strict ingest (split + try_cast, bad rows aside)."""
-    path = _write_csv_text(spark, sf_dir)
+    path = csv_text(spark, sf_dir)
     return read_measurements_csv(spark, path).good.select(*MEASUREMENT_COLUMNS)
 
 
 def scan_measurements_csv_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV round trip through the CSV reader with the explicit schema."""
-    path = _write_csv_text(spark, sf_dir)
+    path = csv_text(spark, sf_dir)
     return read_measurements_csv_reader(spark, path).select(*MEASUREMENT_COLUMNS)
 
 
+def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Those reports compacted into a measurements store clustered by vehicle."""
+
+    def write(path: str) -> None:
+        write_measurements(_stored(spark, sf_dir), path, cluster=True)
+
+    return read_measurements(spark, _once(spark, sf_dir, "compacted", write))
+
+
 QUERIES: dict[str, QueryFn] = {
     "congestion_by_hour": lambda s, d: ops.congestion_by_hour(_m(s, d), hours=Q1_HOURS, **Q1_BOX),
     "congestion_by_hour_all_hours": lambda s, d: ops.congestion_by_hour(
@@ -98,6 +162,42 @@ QUERIES: dict[str, QueryFn] = {
     "vehicles_per_stop": lambda s, d: ops.vehicles_per_stop(_m(s, d)),
     "max_vehicles": lambda s, d: ops.max_vehicles(_m(s, d)),
     "line_delay_sum_count": lambda s, d: ops.line_delay_sum_count(_m(s, d)),
+    # keys that grow with the table
+    "first_arrivals_wide": lambda s, d: ops.first_arrivals(
+        _w(s, d), Q2_VEHICLE, Q2_DAY, Q2_DELAY_LIMIT
+    ),
+    "first_arrivals_by_delay_wide": lambda s, d: ops.first_arrivals_by_delay(
+        _w(s, d), Q2_VEHICLE, Q2_DAY, Q2_DELAY_LIMIT, exclude_no_stop=True
+    ),
+    "busiest_stops_wide": lambda s, d: ops.busiest_stops(_w(s, d), Q3_START, Q3_HORIZON),
+    "busiest_stops_wide_month": lambda s, d: ops.busiest_stops(
+        _w(s, d), MONTH_START, MONTH_SECONDS
+    ),
+    "busiest_stops_wide_real": lambda s, d: ops.busiest_stops(
+        _w(s, d), MONTH_START, MONTH_SECONDS, exclude_no_stop=True
+    ),
+    "vehicles_per_stop_wide": lambda s, d: ops.vehicles_per_stop(_w(s, d)),
+    "max_vehicles_wide": lambda s, d: ops.max_vehicles(_w(s, d)),
+    "line_delay_average_wide": lambda s, d: ops.line_delay_average(_w(s, d)),
+    "line_abs_delay_average_wide": lambda s, d: ops.line_abs_delay_average(_w(s, d)),
+    "line_delay_sum_count_wide": lambda s, d: ops.line_delay_sum_count(_w(s, d)),
+    "congestion_by_hour_joined_wide": lambda s, d: ops.hourly_counts_joined(_w(s, d)),
+    # the path at scale: text -> ingest store (-> compacted store) -> question
+    "store_measurements": lambda s, d: _stored(s, d).select(*MEASUREMENT_COLUMNS),
+    "store_congestion_by_hour": lambda s, d: ops.congestion_by_hour(
+        _stored(s, d), hours=Q1_HOURS, **Q1_BOX
+    ),
+    "store_first_arrivals": lambda s, d: ops.first_arrivals(
+        _stored(s, d), Q2_VEHICLE, Q2_DAY, Q2_DELAY_LIMIT
+    ),
+    "store_busiest_stops": lambda s, d: ops.busiest_stops(_stored(s, d), Q3_START, Q3_HORIZON),
+    "store_line_delay_average": lambda s, d: ops.line_delay_average(_stored(s, d)),
+    "compacted_first_arrivals": lambda s, d: ops.first_arrivals(
+        _compacted(s, d), Q2_VEHICLE, Q2_DAY, Q2_DELAY_LIMIT
+    ),
+    "compacted_busiest_stops": lambda s, d: ops.busiest_stops(
+        _compacted(s, d), Q3_START, Q3_HORIZON
+    ),
 }
 
 # The events -> measurements projection in DuckDB (same expressions as the Spark source).
@@ -116,6 +216,14 @@ measurements AS (SELECT
   CASE WHEN event_type IN ('error', 'purchase') THEN 0 ELSE 1 END               AS "atStop"
 FROM e)
 """
+# The same with the keys that grow with the users.
+WIDE_CTE = (
+    MEASUREMENTS_CTE.replace(
+        "CAST(k % 7 AS INT) ", "CAST(floor(user_id / 4) * 3 + k % 3 AS INT) "
+    )
+    .replace("33000 + user_id % 8 AS INT", "33000 + user_id AS INT")
+    .replace("200 + k % 12 END", "200 + floor(user_id / 5) * 4 + k * k % 23 END")
+)
 
 _BOX = (
     "latitude BETWEEN 53.3343619 AND 53.3702027 "
@@ -238,8 +346,41 @@ SELECT "busLineID", CAST(sum(abs(delay)) AS BIGINT) AS sum_delay, count(*) AS n
 FROM measurements WHERE "atStop" = 1 GROUP BY 1""",
 }
 
+# Names whose SQL is another entry's, on the wide projection, or read back from a store.
+_WIDE = {
+    "first_arrivals_wide": "first_arrivals",
+    "busiest_stops_wide": "busiest_stops",
+    "busiest_stops_wide_month": "busiest_stops_month",
+    "vehicles_per_stop_wide": "vehicles_per_stop",
+    "max_vehicles_wide": "max_vehicles",
+    "line_delay_average_wide": "line_delay_average",
+    "line_abs_delay_average_wide": "line_abs_delay_average",
+    "line_delay_sum_count_wide": "line_delay_sum_count",
+    "congestion_by_hour_joined_wide": "congestion_by_hour_joined",
+}
+_STORED_SQL = {
+    "store_measurements": "scan_measurements",
+    "store_congestion_by_hour": "congestion_by_hour",
+    "store_first_arrivals": "first_arrivals",
+    "store_busiest_stops": "busiest_stops",
+    "store_line_delay_average": "line_delay_average",
+    "compacted_first_arrivals": "first_arrivals",
+    "compacted_busiest_stops": "busiest_stops",
+}
+
+
+def _without_no_stop(body: str) -> str:
+    return body.replace('"atStop" = 1', '"atStop" = 1 AND "closerStopID" <> -1')
+
+
 ORACLE_SQL: dict[str, str] = {
-    name: MEASUREMENTS_CTE + body.strip() for name, body in _SQL_BODIES.items()
+    **{name: MEASUREMENTS_CTE + body.strip() for name, body in _SQL_BODIES.items()},
+    **{name: WIDE_CTE + _SQL_BODIES[of].strip() for name, of in _WIDE.items()},
+    **{name: MEASUREMENTS_CTE + _SQL_BODIES[of].strip() for name, of in _STORED_SQL.items()},
+    "first_arrivals_by_delay_wide": WIDE_CTE
+    + _without_no_stop(_SQL_BODIES["first_arrivals_by_delay"].strip()),
+    "busiest_stops_wide_real": WIDE_CTE
+    + _without_no_stop(_SQL_BODIES["busiest_stops_month"].strip()),
 }
 
 assert set(ORACLE_SQL) == set(QUERIES)

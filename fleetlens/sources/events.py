@@ -48,7 +48,30 @@ def events_path(sf_dir: str) -> str:
     return f"{sf_dir.rstrip('/')}/events.parquet"
 
 
-def measurements_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Key expressions by projection. ``narrow`` folds the keys to a small fixed fleet (8 vehicles,
+# 12 stops, 7 lines at any scale); in ``wide`` vehicles, stops and lines grow with the table's
+# users, about 1,500 times sf each.
+KEYS = {
+    "narrow": {
+        "busLineID": f"CAST(k % {LINE_MODULUS} AS INT)",
+        "vehicleID": f"CAST({VEHICLE_BASE} + user_id % {VEHICLE_MODULUS} AS INT)",
+        "closerStopID": f"CAST(CASE WHEN k % {STOP_MODULUS} = 0 THEN -1"
+        f" ELSE {STOP_BASE} + k % {STOP_MODULUS} END AS INT)",
+    },
+    "wide": {
+        "busLineID": "CAST(floor(user_id / 4) * 3 + k % 3 AS INT)",
+        "vehicleID": f"CAST({VEHICLE_BASE} + user_id AS INT)",
+        "closerStopID": f"CAST(CASE WHEN k % {STOP_MODULUS} = 0 THEN -1"
+        f" ELSE {STOP_BASE} + floor(user_id / 5) * 4 + k * k % 23 END AS INT)",
+    },
+}
+
+
+def measurements_from_events(
+    spark: SparkSession, sf_dir: str, keys: str = "narrow"
+) -> DataFrame:
+    """``events`` as reports; ``keys`` names one of ``KEYS``."""
+    own = KEYS[keys]
     ev = spark.read.schema(EVENTS_READ_SCHEMA).parquet(events_path(sf_dir))
     # Written as SQL expressions (two JVM calls instead of about two hundred for the same
     # expressions built call by call); `k` is computed once and read three times.
@@ -62,16 +85,15 @@ def measurements_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     not_at_stop = ", ".join(f"'{e}'" for e in NOT_AT_STOP_EVENTS)
     m = keyed.selectExpr(
         "substring(CAST(ts AS STRING), 1, 19) AS date",
-        f"CAST(k % {LINE_MODULUS} AS INT) AS busLineID",
+        f"{own['busLineID']} AS busLineID",
         "event_type AS busLinePatternID",
         f"CASE WHEN event_type = '{CONGESTED_EVENT}' THEN 1 ELSE 0 END AS congestion",
         f"CAST({LON_ORIGIN!r} AS DOUBLE) + CAST(k AS DOUBLE) / 1000.0D AS longitude",
         f"CAST({LAT_ORIGIN!r} AS DOUBLE)"
         f" + CAST((user_id % {LAT_USER_MODULUS}) * 4 AS DOUBLE) / 1000.0D AS latitude",
         f"CAST(floor(value) AS INT) - {DELAY_OFFSET} AS delay",
-        f"CAST({VEHICLE_BASE} + user_id % {VEHICLE_MODULUS} AS INT) AS vehicleID",
-        f"CAST(CASE WHEN k % {STOP_MODULUS} = 0 THEN -1"
-        f" ELSE {STOP_BASE} + k % {STOP_MODULUS} END AS INT) AS closerStopID",
+        f"{own['vehicleID']} AS vehicleID",
+        f"{own['closerStopID']} AS closerStopID",
         f"CASE WHEN event_type IN ({not_at_stop}) THEN 0 ELSE 1 END AS atStop",
         "ts",
         "CAST(ts AS DATE) AS day",

@@ -6,19 +6,15 @@ import re
 
 from conftest import SF_SMALL
 
-from __spark_entry__ import queries
 from fleetlens import operators as ops
 from fleetlens.plans.inspect import exchange_count, plan_string, scan_count, uses_python_udf
+from fleetlens.plans.registry import QUERIES as Q
 from fleetlens.session import shared_dir
 from fleetlens.sources import measurements_from_events, read_measurements, write_measurements
 
-Q = queries()
-
 
 def test_no_python_udf_anywhere(spark):
     for name, fn in Q.items():
-        if name == "scan_measurements":
-            continue  # writes files when called; its read side is covered below
         assert not uses_python_udf(fn(spark, SF_SMALL)), name
 
 
@@ -56,6 +52,28 @@ def test_q3_reads_input_once_after_execution(spark):
     assert final_part.count("FileScan parquet") == 1
 
 
+def test_q3_builds_lists_for_winners_only(spark):
+    df = Q["busiest_stops_wide_real"](spark, SF_SMALL)
+    assert 0 < df.count() < Q["vehicles_per_stop_wide"](spark, SF_SMALL).count()
+    df.collect()
+    final = plan_string(df, "simple").split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1
+    lists = re.findall(r"functions=\[collect_list", final)
+    assert len(lists) <= 1 and final.count("partial_collect_list") <= 1
+
+
+def test_wide_keys_grow_with_the_table(spark):
+    counts = [
+        [
+            Q[name](spark, sf).count()
+            for name in ("vehicles_per_stop_wide", "line_delay_average_wide")
+        ]
+        for sf in (SF_SMALL, "/root/testdata/sf0.01", "/root/testdata/sf0.1")
+    ]
+    for small, large in zip(counts, counts[1:]):
+        assert all(b > 2 * a for a, b in zip(small, large))
+
+
 def test_q3_max_is_a_one_row_broadcast(spark):
     text = plan_string(Q["busiest_stops"](spark, SF_SMALL))
     assert "BroadcastExchange" in text
@@ -97,14 +115,8 @@ def test_clustered_store_skips_files_for_a_vehicle(spark):
     # bounds are sampled, so a vehicle may straddle two neighbouring files)
     m = measurements_from_events(spark, "/root/testdata/sf0.01").filter("day = DATE'2024-01-08'")
     path = shared_dir(spark, "cluster-test")
-    # tiny data: keep 16 range partitions (AQE would coalesce them into one file per day)
-    spark.conf.set("spark.sql.shuffle.partitions", "16")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        write_measurements(m, path, cluster=True)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    # 16 ranges, as 16 times the target size would give
+    write_measurements(m, path, cluster=True, target_file_bytes=-(-m.count() * 24 // 16))
     stored = read_measurements(spark, path)
     df = ops.first_arrivals(stored, 33001, "2024-01-08", 60)
     text = plan_string(df)
@@ -140,13 +152,11 @@ def test_weekday_filter_prunes_weekend_partitions(spark):
 
 def test_no_cross_joins_or_global_windows(spark):
     for name, fn in Q.items():
-        if name.startswith("scan_measurements"):
-            continue  # writes files when called; plain scans
         text = plan_string(fn(spark, SF_SMALL), "simple")
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Window ", "SinglePartition, ENSURE"):
             # the only SinglePartition exchange allowed is the one-row global max of Q3
             if bad.startswith("SinglePartition") and (
-                name.startswith("busiest_stops") or name == "max_vehicles"
+                "busiest_stops" in name or name.startswith("max_vehicles")
             ):
                 continue
             assert bad not in text, (name, bad)
@@ -173,13 +183,8 @@ def test_time_clustered_store_skips_files_for_a_window(spark):
 
     m = measurements_from_events(spark, "/root/testdata/sf0.01").filter("day = DATE'2024-01-08'")
     path = shared_dir(spark, "cluster-ts-test")
-    spark.conf.set("spark.sql.shuffle.partitions", "16")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        write_measurements(m, path, cluster=("day", "ts"))
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    size = -(-m.count() * 24 // 16)
+    write_measurements(m, path, cluster=("day", "ts"), target_file_bytes=size)
     files = glob.glob(f"{path.replace('file:', '')}/day=2024-01-08/*.parquet")
     import datetime as dt
 

@@ -41,9 +41,9 @@ def test_gap_times_are_kept(dublin):
 def test_registry_same_in_any_zone(spark):
     from conftest import SF_SMALL
 
-    from __spark_entry__ import queries
+    from fleetlens.plans.registry import QUERIES
 
-    q = queries()
+    q = QUERIES
     names = ["congestion_by_hour", "first_arrivals", "busiest_stops", "vehicle_day"]
     utc = {n: sorted(rows(q[n](spark, SF_SMALL))) for n in names}
     spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
@@ -57,9 +57,9 @@ def test_registry_same_in_any_zone(spark):
 def test_registry_same_with_ansi_off(spark):
     from conftest import SF_SMALL
 
-    from __spark_entry__ import queries
+    from fleetlens.plans.registry import QUERIES
 
-    q = queries()
+    q = QUERIES
     names = ["congestion_by_hour", "first_arrivals_by_delay", "line_delay_average", "in_box"]
     on = {n: sorted(rows(q[n](spark, SF_SMALL))) for n in names}
     before = spark.conf.get("spark.sql.ansi.enabled")
