@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import html as entities
 import math
+import pickle
 import random
 import zlib
 from collections.abc import Iterator
@@ -35,8 +36,8 @@ from fleetlens.llm.html_blocks import Block, blocks
 
 MAX_TRAINING_PAGES = 200
 LEND_BLOCKS, LEND_CHARS = 12, 1500  # of a training page
-LAYOUTS = 4_000
-EPOCHS = 6
+LAYOUTS = 5_000
+EPOCHS = 7
 BATCH = 24
 HIDDEN = 24
 PATH_DIM, WORD_DIM, MEASURES = 128, 32, 10
@@ -168,7 +169,11 @@ def _learn_back(x, wh, kept, d_out):
 class Labeller:
     """Weights: per direction input, recurrent and bias; then the output layer."""
 
-    def __init__(self, rng: np.random.Generator):
+    def __init__(self, rng: np.random.Generator | None = None, weights: list | None = None):
+        if weights is not None:
+            self.weights = weights
+            return
+
         def matrix(a: int, b: int) -> np.ndarray:
             return (rng.standard_normal((a, b)) / math.sqrt(a)).astype(np.float32)
 
@@ -361,14 +366,21 @@ class Layouts:
             each = [
                 f'<div class="comment"><p>{self.text(self.words(1, 3), False)}</p>'
                 f"<p>{self.text(self.long(), False)}</p></div>"
-                if r.random() < 0.6
+                if r.random() < 0.5
                 else f"<li><p>{self.text(self.long(), False)}</p></li>"
+                if r.random() < 0.5
+                else f"<p>{self.text(self.long(), False)}</p>"
                 for _ in range(n)
             ]
-            head = f"<h3>{self.text(r.choice(['Comments', f'{n} comments', 'Discussion']), False)}</h3>"
+            tag = r.choice(["h2", "h3", "h4", "p"])
+            title = self.text(r.choice(["Comments", f"{n} comments", "Discussion"]), False)
+            head = f"<{tag}>{title}</{tag}>" if r.random() < 0.75 else ""
             name = r.choice(self.COMMENT)
             key = r.choice(["id", "class"])
-            return f'<section {key}="{name}">{head}{"".join(each)}</section>'
+            if r.random() < 0.4:
+                each.append(self.other("form", telling))
+            own = r.choice(["section", "div", "div", "ol" if r.random() < 0.5 else "ul"])
+            return f'<{own} {key}="{name}">{head}{"".join(each)}</{own}>'
         if kind == "share":
             return self.box(self.SHARE, "", self.links(r.randint(1, 4)), True)
         inner = self.text("© " + self.words(1, 12), False)
@@ -383,6 +395,11 @@ class Layouts:
             tag = r.choice(["h1", "h1", "h2"])
             parts.append(f"<{tag}>{self.text(self.words(2, 14), True)}</{tag}>")
         p_tag = "p" if r.random() < 0.85 else "div"
+        if r.random() < 0.12:  # run on in short lines, often the same one
+            line = self.words(1, 4)
+            for _ in range(r.randint(4, 60)):
+                value = line if r.random() < 0.7 else self.words(1, 6)
+                parts.append(f"<{p_tag}>{self.text(value, True)}</{p_tag}>")
         for _ in range(r.randint(1, 14)):
             kind = r.random()
             value = self.long() if r.random() < 0.8 else self.words(1, 8)
@@ -409,6 +426,10 @@ class Layouts:
                 parts.append(f"<{p_tag}>{marked}</{p_tag}>")
             if r.random() < 0.05:
                 parts.append(self.other(r.choice(["advert", "share", "side", "form"]), True))
+        # what is not the article's own may stand inside its container
+        for kind, share in (("share", 0.1), ("comments", 0.2), ("foot", 0.08)):
+            if r.random() < share:
+                parts.append(self.other(kind, True))
         inner = "".join(parts)
         if not telling:
             return inner if r.random() < 0.3 else f"<div>{inner}</div>"
@@ -463,18 +484,27 @@ def learn(pages: DataFrame) -> Labeller:
                 prose += [t[:LEND_CHARS] for t in sorted(own, key=len)[-LEND_BLOCKS:]]
             yield pa.RecordBatch.from_arrays([pa.array(prose, type=pa.string())], names=["prose"])
 
-    sample = (
-        pages.select("html", F.xxhash64("page_id", "html").alias("h"))
-        .filter("html IS NOT NULL")
-        .select("html", "h")
+    sample = pages.filter("html IS NOT NULL").select(
+        "html", F.xxhash64("page_id", "html").alias("h")
     )
     ids = sample.select("h").distinct().orderBy("h").limit(MAX_TRAINING_PAGES)
     chosen = sample.join(F.broadcast(ids), "h").dropDuplicates(["h"])  # hashes: 8 bytes a page
-    prose = [r["prose"] for r in chosen.select("html").mapInArrow(lend, "prose string").collect()]
-    layouts = Layouts(sorted(set(prose)), random.Random(SEED))
-    features = Features()
-    examples = [layouts.example(features) for _ in range(LAYOUTS)]
-    return train([e for e in examples if len(e[0])])
+    prose = chosen.select("html").mapInArrow(lend, "prose string").distinct()
+    # a row of its own, so that the task below runs on an empty table too
+    rows = prose.union(pages.sparkSession.createDataFrame([(None,)], "prose string"))
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lent = [t for b in batches for t in b["prose"].to_pylist() if t is not None]
+        layouts = Layouts(sorted(lent), random.Random(SEED))
+        features = Features()
+        examples = [layouts.example(features) for _ in range(LAYOUTS)]
+        net = train([e for e in examples if len(e[0])])
+        blob = pickle.dumps([w.astype(np.float32) for w in net.weights])
+        yield pa.RecordBatch.from_arrays([pa.array([blob])], names=["weights"])
+
+    # the sample is bounded (pages, blocks and characters), so one task can hold it
+    blob = rows.repartition(1).mapInArrow(fit, "weights binary").first()["weights"]
+    return Labeller(weights=pickle.loads(blob))
 
 
 # ---- on Spark -----------------------------------------------------------------------------
