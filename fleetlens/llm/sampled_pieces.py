@@ -29,6 +29,7 @@ import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,7 @@ LATIN = "A-Za-z0-9À-ÖØ-öø-ɏ"  # letters and digits; U+00D7 and U+00F7 are
 CHUNK = re.compile(f" *[{LATIN}]+| *[^ {LATIN}]+| +")
 PIECE = re.compile(f" *(?:[{LATIN}]+|[^ {LATIN}]+)?")
 SLICE_CHARS = 1_000_000  # of the texts whose lattices are built together
+KEPT_SLICES = 3
 CODE_BITS = 21  # of a code point
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)  # splitmix64's increment and multipliers
 MIX1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -246,53 +248,95 @@ class Lattice:
         return edge
 
 
+class Segmenter:
+    """Encodes slices of texts; the lattices of the first ``KEPT_SLICES`` slices' chunks, which
+    hold most words of later ones, are kept. What is drawn does not depend on it."""
+
+    def __init__(self, vocab: Vocabulary, seed: int = SEED):
+        self.vocab, self.seed = vocab, seed
+        # chunks are numbered as they come; lattice i has those from first[i] on
+        self.index: defaultdict[str, int] = defaultdict()
+        self.index.default_factory = self.index.__len__
+        self.kept: list[tuple[int, Lattice]] = []
+
+    def __call__(
+        self, keys: list[int | None], texts: list[str | None]
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and where each text's ids end; nulls have none."""
+        before = len(self.index)
+        words: list[int] = []
+        counts = []
+        for t in texts:
+            found = CHUNK.findall(" " + t) if t is not None else []
+            counts.append(len(found))
+            words += map(self.index.__getitem__, found)
+        new = list(islice(self.index, before, None))
+        lattices = self.kept + ([(before, Lattice(new, self.vocab))] if new else [])
+        if len(self.kept) < KEPT_SLICES:
+            self.kept = lattices
+        else:
+            for w in new:
+                del self.index[w]
+        if not words:
+            return np.empty(0, dtype=np.int32), np.zeros(len(texts), dtype=np.int64)
+        return _drawn(lattices, words, counts, keys, self.vocab, self.seed)
+
+
 def encode_texts(
     keys: list[int | None], texts: list[str | None], vocab: Vocabulary, seed: int = SEED
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts end to end, and where each text's ids end; nulls have none."""
-    index: defaultdict[str, int] = defaultdict()
-    index.default_factory = index.__len__  # chunks are numbered as they come
-    words: list[int] = []
-    counts = []
-    for t in texts:
-        found = CHUNK.findall(" " + t) if t is not None else []
-        counts.append(len(found))
-        words += map(index.__getitem__, found)
-    if not words:
-        return np.empty(0, dtype=np.int32), np.zeros(len(texts), dtype=np.int64)
-    lattice = Lattice(list(index), vocab)
+    return Segmenter(vocab, seed)(keys, texts)
+
+
+def _drawn(
+    lattices: list[tuple[int, Lattice]],
+    words: list[int],
+    counts: list[int],
+    keys: list[int | None],
+    vocab: Vocabulary,
+    seed: int,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Draws the segmentation of every text, given as chunk numbers and chunks per text."""
     word = np.array(words, dtype=np.int64)
-    counts = np.array(counts)
-    row = np.repeat(np.arange(len(texts)), counts)
-    length = lattice.lengths[word]
+    rows = len(counts)
+    row = np.repeat(np.arange(rows), counts)
+    lengths = np.concatenate([x.lengths for _, x in lattices])
+    length = lengths[word]
     stop = np.cumsum(length)
-    begin_of_row = np.concatenate([[0], np.cumsum(np.bincount(row, weights=length, minlength=len(texts)))])
-    position = (stop - begin_of_row[row]).astype(np.int64)  # of the chunk's end in its text
+    of_row = np.bincount(row, weights=length, minlength=rows).astype(np.int64)
+    position = stop - (np.cumsum(of_row) - of_row)[row]  # of the chunk's end in its text
     # 1 sets a null key apart from key 0
     key = np.array([(k or 0) & (2**64 - 1) for k in keys], dtype=np.uint64)
     null = np.array([k is None for k in keys], dtype=np.uint64)
     start = mixed(mixed(key + GOLDEN * (np.uint64(seed) + null)) + GOLDEN)
 
     order = np.argsort(word, kind="stable")  # equal chunks together: neighbours in the tables
-    token = order
-    node = lattice.first[word[token]] + length[token]
-    back = np.zeros(len(token), dtype=np.int64)  # characters drawn so far
+    cuts = np.searchsorted(word[order], [first for first, _ in lattices] + [len(lengths)])
     who, piece = [], []
-    while len(token):
-        x = start[row[token]] + (position[token] - back).astype(np.uint64) * GOLDEN
-        edge = lattice.draw(node, mixed(x) >> np.uint64(32))
-        who.append(token)
-        piece.append(lattice.piece[edge])
-        node = lattice.source[edge]
-        back = back + lattice.size[edge]
-        on = back < length[token]
-        token, node, back = token[on], node[on], back[on]
-    n = np.zeros(len(word), dtype=np.int64)
-    for own in who:
-        n[own] += 1
+    n = np.zeros(len(word), dtype=np.int64)  # pieces of each chunk
+    for (first, lattice), a, b in zip(lattices, cuts, cuts[1:], strict=False):
+        token = order[a:b]
+        node = lattice.first[word[token] - first] + length[token]
+        begin, size = start[row[token]], length[token]
+        back = np.zeros(len(token), dtype=np.int64)  # characters drawn so far
+        end = position[token]
+        step = 0
+        while len(token):
+            step += 1
+            x = begin + (end - back).astype(np.uint64) * GOLDEN
+            edge = lattice.draw(node, mixed(x) >> np.uint64(32))
+            n[token] = step
+            who.append((step, token))
+            piece.append(lattice.piece[edge])
+            node = lattice.source[edge]
+            back = back + lattice.size[edge]
+            on = back < size
+            if not on.all():
+                token, node, back = token[on], node[on], back[on]
+                begin, size, end = begin[on], size[on], end[on]
     ends = np.cumsum(n)
     out = np.empty(int(ends[-1]), dtype=np.int64)
-    for step, (own, ids) in enumerate(zip(who, piece, strict=True), 1):
+    for (step, own), ids in zip(who, piece, strict=True):
         out[ends[own] - step] = ids
     row_of_piece = np.repeat(row, n)
     spelt = np.flatnonzero(out < 0)
@@ -304,7 +348,7 @@ def encode_texts(
         out = np.repeat(out, repeat)
         out[fill] = [vocab.byte_id[x] for b in raw for x in b]
         row_of_piece = np.repeat(row_of_piece, repeat)
-    per_row = np.bincount(row_of_piece, minlength=len(texts))
+    per_row = np.bincount(row_of_piece, minlength=rows)
     return out.astype(np.int32), np.cumsum(per_row)
 
 
@@ -345,26 +389,44 @@ def encode(
     alpha: float = ALPHA,
     seed: int = SEED,
     path: str | None = None,
+    lossless: str | None = None,
 ) -> DataFrame:
-    """``docs`` with a sampled segmentation of each row's text, seeded by its key."""
+    """``docs`` with a sampled segmentation of each row's text, seeded by its key.
+
+    ``lossless`` names a column that tells whether decoding the ids gives back the text.
+    """
     path = path or model_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = Vocabulary(path, alpha)
+        segment = Segmenter(vocab, seed)
         for batch in batches:
             texts_of_batch = batch[text].to_pylist()
             for at, n in _slices(texts_of_batch):
                 b, texts = batch.slice(at, n), texts_of_batch[at : at + n]
-                ids, ends = encode_texts(b[key].to_pylist(), texts, vocab, seed)
+                ids, ends = segment(b[key].to_pylist(), texts)
                 offsets = np.concatenate([[0], ends]).astype(np.int32)
                 none = np.append([t is None for t in texts], False)
                 lists = pa.ListArray.from_arrays(
                     pa.array(offsets, mask=none) if none.any() else pa.array(offsets),
                     pa.array(ids),
                 )
-                yield _with_column(b, into, lists)
+                out = _with_column(b, into, lists)
+                if lossless:
+                    same = [x == t for x, t in zip(_decoded(lists, vocab), texts, strict=True)]
+                    out = _with_column(out, lossless, pa.array(same, type=pa.bool_()))
+                yield out
+
+    added = f"`{into}` array<int>" + (f", `{lossless}` boolean" if lossless else "")
+    return docs.mapInArrow(run, _schema(docs, added))
+
 
-    return docs.mapInArrow(run, _schema(docs, f"`{into}` array<int>"))
+def _decoded(lists: pa.ListArray, vocab: Vocabulary) -> Iterator[str | None]:
+    """Texts of an array of id lists, one list at a time as Python numbers."""
+    ids = lists.values.to_numpy(zero_copy_only=False)
+    ends = lists.offsets.to_numpy(zero_copy_only=False)
+    for i, valid in enumerate(lists.is_valid().to_pylist()):
+        yield decode_ids(ids[ends[i] : ends[i + 1]].tolist(), vocab) if valid else None
 
 
 def decode(
@@ -376,7 +438,7 @@ def decode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = Vocabulary(path)
         for b in batches:
-            texts = [None if x is None else decode_ids(x, vocab) for x in b[ids].to_pylist()]
+            texts = list(_decoded(b[ids], vocab))
             yield _with_column(b, into, pa.array(texts, type=pa.string()))
 
     return docs.mapInArrow(run, _schema(docs, f"`{into}` string"))
@@ -385,10 +447,10 @@ def decode(
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op2: every document's sampled piece ids, and whether they decode to its text."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
-    return decode(encode(docs)).select(
+    return encode(docs, lossless="lossless").select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
         F.size("piece_ids").cast("long").alias("n_pieces"),
         "piece_ids",
-        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
+        "lossless",
     )

@@ -75,6 +75,15 @@ def test_rows_do_not_depend_on_their_batch():
     assert [x.tolist() for x in np.split(ids, ends[:-1])] == alone
 
 
+def test_kept_lattices_do_not_show():
+    segment = p.Segmenter(VOCAB)
+    for k in range(3 * p.KEPT_SLICES):
+        texts = [f"common words and rare{k} ones", None, f"x{k}, common words é{k}漢"]
+        ids, ends = segment([k, 1, None], texts)
+        again, ends_again = p.encode_texts([k, 1, None], texts, VOCAB)
+        assert ids.tolist() == again.tolist() and ends.tolist() == ends_again.tolist()
+
+
 def test_alpha_and_seed():
     text = "segmentations of ordinary words " * 30
     sharp = p.Vocabulary(p.model_path(), alpha=8.0)
