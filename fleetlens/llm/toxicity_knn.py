@@ -245,10 +245,11 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
     seen = counted.select(F.explode("counts.term").alias("term")).groupBy("term")
     for t, n in seen.agg(F.count("*").alias("n")).collect():  # a row per term
         idf[t] = np.log((1 + total) / (1 + n)) + 1
+    # one row per id (of several texts with one id the least), at most MAX_EXAMPLES short rows
+    chosen = counted.join(sample, "doc_id").groupBy("doc_id", "y").agg(F.min("counts").alias("c"))
     examples = sorted(
-        (r["doc_id"], r["y"], tuple((c["term"], c["n"]) for c in r["counts"]))
-        for r in counted.join(sample, "doc_id").dropDuplicates(["doc_id"]).collect()
-    )  # at most MAX_EXAMPLES short rows
+        (r["doc_id"], r["y"], tuple((c["term"], c["n"]) for c in r["c"])) for r in chosen.collect()
+    )
     labelled = [e for e in examples if e[2]]
     rest = [e for e in examples if not e[2]]
     prior = sum(y for _, y, _ in examples) / len(examples) if examples else 0.0
