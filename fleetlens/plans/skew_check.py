@@ -27,7 +27,7 @@ from fleetlens.session import get_session, shared_dir
 from fleetlens.sources import measurements_from_events, write_measurements
 from fleetlens.sources.events import events_path
 
-# The hot key (user 1 -> vehicle 33001; k 13 -> line 6, stop 201; 2024-01-08).
+# The hot key (user 1 and k 13 -> vehicle 33001, line 1, stop 208; 2024-01-08).
 HOT_USER = 1
 HOT_PROPS = '{"k": 13}'
 USER_STRIDE = 10_000_000
@@ -110,7 +110,7 @@ def main(argv: list[str]) -> int:
     spark.sparkContext.setLogLevel("ERROR")
 
     def m():
-        return measurements_from_events(spark, data_dir)
+        return measurements_from_events(spark, data_dir, keys="wide")
 
     questions = {
         "Q1": lambda: ops.congestion_by_hour(
@@ -133,7 +133,7 @@ def main(argv: list[str]) -> int:
     spark.stop()
     print(
         f"skewed copy of {sf_dir} x{copies}: one third of the rows on vehicle 33001, "
-        "stop 201, day 2024-01-08"
+        "line 1, stop 208, day 2024-01-08; all other keys grow with the copies"
     )
     print(f"wall seconds: {timings}\n")
     print("\n".join(_stage_report(log_dir)))
