@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -82,7 +84,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3/...)"
             )
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fleetlens-ckpt-"))
+        folder = tempfile.mkdtemp(prefix="fleetlens-ckpt-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)  # made here, removed here
+        spark.sparkContext.setCheckpointDir(folder)
         root = spark.sparkContext.getCheckpointDir()
     # Not created here: Spark writers create it (and refuse an existing one by default).
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
