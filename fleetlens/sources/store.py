@@ -70,6 +70,7 @@ _BATCHES_SCHEMA = T.StructType(
 # tables: 15 to 30 by codec and layout); the number of ranges follows from the rows.
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 BYTES_PER_ROW = 24
+LEAST_ROWS = 100_000
 
 _BATCH_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
 
@@ -143,7 +144,8 @@ def write_measurements(
     many ranges (a range partitioner cannot split a single key value). A workload of time
     windows (Q3) is better served by ``cluster=("day", "ts")``: row groups then cover short
     time spans and a window skips the rest of the day. The number of ranges follows the input:
-    rows * ``BYTES_PER_ROW`` / ``target_file_bytes``, so a range fits one task at any scale.
+    rows * ``BYTES_PER_ROW`` / ``target_file_bytes``, so a range fits one task at any scale
+    (a small input is cut further, see ``range_count``).
     """
     differs = ~F.col("date").eqNullSafe(instant_text(F.col("ts")))
     out = df.select(*STORED_COLUMNS, F.when(differs, F.col("date")).alias("date"), "day")
@@ -155,7 +157,9 @@ def write_measurements(
         key = list(CLUSTER_KEY if cluster is True else cluster)
         if key[0] != "day":
             raise ValueError("a clustering key starts with the partition column 'day'")
-        ranges = range_count(out.count(), target_file_bytes)
+        ranges = range_count(
+            out.count(), target_file_bytes, df.sparkSession.sparkContext.defaultParallelism
+        )
         out = out.repartitionByRange(ranges, *key).sortWithinPartitions(*key)
     elif rebalance:
         out = out.hint("rebalance", "day")
@@ -164,8 +168,11 @@ def write_measurements(
     writer.partitionBy("day").parquet(path)
 
 
-def range_count(rows: int, target_file_bytes: int = TARGET_FILE_BYTES) -> int:
-    return max(1, math.ceil(rows * BYTES_PER_ROW / target_file_bytes))
+def range_count(rows: int, target_file_bytes: int = TARGET_FILE_BYTES, cores: int = 1) -> int:
+    """Ranges of the target size; of a small input enough to keep ``cores`` busy, as long as
+    each gets ``LEAST_ROWS``."""
+    by_size = math.ceil(rows * BYTES_PER_ROW / target_file_bytes)
+    return max(1, by_size, min(cores, rows // LEAST_ROWS))
 
 
 def read_measurements(spark: SparkSession, path: str) -> DataFrame:

@@ -231,6 +231,7 @@ def test_compaction_of_one_day_leaves_the_others(spark, landing):
 def test_ranges_follow_the_input(spark):
     assert [range_count(n) for n in (0, 1, 10**6, 10**9, 4 * 10**12)] == [1, 1, 1, 90, 357_628]
     assert range_count(1000, target_file_bytes=24 * 100) == 10
+    assert [range_count(n, cores=8) for n in (0, 10**5, 3 * 10**6, 10**9)] == [1, 1, 8, 90]
 
 
 def test_lenient_dates_match_no_time_predicate(spark, tmp_path):
