@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,3 +42,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def words_of(text: Column) -> Column:
     """Array of the words ``[^\\x20\\x09-\\x0D]+``; empty for a null text."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WS_RUN), "")
+
+
+def text_slices(texts: list[str | None], chars: int) -> Iterator[tuple[int, int]]:
+    """(first, number) of runs of texts with some ``chars`` characters, one text at least."""
+    at = held = 0
+    for i, t in enumerate(texts):
+        held += len(t or "")
+        if held >= chars or i + 1 == len(texts):
+            yield at, i + 1 - at
+            at, held = i + 1, 0

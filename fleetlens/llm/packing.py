@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import materialise, table
+from fleetlens.llm.common import materialise, table, text_slices
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
@@ -50,6 +50,7 @@ RATE = 2.0  # of the weights' exponents
 SLACK = 0.002  # open share of a configuration that is taken after lengths have run out
 CACHE_WORDS = 800_000  # words whose ids a Python worker keeps
 CACHE_BYTES = 64  # longest word kept
+SLICE_CHARS = 1_000_000  # of the texts that are tokenised together
 # Signs between an ASCII letter and white space or the end; not ' (it opens contractions).
 CLOSING = re.compile(rb"(?<=[a-z])[!-&(-/:-@\[-`{-~]+(?=[ \t\n\x0b\f\r]|\Z)")
 
@@ -136,11 +137,12 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -
         seen: Counter[int] = Counter()
         size = 4 * capacity
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                b = batch.slice(at, 1000)
+            texts = batch["text"].to_pylist()
+            for at, n_rows in text_slices(texts, SLICE_CHARS):
+                ids_of = batch["doc_id"].slice(at, n_rows).to_pylist()
                 rows = []
                 for doc_id, ids in zip(
-                    b["doc_id"].to_pylist(), token_bytes(b["text"].to_pylist(), path), strict=True
+                    ids_of, token_bytes(texts[at : at + n_rows], path), strict=True
                 ):
                     ids += END
                     for k in range(0, len(ids), size):

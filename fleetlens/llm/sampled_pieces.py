@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import table
+from fleetlens.llm.common import table, text_slices
 
 MODEL = "piece_bpe_32k.model"
 ALPHA = 1.0
@@ -367,16 +367,6 @@ def _with_column(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.Recor
     )
 
 
-def _slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """(first, number) of runs of texts with some ``SLICE_CHARS`` characters."""
-    at = chars = 0
-    for i, t in enumerate(texts):
-        chars += len(t or "")
-        if chars >= SLICE_CHARS or i + 1 == len(texts):
-            yield at, i + 1 - at
-            at, chars = i + 1, 0
-
-
 def _schema(df: DataFrame, added: str) -> str:
     return ", ".join([f"`{c}` {t}" for c, t in df.dtypes] + [added])
 
@@ -402,7 +392,7 @@ def encode(
         segment = Segmenter(vocab, seed)
         for batch in batches:
             texts_of_batch = batch[text].to_pylist()
-            for at, n in _slices(texts_of_batch):
+            for at, n in text_slices(texts_of_batch, SLICE_CHARS):
                 b, texts = batch.slice(at, n), texts_of_batch[at : at + n]
                 ids, ends = segment(b[key].to_pylist(), texts)
                 offsets = np.concatenate([[0], ends]).astype(np.int32)
