@@ -1,23 +1,23 @@
-"""Toxicity by the nearest labelled examples, exact TF-IDF cosine.
-
-* *Terms*: from a bounded sample of labelled rows (``MAX_EXAMPLES``, outside the held-out fold)
-  the ``MAX_TERMS`` terms with the highest chi-square against the label. Rare words, which
-  would otherwise fill a TF-IDF vector of a long text, say nothing about the label and are
-  left out.
-* *Statistics*: every whole document is read once and becomes its counts of those terms, a
-  small row that is written; document frequencies are counted over all of these rows.
-* *Index*: the sample's vectors as postings per term, cut into blocks of examples, with the
-  largest impact of each (term, block). The largest impacts bound what any example of a block
-  can reach; blocks are opened by falling bound until the k-th best cosine exceeds the next one,
-  which leaves the k nearest exactly those of a full comparison (ties: the earlier example).
+"""Toxicity by the nearest labelled examples, exact TF-IDF cosine over all of their words.
+
+* *Words*: every word of a bounded sample of labelled rows (``MAX_EXAMPLES``, outside the
+  held-out fold) is a term, however rare; there is no cut and no cap. A word that no example
+  holds meets nothing and only counts as such.
+* *Weights*: (1 + log occurrences) * idf * (chi-square against the label + 1) / examples. Words
+  that say nothing about the label weigh little beside those that do, but a text that has only
+  such words is compared by them.
+* *Statistics*: document frequencies are counted over all documents, as an array per task.
+* *Index*: the sample's unit vectors as postings per term; the ``ROWS`` terms that most examples
+  hold are rows of a matrix instead, multiplied for ``TEXTS_AT_ONCE`` texts together. Every text
+  is compared with every example over all terms (ties: the earlier example).
 * *Votes*: neighbours vote with weight 1 / (1 - cosine + 0.05) besides a prior vote; a logistic
   fit on the sample's leave-one-out votes makes the share of toxic votes a probability. A text
-  with none of the terms is nobody's neighbour and gets the smoothed rate of the examples that
-  have none either. ``evidence`` lists the nearest voters.
+  without a word of any example is nobody's neighbour and gets the smoothed rate of the examples
+  that have no words either. ``evidence`` lists the nearest voters.
 
 Neither the labels of held-out rows nor lang, source or doc_id enter a score.
 
-Defined cases: a null or empty text has no terms; a null id is scored and counts as not held
+Defined cases: a null or empty text has no words; a null id is scored and counts as not held
 out; repeated rows are scored alike; without usable labels every score is 0; other columns
 are ignored by ``score`` and carried by ``keep_clean``; an empty table gives an empty result.
 """
@@ -26,26 +26,27 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import materialise, table
+from fleetlens.llm.common import materialise, table, text_slices
 from fleetlens.llm.learning import held_out, labelled_sample
 
 MAX_EXAMPLES = 8_000
-MAX_TERMS = 256
-MIN_DF = 8
-MIN_CHI2 = 30.0
 NEIGHBOURS = 32
-BLOCK = 64
+BLOCK = MAX_EXAMPLES  # examples a term's postings are kept together for
+ROWS = 1_024  # terms kept as rows over all examples
+TEXTS_AT_ONCE = 64
 PRIOR_VOTES = 2.0
 EVIDENCE = 5
-MEMO = 50_000  # term counts whose answers a task remembers
+SLICE_CHARS = 500_000  # texts whose counts are held at once
 THRESHOLD = 0.5
 
 WORD = re.compile(r"\w+")
@@ -59,57 +60,76 @@ def terms_of(text: str | None) -> list[str]:
 
 
 class BlockMaxIndex:
-    """Postings of unit vectors, by term and block of ``BLOCK`` examples."""
+    """Unit vectors as postings per term, and as matrix rows for the most frequent terms."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
-        # examples that share their heaviest term stand together, so block bounds are tight
-        heaviest = [int(t[np.argmax(w)]) for t, w in vectors]
-        self.example = np.array(
-            sorted(range(len(vectors)), key=lambda e: (heaviest[e], e)), dtype=np.int64
-        )
-        self.n_blocks = -(-len(vectors) // BLOCK)
-        self.bound = np.zeros((n_terms, self.n_blocks))
-        cells: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for place, e in enumerate(self.example.tolist()):
-            block = place // BLOCK
-            for t, w in zip(*(a.tolist() for a in vectors[e]), strict=True):
-                cells.setdefault((t, block), []).append((place % BLOCK, w))
-                self.bound[t, block] = max(self.bound[t, block], w)
-        self.postings = {
-            k: (np.array([p for p, _ in v]), np.array([w for _, w in v])) for k, v in cells.items()
-        }
+        self.n = len(vectors)
+        sizes = np.array([len(t) for t, _ in vectors], dtype=np.int64)
+        terms = np.concatenate([np.zeros(0, np.int32), *[t for t, _ in vectors]]).astype(np.int32)
+        weights = np.concatenate([np.zeros(0), *[w for _, w in vectors]])
+        order = np.argsort(terms, kind="stable")
+        self.example = np.arange(self.n)  # by place
+        self.place = np.repeat(np.arange(self.n, dtype=np.int32), sizes)[order]
+        self.impact = weights[order]
+        self.first = np.searchsorted(terms[order], np.arange(n_terms + 1))
+        # the terms most examples hold also as rows over all examples
+        held = np.diff(self.first)
+        often = np.argsort(-held, kind="stable")[: min(ROWS, int((held > 0).sum()))]
+        self.row = np.full(n_terms, -1, dtype=np.int32)
+        self.row[often] = np.arange(len(often))
+        self.rows = np.zeros((len(often), self.n))
+        for i, t in enumerate(often.tolist()):
+            own = slice(self.first[t], self.first[t + 1])
+            self.rows[i, self.place[own]] = self.impact[own]
+
+    @property
+    def postings(self) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
+        """Places in the block and impacts, by (term, block)."""
+        out = {}
+        for t in np.flatnonzero(np.diff(self.first)).tolist():
+            own = slice(self.first[t], self.first[t + 1])
+            for b in np.unique(self.place[own] // BLOCK).tolist():
+                here = self.place[own] // BLOCK == b
+                out[t, b] = self.place[own][here] % BLOCK, self.impact[own][here]
+        return out
+
+    def cosines(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Cosines of a few texts to all examples, a row per text."""
+        often = np.zeros((len(vectors), len(self.rows)))
+        for i, (terms, weights) in enumerate(vectors):
+            row = self.row[terms]
+            often[i, row[row >= 0]] = weights[row >= 0]
+        out = often @ self.rows
+        for i, (terms, weights) in enumerate(vectors):
+            rare = self.row[terms] < 0
+            terms, weights = terms[rare], weights[rare]
+            sizes = self.first[terms + 1] - self.first[terms]
+            ends = np.cumsum(sizes)
+            if len(ends) and ends[-1]:
+                at = np.arange(ends[-1]) + np.repeat(self.first[terms] - (ends - sizes), sizes)
+                impact = np.repeat(weights, sizes) * self.impact[at]
+                out[i] += np.bincount(self.place[at], weights=impact, minlength=self.n)
+        return np.round(out, 9)
+
+    def best(self, cosines: np.ndarray, k: int, without: int = -1):
+        """Example numbers and cosines of the ``k`` nearest with a cosine above 0."""
+        if without >= 0:
+            cosines[without] = 0
+        least = np.partition(cosines, self.n - k)[self.n - k] if self.n > k else 0.0
+        near = np.flatnonzero((cosines >= least) & (cosines > 0))
+        near = near[np.lexsort((near, -cosines[near]))[:k]]
+        return near, cosines[near]
 
     def nearest(
         self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1
     ) -> tuple[np.ndarray, np.ndarray]:
-        """Example numbers and cosines of the ``k`` nearest with a cosine above 0."""
-        bounds = weights @ self.bound[terms]
-        order = np.argsort(-bounds, kind="stable")
-        found = np.empty(0, dtype=np.int64)
-        cosines = np.empty(0)
-        for b in order.tolist():
-            # the slack covers rounding in the order of summation
-            if bounds[b] <= 0 or (len(found) >= k and bounds[b] < cosines[k - 1] - 1e-9):
-                break
-            own = np.zeros(BLOCK)
-            for t, w in zip(terms.tolist(), weights.tolist(), strict=True):
-                if (t, b) in self.postings:
-                    places, impacts = self.postings[t, b]
-                    own[places] += w * impacts
-            hit = np.flatnonzero(own > 0)
-            examples = self.example[b * BLOCK + hit]
-            hit, examples = hit[examples != without], examples[examples != without]
-            found = np.concatenate([found, examples])
-            cosines = np.concatenate([cosines, np.round(own[hit], 9)])
-            best = np.lexsort((found, -cosines))[:k]
-            found, cosines = found[best], cosines[best]
-        return found, cosines
+        return self.best(self.cosines([(terms, weights)])[0], k, without)
 
 
 @dataclass
 class Model:
     terms: dict[str, int]
-    idf: np.ndarray
+    weight: np.ndarray  # of a term: idf and what it says about the label
     index: BlockMaxIndex
     labels: np.ndarray
     ids: np.ndarray
@@ -121,21 +141,31 @@ class Model:
     def vector(self, counts: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
         terms = np.array([t for t, _ in counts], dtype=np.int64)
         tf = np.array([n for _, n in counts], dtype=np.float64)
-        w = (1 + np.log(tf)) * self.idf[terms]
+        w = (1 + np.log(tf)) * self.weight[terms]
         return terms, w / np.sqrt((w * w).sum())
 
-    def vote(self, terms, weights, without: int = -1):
-        found, cosines = self.index.nearest(terms, weights, NEIGHBOURS, without)
+    def vote(self, cosines: np.ndarray, without: int = -1):
+        found, cosines = self.index.best(cosines, NEIGHBOURS, without)
         power = 1 / (1 - np.minimum(cosines, 1) + 0.05)
         share = (power @ self.labels[found] + PRIOR_VOTES * self.prior) / (
             power.sum() + PRIOR_VOTES
         )
         return float(np.clip(share, 1e-6, 1 - 1e-6)), found, cosines
 
-    def answer(self, counts: list[tuple[int, int]]) -> tuple[float, list[dict]]:
-        if not counts:
-            return self.rate_without_terms, []
-        share, found, cosines = self.vote(*self.vector(counts))
+    def counts(self, text: str | None) -> list[tuple[int, int]]:
+        known = self.terms
+        own = Counter([known[w] for w in terms_of(text) if w in known])
+        return sorted(own.items())
+
+    def answers(self, texts: Iterable[str | None]) -> Iterator[tuple[float, list[dict]]]:
+        texts = iter(texts)
+        while part := [self.counts(t) for t in islice(texts, TEXTS_AT_ONCE)]:
+            rows = iter(self.index.cosines([self.vector(c) for c in part if c]))
+            for c in part:
+                yield self.answer(next(rows)) if c else (self.rate_without_terms, [])
+
+    def answer(self, cosines: np.ndarray) -> tuple[float, list[dict]]:
+        share, found, cosines = self.vote(cosines)
         x = self.slope * np.log(share / (1 - share)) + self.offset
         near = [
             {"doc_id": int(self.ids[e]), "cosine": float(c), "toxic": int(self.labels[e])}
@@ -143,15 +173,13 @@ class Model:
         ]
         return float(1 / (1 + np.exp(-x))), near
 
-    def counts(self, text: str | None) -> list[tuple[int, int]]:
-        known = self.terms
-        own = Counter([known[w] for w in terms_of(text) if w in known])
-        return sorted(own.items())
-
 
 def _calibrated(model: Model, vectors: list, labels: np.ndarray) -> None:
     """Logistic fit of the labels on the leave-one-out votes, by Newton steps."""
-    shares = [model.vote(t, w, without=e)[0] for e, (t, w) in enumerate(vectors)]
+    shares = []
+    for at in range(0, len(vectors), TEXTS_AT_ONCE):
+        rows = model.index.cosines(vectors[at : at + TEXTS_AT_ONCE])
+        shares += [model.vote(row, without=at + i)[0] for i, row in enumerate(rows)]
     x = np.log(np.array(shares) / (1 - np.array(shares)))
     design = np.stack([x, np.ones_like(x)], axis=1)
     beta, start = np.array([1.0, 0.0]), np.array([1.0, 0.0])
@@ -169,135 +197,123 @@ def _calibrated(model: Model, vectors: list, labels: np.ndarray) -> None:
 # ---- learning -----------------------------------------------------------------------------
 
 
-def choose_terms(examples: DataFrame) -> list[str]:
-    """Terms of ``examples (y, text)`` by falling chi-square against the label."""
+COUNTS = "array<struct<term: string, n: int>>"
+
+
+def word_counts(rows: DataFrame) -> DataFrame:
+    """``doc_id``, ``y`` and ``counts``: all words of ``rows (doc_id, y, text)`` and how often."""
+    kind = pa.list_(pa.struct([("term", pa.string()), ("n", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
-                n: Counter[str] = Counter()
-                toxic: Counter[str] = Counter()
-                for y, text in zip(part["y"].to_pylist(), part["text"].to_pylist(), strict=True):
-                    own = set(terms_of(text))
-                    n.update(own)
-                    if y:
-                        toxic.update(own)
-                terms = list(n)
+            for at, n in text_slices(b["text"].to_pylist(), SLICE_CHARS):
+                part = b.slice(at, n)
+                counts = [
+                    [{"term": t, "n": n} for t, n in sorted(Counter(terms_of(text)).items())]
+                    for text in part["text"].to_pylist()
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(terms, type=pa.string()),
-                        pa.array([n[t] for t in terms], type=pa.int64()),
-                        pa.array([toxic[t] for t in terms], type=pa.int64()),
-                    ],
-                    names=["term", "n", "toxic"],
+                    [part["doc_id"], part["y"], pa.array(counts, type=kind)],
+                    names=["doc_id", "y", "counts"],
                 )
 
-    total, positive = examples.agg(F.count("*"), F.sum("y")).first()
-    if not total or not positive or positive == total:
-        return []
-    share = positive / total
-    n, a = F.col("n"), F.col("toxic")
-    chi2 = F.pow(a - n * share, 2) * total / (n * share * (1 - share) * (total - n + 1))
-    rows = (
-        examples.select("y", "text")
-        .mapInArrow(run, "term string, n long, toxic long")
-        .groupBy("term")
-        .agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
-        .filter(n >= MIN_DF)
-        .withColumn("chi2", chi2)
-        .filter(F.col("chi2") >= MIN_CHI2)
-        .orderBy(F.desc("chi2"), "term")
-        .limit(MAX_TERMS)
-    )
-    return [r["term"] for r in rows.select("term").collect()]
+    return rows.select("doc_id", "y", "text").mapInArrow(run, f"doc_id long, y int, counts {COUNTS}")
 
 
-def term_counts(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """``doc_id`` and ``counts``: its (term number, occurrences) pairs, for every whole text."""
-    known = {t: i for i, t in enumerate(terms)}
-    kind = pa.list_(pa.struct([("term", pa.int32()), ("n", pa.int32())]))
+def document_frequencies(docs: DataFrame, known: dict[str, int]) -> tuple[int, np.ndarray]:
+    """The number of documents, and for each known word of those that hold it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, seen = 0, np.zeros(len(known), dtype=np.int64)
         for b in batches:
-            counts = []
-            for text in b["text"].to_pylist():
-                own = Counter([known[w] for w in terms_of(text) if w in known])
-                counts.append([{"term": t, "n": n} for t, n in sorted(own.items())])
-            yield pa.RecordBatch.from_arrays(
-                [b["doc_id"], pa.array(counts, type=kind)], names=["doc_id", "counts"]
-            )
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, counts array<struct<term: int, n: int>>")
-
+            for text in b["text"]:
+                total += 1
+                own = {known[w] for w in set(terms_of(text.as_py())) if w in known}
+                seen[np.fromiter(own, dtype=np.int64, count=len(own))] += 1
+        terms = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.append(terms, -1), type=pa.int32()),  # -1: all documents
+                pa.array(np.append(seen[terms], total), type=pa.int64()),
+            ],
+            names=["term", "n"],
+        )
 
-def learn(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
-    """The model, and the term counts of all documents (written once)."""
+    counted = docs.select("text").mapInArrow(run, "term int, n long").groupBy("term")
+    rows = counted.agg(F.sum("n").alias("n")).toArrow()  # a row per word of the examples
+    terms, n = rows["term"].to_numpy(), rows["n"].to_numpy()
+    out = np.zeros(len(known), dtype=np.int64)
+    out[terms[terms >= 0]] = n[terms >= 0]
+    return int(n[terms < 0].sum()), out
+
+
+def term_weights(
+    terms: np.ndarray, start: np.ndarray, y: np.ndarray, seen: np.ndarray, total: int
+) -> np.ndarray:
+    """idf * (chi-square against the label + 1) / examples, for every word of the examples."""
+    toxic_of = np.repeat(y, np.diff(start))
+    n = np.bincount(terms, minlength=len(seen)).astype(np.float64)
+    a = np.bincount(terms, weights=toxic_of, minlength=len(seen))
+    examples, share = len(y), float(y.mean()) if len(y) else 0.0
+    chi2 = np.zeros(len(seen))
+    if 0 < share < 1:
+        chi2 = (a - n * share) ** 2 * examples / (n * share * (1 - share) * (examples - n + 1))
+    idf = np.log((1 + total) / (1 + seen)) + 1
+    return idf * (chi2 + 1) / max(examples, 1)
+
+
+def learn(docs: DataFrame, labels: DataFrame) -> tuple[Model, int]:
+    """The model, and the number of documents its idf counts."""
     # ids and labels of the sample only: at most MAX_EXAMPLES rows of 12 bytes are broadcast
     sample = F.broadcast(materialise(labelled_sample(labels, "toxic", MAX_EXAMPLES), "tox-sample"))
-    terms = choose_terms(
+    counted = word_counts(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id")
     )
-    counted = materialise(term_counts(docs, terms), "tox-counts")
-    total = counted.count()
-    idf = np.zeros(len(terms))
-    seen = counted.select(F.explode("counts.term").alias("term")).groupBy("term")
-    for t, n in seen.agg(F.count("*").alias("n")).collect():  # a row per term
-        idf[t] = np.log((1 + total) / (1 + n)) + 1
-    # one row per id (of several texts with one id the least), at most MAX_EXAMPLES short rows
-    chosen = counted.join(sample, "doc_id").groupBy("doc_id", "y").agg(F.min("counts").alias("c"))
-    examples = sorted(
-        (r["doc_id"], r["y"], tuple((c["term"], c["n"]) for c in r["c"])) for r in chosen.collect()
-    )
-    labelled = [e for e in examples if e[2]]
-    rest = [e for e in examples if not e[2]]
-    prior = sum(y for _, y, _ in examples) / len(examples) if examples else 0.0
+    # one row per id (of several texts with one id the least), at most MAX_EXAMPLES of them
+    chosen = counted.groupBy("doc_id", "y").agg(F.min("counts").alias("c"))
+    rows = chosen.orderBy("doc_id").toArrow().combine_chunks()
+    ids, y = rows["doc_id"].to_numpy(), rows["y"].to_numpy().astype(np.float64)
+    counts = rows["c"].combine_chunks()
+    pairs = counts.flatten()
+    words = pairs.field("term").dictionary_encode()
+    terms, tf = words.indices.to_numpy(), pairs.field("n").to_numpy()
+    known = {t: i for i, t in enumerate(words.dictionary.to_pylist())}
+    sizes = pc.list_value_length(counts).to_numpy()
+    start = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+
+    total, seen = document_frequencies(docs, known)
+    prior = float(y.mean()) if len(y) else 0.0
+    some = sizes > 0
     model = Model(
-        terms={t: i for i, t in enumerate(terms)},
-        idf=idf,
-        index=BlockMaxIndex([], max(len(terms), 1)),
-        labels=np.array([y for _, y, _ in labelled], dtype=np.float64),
-        ids=np.array([i for i, _, _ in labelled], dtype=np.int64),
+        terms=known,
+        weight=term_weights(terms, start, y, seen, total),
+        index=BlockMaxIndex([], len(known)),
+        labels=y[some],
+        ids=ids[some],
         prior=prior,
-        rate_without_terms=(sum(y for _, y, _ in rest) + prior) / (len(rest) + 1),
+        rate_without_terms=(float(y[~some].sum()) + prior) / (int((~some).sum()) + 1),
     )
-    if labelled:
-        vectors = [model.vector(list(c)) for _, _, c in labelled]
-        model.index = BlockMaxIndex(vectors, len(terms))
+    if some.any():
+        at = [slice(start[e], start[e + 1]) for e in np.flatnonzero(some).tolist()]
+        vectors = [model.vector(list(zip(terms[own].tolist(), tf[own].tolist()))) for own in at]
+        model.index = BlockMaxIndex(vectors, len(known))
         _calibrated(model, vectors, model.labels)
-    return model, counted
+    return model, total
 
 
 # ---- scoring ------------------------------------------------------------------------------
 
 
-class _Answers:
-    """A model's answers, remembered by term counts (most texts have few of the terms)."""
-
-    def __init__(self, model: Model):
-        self.model, self.known = model, {}
-
-    def __call__(self, counts: list[tuple[int, int]]) -> tuple[float, list[dict]]:
-        key = tuple(counts)
-        if key not in self.known:
-            if len(self.known) >= MEMO:
-                self.known.clear()
-            self.known[key] = self.model.answer(counts)
-        return self.known[key]
-
-
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted``, ``evidence`` for every document."""
-    model, counted = learn(docs, labels)
+    model, _ = learn(docs, labels)
     near = pa.list_(
         pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())])
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        answers = _Answers(model)
         for b in batches:
-            got = [answers([(c["term"], c["n"]) for c in row]) for row in b["counts"].to_pylist()]
+            got = list(model.answers(t.as_py() for t in b["text"]))
             yield pa.RecordBatch.from_arrays(
                 [
                     b["doc_id"],
@@ -307,7 +323,8 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 names=["doc_id", "score", "evidence"],
             )
 
-    scored = counted.mapInArrow(
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    scored = rows.mapInArrow(
         run,
         "doc_id long, score double, "
         "evidence array<struct<doc_id: long, cosine: double, toxic: int>>",
@@ -326,9 +343,8 @@ def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model, _ = learn(docs, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        answers = _Answers(model)
         for b in batches:
-            keep = [answers(model.counts(t))[0] < THRESHOLD for t in b["text"].to_pylist()]
+            keep = [s < THRESHOLD for s, _ in model.answers(t.as_py() for t in b["text"])]
             yield b.filter(pa.array(keep, type=pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -75,3 +75,32 @@ def test_edge_rows(spark):
     assert t.keep_clean(edge_docs(spark), none).count() == 11
     assert t.score(empty_docs(spark), labels).count() == 0
     assert t.keep_clean(empty_docs(spark), labels).count() == 0
+
+
+def test_every_word_of_the_examples_counts(spark):
+    ids = [i for i in range(1, 200) if zlib.crc32(str(i).encode()) % 5][:60]
+    texts = {i: f"plain common words own{i}" for i in ids}
+    for i in ids[:2]:  # far too rare to be among chosen words
+        texts[i] = f"bomente own{i}"
+    docs = spark.createDataFrame(
+        [*texts.items(), (900, "bomente"), (901, f"own{ids[5]}"), (902, "unseen")],
+        "doc_id long, text string",
+    )
+    labels = spark.createDataFrame(
+        [(i, int(i in ids[:2])) for i in ids], "doc_id long, toxic int"
+    )
+    got = {r.doc_id: r for r in t.score(docs, labels).collect()}
+    assert [(e.doc_id, e.toxic) for e in got[900].evidence] == [(i, 1) for i in ids[:2]]
+    assert [e.doc_id for e in got[901].evidence] == [ids[5]]
+    assert got[902].evidence == [] and got[900].score > got[901].score
+    model, total = t.learn(docs, labels)
+    assert set(model.terms) == {w for i in ids for w in t.terms_of(texts[i])} and total == 63
+
+
+def test_rare_words_of_held_out_texts_find_neighbours(spark):
+    rows = {r.doc_id: r for r in t.query(spark, SF_ORACLE).collect()}
+    docs = {r.doc_id: r.text for r in table(spark, SF_ORACLE, "documents").collect()}
+    labelled = {r.doc_id for r in table(spark, SF_ORACLE, "labels").filter("toxic is not null").collect()}
+    known = {w for i, r in rows.items() if i in labelled and not r.held_out for w in t.terms_of(docs[i])}
+    for i, r in rows.items():
+        assert bool(r.evidence) == bool(known & set(t.terms_of(docs[i])))
