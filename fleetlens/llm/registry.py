@@ -30,6 +30,5 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_quality_rules": quality_rules.ORACLE,
-    "op2_sampled_pieces": sampled_pieces.query,
     "op4_secrets": secrets_owners.ORACLE,
 }
