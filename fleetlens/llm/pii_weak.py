@@ -145,7 +145,10 @@ def _candidates_of(kind: str, text: Column) -> Column:
         "email": text.contains("@"),
         "phone": text.contains("+"),
         "name": F.lit(True),
-    }.get(kind, text.rlike("[0-9]{2}" if kind != "ip" else r"[0-9]\.[0-9]"))
+        "ip": text.rlike(r"[0-9]\.[0-9]"),
+        "card": text.rlike("[0-9][ -]?[0-9]"),
+        "account": text.rlike("[0-9][ -]?[0-9]"),
+    }.get(kind, text.rlike("[0-9]{2}"))
     found = matches(text, pattern, lambda v: _rules(kind, v), only_if)
     size = {"name": 12, "email": 16, "ip": 11, "iban": 20}.get(kind)
 

@@ -104,3 +104,15 @@ def test_edge_rows(spark):
     assert p.find(empty_docs(spark)).count() == 0
     assert p.mask(empty_docs(spark)).count() == 0
     assert p.fit([]).kind["account"] < 0
+
+
+def test_digits_that_all_stand_alone(spark):
+    texts = [" ".join("4" + "1" * 15), "-".join("4" + "1" * 15), "x 5 5 0 0-0 0 0 0-0 0 0 0 0 0 0 4."]
+    rows = {r.doc_id: r.found for r in p.find(docs_of(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        assert [tuple(s) for s in rows[i] if s.kind in p.BASE] == base_spans(t, PII)
+        assert [s.kind for s in rows[i]] == ["card"]
+    masked = {r.doc_id: r.text for r in p.mask(docs_of(spark, texts)).collect()}
+    assert masked == {0: "[CARD]", 1: "[CARD]", 2: "x [CARD]."}
+    account = docs_of(spark, [" ".join("4" + "1" * 11)]).select(p.candidates("text").alias("c"))
+    assert [s.kind for s in account.first().c] == ["account"]
