@@ -9,7 +9,7 @@
   row per owner and repository before it meets others.
 * *Verdict*: a candidate is *live* when it looks random (enough different characters, no
   placeholder in it) and at most ``MAX_OWNERS`` owners hold it; what many owners copy is an
-  example. Only live candidates of the wider shapes are added to the spans; base spans are
+  example. Only owners decide, as in the SQL; the number of repositories enters no row. Only live candidates of the wider shapes are added to the spans; base spans are
   counted as live or example.
 
 In the ``documents`` table the owner is ``source`` and the repository ``source/lang``.
