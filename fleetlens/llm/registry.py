@@ -12,6 +12,7 @@ from fleetlens.llm import (
     sampled_pieces,
     secrets_owners,
     simhash_gph,
+    spelling_pivots,
     toxicity_knn,
 )
 
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_fingerprint": fingerprint_cth.query,
     "op9_quality": quality_bt.query,
     "op10_simhash": simhash_gph.query,
+    "op11_spelling": spelling_pivots.query,
 }
 
 ORACLE_SQL = {
