@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,3 +55,18 @@ def text_slices(texts: list[str | None], chars: int) -> Iterator[tuple[int, int]
         if held >= chars or i + 1 == len(texts):
             yield at, i + 1 - at
             at, held = i + 1, 0
+
+
+def batch_slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in runs of rows with some ``size`` bytes of ``column``, one row at least.
+
+    Only a slice's texts become Python strings at once, however long the batch's texts are.
+    """
+    length = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(length.astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        held = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, held + size, side="right")))
+        yield batch.slice(at, to - at)
+        at = to

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from fleetlens.llm import (
+    filter_audit,
     fingerprint_cth,
     html_lstm,
     packing,
@@ -28,9 +29,11 @@ QUERIES = {
     "op9_quality": quality_bt.query,
     "op10_simhash": simhash_gph.query,
     "op11_spelling": spelling_pivots.query,
+    "op12_filter_audit": filter_audit.query,
 }
 
 ORACLE_SQL = {
     "op1_quality_rules": quality_rules.ORACLE,
     "op4_secrets": secrets_owners.ORACLE,
+    "op12_filter_audit": filter_audit.ORACLE,
 }
