@@ -15,6 +15,7 @@ from fleetlens.llm import (
     simhash_gph,
     spelling_pivots,
     toxicity_knn,
+    warc_archive,
 )
 
 QUERIES = {
@@ -30,10 +31,12 @@ QUERIES = {
     "op10_simhash": simhash_gph.query,
     "op11_spelling": spelling_pivots.query,
     "op12_filter_audit": filter_audit.query,
+    "op13_warc": warc_archive.query,
 }
 
 ORACLE_SQL = {
     "op1_quality_rules": quality_rules.ORACLE,
     "op4_secrets": secrets_owners.ORACLE,
     "op12_filter_audit": filter_audit.ORACLE,
+    "op13_warc": warc_archive.ORACLE,
 }
