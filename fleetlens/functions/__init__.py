@@ -1,5 +1,6 @@
 """Column -> Column building blocks (all native Spark expressions, no Python UDFs)."""
 
+from fleetlens.functions.morton import box_ranges, cell_in_box, cell_of
 from fleetlens.functions.predicates import (
     flag_set,
     hour_in,
@@ -20,6 +21,9 @@ from fleetlens.functions.timefmt import (
 )
 
 __all__ = [
+    "box_ranges",
+    "cell_in_box",
+    "cell_of",
     "day_label",
     "flag_set",
     "hour_in",

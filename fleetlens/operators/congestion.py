@@ -24,7 +24,7 @@ DEFAULT_WEST = -6.2886331
 DEFAULT_HOURS = ["07", "08", "09"]
 
 
-def _hour_text(hour_number):
+def hour_text(hour_number):
     return F.format_string("%02d", hour_number)
 
 
@@ -59,7 +59,7 @@ def congestion_by_hour(
     return (
         per_hour.filter(c > 0)
         .select(
-            _hour_text(F.col("_h")).alias("hour"),
+            hour_text(F.col("_h")).alias("hour"),
             F.round(c / t * 100, 2).alias("percentage"),
             t,
             c,
@@ -74,7 +74,7 @@ def reports_per_hour(m: DataFrame) -> DataFrame:
     require_columns(m, "ts")
     # group on the integer hour; format the (at most 24) result rows, not every input row
     per_hour = m.groupBy(F.hour("ts").alias("_h")).agg(F.count(F.lit(1)).alias("numMeasurements"))
-    return per_hour.select(_hour_text(F.col("_h")).alias("hour"), "numMeasurements")
+    return per_hour.select(hour_text(F.col("_h")).alias("hour"), "numMeasurements")
 
 
 def hourly_counts_joined(m: DataFrame) -> DataFrame:
@@ -89,7 +89,7 @@ def hourly_counts_joined(m: DataFrame) -> DataFrame:
     per_flag = (
         m.groupBy(F.hour("ts").alias("_h"), flag_set(F.col("congestion")).alias("_congested"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(_hour_text(F.col("_h")).alias("hour"), "_congested", "_n")
+        .select(hour_text(F.col("_h")).alias("hour"), "_congested", "_n")
     )
     totals = per_flag.groupBy("hour").agg(F.sum("_n").alias("numMeasurements"))
     # Not `filter(_congested)` first: a filter on a grouping key is pushed below the

@@ -1,15 +1,16 @@
 """Q2: a vehicle's first arrival at each (line, stop) on one day, with an on-time flag.
 
-The earliest report per (line, stop) is the minimum of a struct ordered like the whole input
-row (time first, then the remaining fields in input order), so ties resolve deterministically
-and identically to sorting the group's rows. ``min`` is an ordinary aggregate: each map task
-reduces its rows to one candidate per group before the shuffle, so a hot (line, stop) costs
-one row per task, never a whole group in one task.
+The earliest report per (line, stop) is the first row of the group in the order of the whole input
+row (time first, then the remaining fields in input order), so ties resolve deterministically and
+identically to sorting the group's rows. ``row_number() = 1`` plans as a group limit on both sides
+of the shuffle: each map task keeps one candidate per group, so a hot (line, stop) costs one row
+per task, never a whole group in one task. (A ``min`` over the row as a struct would plan as two
+sort aggregates, since a struct has no place in a hash aggregate's buffer.)
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions import flag_set, on_day, on_time, time_of_day
@@ -49,17 +50,18 @@ def first_arrivals(
 
     ``exclude_no_stop`` leaves out reports with no stop nearby, which otherwise form a group.
     """
-    row = F.struct(instant_text(F.col("ts")).alias("time"), *_ROW_ORDER)
+    order = Window.partitionBy("busLineID", "closerStopID").orderBy("_time", *_ROW_ORDER)
     first = (
         _vehicle_day_at_stop(m, vehicle_id, day, exclude_no_stop)
-        .groupBy("busLineID", "closerStopID")
-        .agg(F.min(row).alias("_first"))
+        .withColumn("_time", instant_text(F.col("ts")))
+        .withColumn("_rank", F.row_number().over(order))
+        .filter(F.col("_rank") == 1)
     )
     return first.select(
         F.col("busLineID").alias("lineID"),
         F.col("closerStopID").alias("stationID"),
-        F.substring(F.col("_first.time"), 12, 8).alias("arrivalTime"),
-        on_time(F.col("_first.delay"), delay_limit).alias("onTime"),
+        F.substring("_time", 12, 8).alias("arrivalTime"),
+        on_time(F.col("delay"), delay_limit).alias("onTime"),
     ).orderBy("arrivalTime", "lineID", "stationID")
 
 

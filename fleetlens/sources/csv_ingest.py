@@ -35,6 +35,9 @@ _DOUBLE_FIELDS = {"longitude", "latitude"}
 
 BAD_COLUMNS = ["line", "reason"]
 
+# Raised with every change of what is good: stores know by it which bad lines to parse again.
+PARSER_VERSION = 1
+
 # What Python's str.strip() removes around a line, built from Python's own rule: every
 # character that str.isspace() accepts (the highest one is U+3000).
 _WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())

@@ -20,8 +20,9 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from fleetlens.sources.commits import folder_exists
 from fleetlens.sources.csv_ingest import parse_lines
-from fleetlens.sources.store import folder_exists, store_rows, stream_path
+from fleetlens.sources.store import store_rows, stream_path
 
 
 def start_ingest_stream(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import differential
-
 import __spark_entry__ as e
 
 
@@ -11,11 +9,3 @@ def test_every_oracle_is_sql_of_a_query():
     for name, sql in e.oracle_sql().items():
         assert name in e.queries()
         assert isinstance(sql, str), name
-
-
-def test_queries_without_sql_are_named_and_skipped(spark, capsys, monkeypatch):
-    monkeypatch.setattr("fleetlens.session.get_session", lambda *a, **k: spark)
-    argv = ["differential.py", "/root/testdata/sf0.001", "op2_sampled_pieces", "op10_simhash"]
-    assert differential.main(argv) == 0
-    out = capsys.readouterr().out
-    assert "op2_sampled_pieces: no SQL" in out and "op10_simhash: no SQL" in out

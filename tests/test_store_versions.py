@@ -1,0 +1,286 @@
+"""The ingest store as snapshots: readers during a replacement, replay, landing folders, states."""
+
+from __future__ import annotations
+
+import threading
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+from test_ingest import MALFORMED
+
+from fleetlens import operators as ops
+from fleetlens.operators import history
+from fleetlens.session import shared_dir
+from fleetlens.sources import (
+    commits,
+    ingest_csv_to_store,
+    ingest_new_files,
+    landed_files,
+    parse_lines,
+    read_ingested,
+    read_states,
+    refresh_states,
+    replay_bad,
+    vacuum,
+)
+from fleetlens.streaming import start_ingest_stream
+
+
+def line(minute, line_id=1, delay=10, vehicle=33145, stop=279, at_stop=1, congestion=0):
+    return f"2013-01-07 08:{minute:02d}:00,{line_id},A,{congestion},-6.25,53.35,{delay},{vehicle},{stop},{at_stop}"
+
+
+def land(folder: Path, name: str, *lines: str) -> str:
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("".join(f"{x}\n" for x in lines))
+    return str(folder / name)
+
+
+@pytest.fixture
+def dest(spark):
+    return shared_dir(spark, "versions")
+
+
+def vehicles(df):
+    return sorted(r["vehicleID"] for r in df.select("vehicleID").collect())
+
+
+def test_a_reader_sees_all_old_or_all_new_rows(spark, tmp_path, dest):
+    old = land(tmp_path / "in", "old.csv", *[line(i, vehicle=1) for i in range(30)], "bad")
+    new = land(tmp_path / "in", "new.csv", *[line(i, vehicle=2) for i in range(20)])
+    ingest_csv_to_store(spark, old, dest, batch="a")
+    held, held_bad = read_ingested(spark, dest)
+    averages = ops.line_delay_average(held)
+    ingest_csv_to_store(spark, new, dest, batch="a")
+    # the plans made before still read what was there, any number of times
+    assert vehicles(held) == [1] * 30 and held_bad.count() == 1
+    assert vehicles(held.filter("minute(ts) < 7")) == [1] * 7
+    assert [tuple(r) for r in averages.collect()] == [(1, 10.0)]
+    good, bad = read_ingested(spark, dest)
+    assert vehicles(good) == [2] * 20 and bad.count() == 0
+
+
+def test_no_reader_meets_a_gap_while_batches_are_replaced(spark, tmp_path, dest):
+    files = [land(tmp_path / "in", f"{k}.csv", *[line(i, vehicle=k) for i in range(40)]) for k in (0, 1)]
+    ingest_csv_to_store(spark, files[0], dest, batch="a")
+    seen, stop, errors = [], threading.Event(), []
+
+    def read():
+        try:
+            while not stop.is_set():
+                seen.append(tuple(sorted(set(vehicles(read_ingested(spark, dest).good)))))
+                assert read_ingested(spark, dest).good.count() == 40
+        except Exception as e:  # noqa: BLE001 - shown below
+            errors.append(e)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for k in (1, 0, 1, 0, 1):
+        ingest_csv_to_store(spark, files[k], dest, batch="a")
+    stop.set()
+    reader.join(120)
+    assert not errors and set(seen) <= {(0,), (1,)} and seen
+
+
+def test_a_write_that_failed_before_its_commit_is_not_read(spark, tmp_path, dest, monkeypatch):
+    a = land(tmp_path / "in", "a.csv", line(1, vehicle=1))
+    b = land(tmp_path / "in", "b.csv", line(1, vehicle=2))
+    ingest_csv_to_store(spark, a, dest, batch="x")
+
+    def fail(*_):
+        raise RuntimeError("the driver is gone")
+
+    with monkeypatch.context() as m:
+        m.setattr(commits, "commit", fail)
+        with pytest.raises(RuntimeError):
+            ingest_csv_to_store(spark, b, dest, batch="x")
+    assert vehicles(read_ingested(spark, dest).good) == [1]
+    ingest_csv_to_store(spark, b, dest, batch="x")
+    assert vehicles(read_ingested(spark, dest).good) == [2]
+
+
+def test_commits_at_the_same_time_keep_each_other(spark, dest):
+    def change(k):
+        return lambda batches: {**batches, f"b{k}": {"good": [], "bad": [], "parser": 1}}
+
+    errors = []
+
+    def work(k):
+        try:
+            for i in range(4):
+                commits.commit(spark, dest, change(10 * k + i))
+        except Exception as e:  # noqa: BLE001
+            errors.append(e)
+
+    threads = [threading.Thread(target=work, args=(k,)) for k in range(3)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join(60)
+    last = commits.current(spark, dest)
+    assert not errors and len(last.batches) == last.number == 12
+    # a number that is taken is not written over
+    assert not commits._create(spark, commits._file(dest, 3), "{}")
+    assert commits.read(spark, dest, 3).number == 3
+
+
+def test_vacuum_removes_what_no_kept_snapshot_names(spark, tmp_path, dest):
+    a = land(tmp_path / "in", "a.csv", line(1, vehicle=1))
+    for _ in range(3):
+        ingest_csv_to_store(spark, a, dest, batch="x")
+        refresh_states(spark, dest)
+    ingest_csv_to_store(spark, a, dest, batch="y")
+    assert vacuum(spark, dest, keep=1) == 2 + 2 * len(history.STATES)
+    assert vehicles(read_ingested(spark, dest).good) == [1, 1]
+    assert vacuum(spark, dest, keep=1) == 0
+    assert read_states(spark, dest, "line_delays").agg(F.sum("n")).first()[0] == 2
+
+
+# ---- replay -------------------------------------------------------------------------------
+
+
+def mended(lines):
+    """Reads a day written with slashes as well."""
+    return parse_lines(lines.select(F.regexp_replace("value", r"^(\d{4})/(\d\d)/", "$1-$2-").alias("value")))
+
+
+def test_replay_moves_rows_from_bad_to_good(spark, tmp_path, dest):
+    slashed = [line(i, vehicle=9).replace("2013-01-", "2013/01/") for i in range(3)]
+    src = land(tmp_path / "in", "a.csv", *slashed, *MALFORMED.strip().split("\n"))
+    other = land(tmp_path / "in", "b.csv", line(1, vehicle=5), "rubbish")
+    ingest_csv_to_store(spark, src, dest, batch="a")
+    ingest_csv_to_store(spark, other, dest, batch="b")
+    refresh_states(spark, dest)
+    good, bad = read_ingested(spark, dest)
+    assert (good.count(), bad.count()) == (2, 9)
+    lines = sorted(r.line for r in bad.collect())
+
+    assert replay_bad(spark, dest) == []  # the same parser: nothing to do
+    assert replay_bad(spark, dest, mended, parser=2) == ["a", "b"]
+    good2, bad2 = read_ingested(spark, dest)
+    assert (good2.count(), bad2.count()) == (5, 6)
+    assert vehicles(good2)[:3] == sorted(vehicles(good) + [9] * 3)[:3]
+    moved = {x for x in lines if "2013/01/" in x}
+    assert sorted(r.line for r in bad2.collect()) == sorted(x for x in lines if x not in moved)
+    assert (good.count(), bad.count()) == (2, 9)  # plans made before
+    assert replay_bad(spark, dest, mended, parser=2) == []
+    # states follow: only the replayed rows are new
+    states = read_states(spark, dest, "line_delays")
+    assert [tuple(r) for r in ops.history_line_delay_average(states).collect()] == [
+        tuple(r) for r in ops.line_delay_average(good2).collect()
+    ]
+
+
+def test_a_batch_replaced_during_its_replay_is_left_alone(spark, tmp_path, dest):
+    src = land(tmp_path / "in", "a.csv", "rubbish")
+    new = land(tmp_path / "in", "b.csv", line(1, vehicle=7), "other rubbish")
+    ingest_csv_to_store(spark, src, dest, batch="a")
+
+    def parse(lines):
+        ingest_csv_to_store(spark, new, dest, batch="a")
+        return mended(lines)
+
+    assert replay_bad(spark, dest, parse, parser=2) == []
+    good, bad = read_ingested(spark, dest)
+    assert vehicles(good) == [7] and [r.line for r in bad.collect()] == ["other rubbish"]
+
+
+# ---- landing folders ----------------------------------------------------------------------
+
+
+def test_a_grown_folder_is_parsed_for_its_new_files_only(spark, tmp_path, dest):
+    src = tmp_path / "landing"
+    land(src, "a.csv", line(1, vehicle=1))
+    land(src, "b.csv", line(2, vehicle=2), "bad")
+    assert ingest_new_files(spark, str(src), dest, batch="one") == 2
+    assert ingest_new_files(spark, str(src), dest, batch="two") == 0
+    assert "two" not in commits.current(spark, dest).batches
+    land(src, "c.csv", line(3, vehicle=3))
+    assert ingest_new_files(spark, str(src), dest, batch="two") == 1
+    good, bad = read_ingested(spark, dest)
+    assert vehicles(good) == [1, 2, 3] and bad.count() == 1
+    names = sorted((r.path.rpartition("/")[2], r.batch) for r in landed_files(spark, dest).collect())
+    assert names == [("a.csv", "one"), ("b.csv", "one"), ("c.csv", "two")]
+    with pytest.raises(ValueError, match="has a batch"):
+        ingest_new_files(spark, str(src), dest, batch="one")
+    land(src, "a.csv", line(1, vehicle=1), line(2, vehicle=1))
+    with pytest.raises(ValueError, match="changed"):
+        ingest_new_files(spark, str(src), dest, batch="three")
+
+
+def test_files_of_a_failed_run_are_still_new(spark, tmp_path, dest, monkeypatch):
+    src = tmp_path / "landing"
+    land(src, "a.csv", line(1, vehicle=1))
+
+    def fail(*_):
+        raise RuntimeError("the driver is gone")
+
+    with monkeypatch.context() as m:
+        m.setattr(commits, "commit", fail)
+        with pytest.raises(RuntimeError):
+            ingest_new_files(spark, str(src), dest, batch="one")
+    assert ingest_new_files(spark, str(src), dest, batch="one") == 1
+    assert vehicles(read_ingested(spark, dest).good) == [1]
+
+
+# ---- states -------------------------------------------------------------------------------
+
+
+def answers(spark, dest):
+    out = []
+    for kind, f in (
+        ("line_delays", ops.history_line_delay_average),
+        ("line_delays", ops.history_line_abs_delay_average),
+        ("hours", ops.history_hourly_counts),
+        ("stop_vehicles", ops.history_vehicle_lists),
+    ):
+        out.append(sorted((tuple(r) for r in f(read_states(spark, dest, kind)).collect()), key=repr))
+    return out
+
+
+def direct(good):
+    frames = [
+        ops.line_delay_average(good),
+        ops.line_abs_delay_average(good),
+        ops.hourly_counts_joined(good),
+        ops.vehicles_per_stop(good),
+    ]
+    return [sorted((tuple(r) for r in f.collect()), key=repr) for f in frames]
+
+
+def test_states_answer_as_the_rows_do(spark, tmp_path, dest):
+    """Also for a line whose one report keeps its sign, until another batch brings a second."""
+    src = tmp_path / "in"
+    a = land(src, "a.csv", line(1, line_id=4, delay=-30), line(2, delay=-5, congestion=1), line(3, delay=5, vehicle=2))
+    b = land(src, "b.csv", line(1, line_id=5, delay=-7), line(4, delay=20, stop=-1), line(5, at_stop=0, line_id=6))
+    c = land(src, "c.csv", line(9, line_id=4, delay=-10), "bad")
+    ingest_csv_to_store(spark, a, dest, batch="a")
+    ingest_csv_to_store(spark, b, dest, batch="b")
+    assert answers(spark, dest) == direct(read_ingested(spark, dest).good)  # nothing kept yet
+    assert refresh_states(spark, dest) == 2 * len(history.STATES)
+    assert refresh_states(spark, dest) == 0
+    assert dict(answers(spark, dest)[0])[4] == -30.0
+    ingest_csv_to_store(spark, c, dest, batch="c")
+    assert dict(answers(spark, dest)[0])[4] == 20.0
+    # a batch is replaced: its states are made anew, the others stay
+    held = read_states(spark, dest, "line_delays")
+    ingest_csv_to_store(spark, c, dest, batch="a")
+    assert answers(spark, dest) == direct(read_ingested(spark, dest).good)
+    assert refresh_states(spark, dest, ["hours"]) == 2
+    assert answers(spark, dest) == direct(read_ingested(spark, dest).good)
+    assert held.agg(F.sum("n")).first()[0] == 6  # as of its snapshot
+    # and a stream beside the batches
+    land(tmp_path / "stream", "s.csv", line(7, line_id=8, delay=3), line(8, vehicle=77))
+    start_ingest_stream(spark, str(tmp_path / "stream"), dest).awaitTermination(120)
+    assert answers(spark, dest) == direct(read_ingested(spark, dest).good)
+
+
+def test_a_version_without_reports_has_an_empty_state(spark, tmp_path, dest):
+    src = land(tmp_path / "in", "a.csv", line(1, at_stop=0))
+    ingest_csv_to_store(spark, src, dest, batch="a")
+    assert refresh_states(spark, dest) == len(history.STATES)
+    assert read_states(spark, dest, "line_delays").count() == 0
+    assert refresh_states(spark, dest) == 0
+    empty = shared_dir(spark, "no-batches")
+    assert read_states(spark, empty, "hours").count() == 0
