@@ -31,28 +31,32 @@ import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import materialise, table, text_slices
+from fleetlens.llm.common import batch_slices, materialise, table
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END = b"\0\0\0\0"
-ROUNDS = 24  # most price updates in a pass over the histogram
-RESOLVES = 120  # most dynamic programs solved again inside a pass
-PASSES = 4
+ROUNDS = 24  # price updates in a pass over the histogram
+RESOLVES = 120  # dynamic programs solved again inside a pass when lengths have run out
+PASSES = 4  # over what rounding left
+WORTH = 0.002  # share of the pieces below which what is left is not worth another pass
 RATE = 2.0  # of the weights' exponents
 SLACK = 0.002  # open share of a configuration that is taken after lengths have run out
-CACHE_WORDS = 800_000  # words whose ids a Python worker keeps
-CACHE_BYTES = 64  # longest word kept
-SLICE_CHARS = 1_000_000  # of the texts that are tokenised together
-# Signs between an ASCII letter and white space or the end; not ' (it opens contractions).
-CLOSING = re.compile(rb"(?<=[a-z])[!-&(-/:-@\[-`{-~]+(?=[ \t\n\x0b\f\r]|\Z)")
+KEPT = {"chunks": 400_000, "pieces": 300_000}  # in a generation of a Python worker's memory
+KEPT_BYTES = 64  # the longest kept
+SLICE_BYTES = 4_000_000  # of the texts that are tokenised together
+GATHERED = 1_000_000  # chunks whose ids are put one after the other at once
+# Signs between an ASCII letter and the end of a chunk; not ' (it opens contractions).
+CLOSING = re.compile(rb"(?<=[a-zA-Z])[!-&(-/:-@\[-`{-~]+(?=\n|\Z)")
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -74,53 +78,123 @@ def _worker_state(path: str) -> types.ModuleType:
 
         state = types.ModuleType(key)
         state.tokenizer = Tokenizer.from_file(path)
-        state.words = {}
+        state.chunks, state.pieces = Remembered(KEPT["chunks"]), Remembered(KEPT["pieces"])
         sys.modules[key] = state
     return state
 
 
-def _words(text: str | None) -> list[bytes]:
-    """Pieces of a text between which the tokenizer always cuts, in order.
+class Remembered:
+    """What was found for keys seen lately: two generations, of which the older one is dropped
+    when the younger is full, so that frequent keys stay and rare ones make room."""
 
-    It drops white space and never joins across it (ASCII white space is a subset of what it
-    drops), it lower-cases, and it cuts between a letter and a following sign. So a text's ids
-    are those of its words one after the other, signs that close a word apart from it, all in
-    lower case: far fewer different words. Where a special token may stand, words stay whole.
-    """
-    data = (text or "").encode("utf-8")
-    if b"<|" in data:
-        return data.split()
-    return CLOSING.sub(rb" \g<0>", data.lower()).split()
+    def __init__(self, size: int):
+        self.size = size
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
+    def missing(self, keys: list[bytes]) -> list[bytes]:
+        """Of keys that are not in the younger generation those that are not known at all; the
+        others are taken over."""
+        out = []
+        for k in keys:
+            x = self.old.get(k)
+            if x is None:
+                out.append(k)
+            else:
+                self.young[k] = x
+        return out
 
-def token_bytes(texts: list[str | None], path: str) -> list[bytes]:
-    """Each text's ids as little-endian 32-bit numbers, without the closing id."""
-    state = _worker_state(path)
-    if len(state.words) > CACHE_WORDS:
-        state.words.clear()
-    known = state.words
-    words: list[bytes] = []
-    ends = []
-    for t in texts:
-        words += _words(t)
-        ends.append(len(words))
-    ids = list(map(known.get, words))
-    gaps = [i for i, x in enumerate(ids) if x is None]
-    new = list({words[i] for i in gaps})
-    for at in range(0, len(new), 20_000):
-        part = new[at : at + 20_000]
+    def turn(self) -> None:
+        if len(self.young) > self.size:
+            self.old, self.young = self.young, {}
+
+
+def _may_lower(text: str | None) -> bool:
+    """Whether A-Z may be lower-cased before the tokenizer does it: it composes (NFC) first, so a
+    letter and a mark that compose in lower case only must not meet that way, and no special
+    token may come about."""
+    if not text or "<|" in text:
+        return False
+    if text.isascii():
+        return True
+    lowered = text.encode("utf-8").lower().decode("utf-8")
+    return is_normalized("NFC", text) and is_normalized("NFC", lowered)
+
+
+def _pieces(chunks: list[bytes]) -> list[list[bytes]]:
+    """Pieces of chunks between which the tokenizer always cuts: it does between a letter and a
+    following sign, so the signs that close a chunk stand apart from it, and far fewer different
+    pieces are left. A chunk that may hold a special token stays whole."""
+    if not chunks:
+        return []
+    lines = CLOSING.sub(rb" \g<0>", b"\n".join(chunks)).split(b"\n")
+    return [[c] if b"<|" in c else x.split(b" ") for c, x in zip(chunks, lines, strict=True)]
+
+
+def _encode(state: types.ModuleType, pieces: list[bytes]) -> None:
+    """Add the ids of new pieces to what the worker knows."""
+    for at in range(0, len(pieces), 20_000):
+        part = pieces[at : at + 20_000]
         encoded = state.tokenizer.encode_batch_fast(
             [w.decode("utf-8") for w in part], add_special_tokens=False
         )
-        known.update(
+        state.pieces.young.update(
             (w, array("I", e.ids).tobytes()) for w, e in zip(part, encoded, strict=True)
         )
+
+
+def _chunk_ids(state: types.ModuleType, chunks: list[bytes]) -> list[bytes]:
+    """Ids of different chunks, most of them known to the worker."""
+    state.chunks.turn()
+    state.pieces.turn()
+    known, ids_of = state.chunks.young, state.pieces.young
+    data = list(map(known.get, chunks))
+    gaps = [i for i, x in enumerate(data) if x is None]
+    new = state.chunks.missing([chunks[i] for i in gaps])
+    cut = _pieces(new)
+    wanted = {p for own in cut for p in own}
+    _encode(state, state.pieces.missing([p for p in wanted if p not in ids_of]))
+    for c, own in zip(new, cut, strict=True):
+        known[c] = ids_of[own[0]] if len(own) == 1 else b"".join([ids_of[p] for p in own])
     for i in gaps:
-        ids[i] = known[words[i]]
-    for w in new:
-        if len(w) > CACHE_BYTES:
-            del known[w]
-    return [b"".join(ids[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
+        data[i] = known[chunks[i]]
+    for kept, keys in ((known, new), (ids_of, wanted)):
+        for k in keys:
+            if len(k) > KEPT_BYTES:
+                del kept[k]
+    return data
+
+
+def token_bytes(texts: pa.Array | list[str | None], path: str) -> list[bytes]:
+    """Each text's ids as little-endian 32-bit numbers, without the closing id.
+
+    The tokenizer drops white space and never joins, composes or changes case across it (ASCII
+    white space is a subset of what it drops), so a text's ids are those of the chunks between,
+    one after the other. Arrow splits the texts and finds the different chunks; only these are
+    looked up, and only those not met lately are encoded.
+    """
+    state = _worker_state(path)
+    texts = texts if isinstance(texts, pa.Array) else pa.array(texts, type=pa.string())
+    lower = pa.array([_may_lower(t) for t in texts.to_pylist()], type=pa.bool_())
+    texts = pc.fill_null(texts, "")
+    parts = pc.ascii_split_whitespace(pc.if_else(lower, pc.ascii_lower(texts), texts))
+    coded = parts.flatten().dictionary_encode()
+    chunks = coded.dictionary.cast(pa.binary()).to_pylist()
+    data = _chunk_ids(state, chunks)
+    sizes = np.fromiter(map(len, data), dtype=np.int64, count=len(data)) // 4
+    first, ids = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(data), dtype="<u4")
+    codes = coded.indices.to_numpy()
+    out = []
+    for at in range(0, len(codes), GATHERED):
+        own = codes[at : at + GATHERED]
+        size = sizes[own]
+        ends = np.cumsum(size)
+        out.append(ids[np.arange(ends[-1]) + np.repeat(first[own] - (ends - size), size)].tobytes())
+    joined = b"".join(out)
+    # where each text's ids end: after those of its last chunk
+    end_of = np.concatenate([[0], 4 * np.cumsum(sizes[codes])])
+    ends = end_of[np.cumsum(pc.list_value_length(parts).to_numpy())].tolist()
+    return [joined[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
 PIECES = (
@@ -137,13 +211,10 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -
         seen: Counter[int] = Counter()
         size = 4 * capacity
         for batch in batches:
-            texts = batch["text"].to_pylist()
-            for at, n_rows in text_slices(texts, SLICE_CHARS):
-                ids_of = batch["doc_id"].slice(at, n_rows).to_pylist()
+            for slice_ in batch_slices(batch, "text", SLICE_BYTES):
                 rows = []
-                for doc_id, ids in zip(
-                    ids_of, token_bytes(texts[at : at + n_rows], path), strict=True
-                ):
+                texts = token_bytes(slice_["text"], path)
+                for doc_id, ids in zip(slice_["doc_id"].to_pylist(), texts, strict=True):
                     ids += END
                     for k in range(0, len(ids), size):
                         own = ids[k : k + size]
@@ -204,18 +275,21 @@ def _lp_pass(
     at = {int(l): i for i, l in enumerate(lengths)}
     covered = np.zeros(len(lengths), dtype=np.int64)
     used: Counter[tuple[int, ...]] = Counter()
-    rounds = int(max(1, min(ROUNDS, np.median(counts) // 4)))
     resolves, spent = RESOLVES, False
+    # Of every length a share is due in each round, whatever its count: the fractional parts are
+    # spread over the rounds, so single pieces fall due one after the other and not all at last.
+    phase = np.arange(len(lengths)) * 0.6180339887498949 % 1.0
     # the start of the dual: a length is worth its share of a sequence, long ones a little more
     worth = lengths + 0.5 * (lengths / capacity) ** 2
-    for t in range(1, rounds + 1):
-        lag = t / rounds - covered / counts
+    for t in range(1, ROUNDS + 1):
+        due = counts if t == ROUNDS else np.floor(counts * (t / ROUNDS) + phase).astype(np.int64)
+        lag = t / ROUNDS - covered / counts
         prices = np.where(covered < counts, worth * np.exp(RATE * lag), 0.0)
         best = Knapsack(lengths, prices, capacity)
         for i in range(len(lengths) - 1, -1, -1):
             l = int(lengths[i])
             while True:
-                need = int(counts[i] * t // rounds - covered[i])
+                need = int(min(due[i], counts[i]) - covered[i])
                 if need < 1:
                     break
                 own = Counter([l, *best.fill(capacity - l)])
@@ -280,24 +354,38 @@ def _best_fit(
     return out
 
 
+def best_fit_decreasing(histogram: dict[int, int], capacity: int = CAPACITY) -> Counter[tuple[int, ...]]:
+    """The heuristic alone, without the linear program."""
+    lengths = sorted(l for l, n in histogram.items() if n > 0)
+    counts = np.array([histogram[l] for l in lengths], dtype=np.int64)
+    return _best_fit(Counter(), np.array(lengths, dtype=np.int64), counts, capacity)
+
+
 def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> Counter[tuple[int, ...]]:
-    """Configurations (lengths in a sequence) and how many sequences are filled so."""
+    """Configurations (lengths in a sequence) and how many sequences are filled so.
+
+    The linear program is rounded down to whole sequences, and what that leaves is solved again
+    while it is worth a pass (``PASSES``, ``WORTH``); the last pieces go best-fit decreasing. On a
+    few pieces rounding can cost more than the program gains, so the heuristic's answer is taken
+    where it is better: never more sequences than best-fit decreasing.
+    """
     groups: Counter[tuple[int, ...]] = Counter()
     left = {l: n for l, n in histogram.items() if n > 0}
     if left.get(capacity):
         groups[(capacity,)] = left.pop(capacity)
     total = sum(left.values())
     for _ in range(PASSES):
-        if not left or sum(left.values()) < 0.002 * total:
+        if not left or sum(left.values()) < WORTH * total:
             break
         lengths = np.array(sorted(left), dtype=np.int64)
         used, rest = _lp_pass(lengths, np.array([left[l] for l in lengths.tolist()]), capacity)
         groups.update(used)
         left = {l: n for l, n in zip(lengths.tolist(), rest.tolist(), strict=True) if n}
     lengths = np.array(sorted(left), dtype=np.int64)
-    return _best_fit(
-        groups, lengths, np.array([left[l] for l in lengths.tolist()], dtype=np.int64), capacity
-    )
+    counts = np.array([left[l] for l in lengths.tolist()], dtype=np.int64)
+    programmed = _best_fit(groups, lengths, counts, capacity)
+    plain = best_fit_decreasing(histogram, capacity)
+    return programmed if sum(programmed.values()) <= sum(plain.values()) else plain
 
 
 # ---- assignment ---------------------------------------------------------------------------
@@ -332,7 +420,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) ->
     starts = counts.select(
         "part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")
     )
-    ranked = rows.join(starts, ["part", "length"]).select(
+    # both sides follow the input (a start per task and length), so neither is broadcast
+    ranked = rows.join(starts.hint("merge"), ["part", "length"]).select(
         "doc_id",
         "piece",
         "start",

@@ -62,6 +62,8 @@ def test_edge_rows(spark):
         "İstanbul ΣΑΣ ß Ǆ ½ ² ٣ 12a3 ,.!? don't'S 'tis a'b 're",
         "THE!! the&&& don't, don', x<|endoftext|>. İ, क़, é, é. …, a…, ½. Σ? <|STARTOFTEXT|>! É!",
         "x" * 5000 + " ‍​ \x85 \x00 end",
+        "J\u030c x H\u0331 T\u0308 W\u030a Y\u030a j\u030c A\u030a O\u0308! e\u0301. J\u030c, <\u0338 =\u0338",
+        "KELVIN \u212a \u212b! Ω\u0345 \u0130\u0307 a\u0300\u0301? Z\u0323\u0302 end.\u0301 x!\u0301 Q&A? (A) \"B\"!!",
     ],
 )
 def test_words_encode_as_in_the_whole_text(text):
@@ -87,15 +89,37 @@ def test_solver_places_every_piece(histogram, capacity):
     assert placed == Counter(histogram)
     big = sum(n for l, n in histogram.items() if 2 * l > capacity)
     area = -(-sum(l * n for l, n in histogram.items()) // capacity)
-    plain = sum(
-        p._best_fit(
-            Counter(),
-            np.array(sorted(histogram), dtype=np.int64),
-            np.array([histogram[l] for l in sorted(histogram)], dtype=np.int64),
-            capacity,
-        ).values()
-    )
-    assert max(big, area) <= sum(groups.values()) <= 1.05 * plain + 2
+    plain = sum(p.best_fit_decreasing(histogram, capacity).values())
+    assert max(big, area) <= sum(groups.values()) <= plain
+
+
+def test_solver_on_a_few_pieces():
+    assert sum(p.solve({1: 1, 10: 21, 2: 1, 33: 8, 4: 3}, 64).values()) == 8
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_prices_are_updated_at_every_size(spark, monkeypatch, sf):
+    """Also where most lengths occur once; and the program is no worse than the heuristic."""
+    rows = p.pieces(table(spark, sf, "documents")).groupBy("length").count().collect()
+    histogram = {r["length"]: r["count"] for r in rows}
+    prices = []
+
+    class Seen(p.Knapsack):
+        def __init__(self, lengths, worth, capacity):
+            prices.append(dict(zip(lengths.tolist(), worth.tolist(), strict=True)))
+            super().__init__(lengths, worth, capacity)
+
+    monkeypatch.setattr(p, "Knapsack", Seen)
+    groups = p.solve(histogram)
+    changed = [any(a.get(l) != b.get(l) for l in b) for a, b in zip(prices, prices[1:])]
+    assert sum(changed) >= p.ROUNDS - 1
+    placed = Counter()
+    for config, n in groups.items():
+        placed.update({l: n * k for l, k in Counter(config).items()})
+    assert placed == Counter(histogram)
+    area = -(-sum(l * n for l, n in histogram.items()) // p.CAPACITY)
+    plain = sum(p.best_fit_decreasing(histogram).values())
+    assert area <= sum(groups.values()) <= min(plain, 1.002 * area + 1)
 
 
 def test_solver_without_small_pieces():
