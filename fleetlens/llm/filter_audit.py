@@ -6,11 +6,13 @@ smaller doc_id has as well, anywhere in the table, removed or not.
 
 * *Shards*: a task cuts its documents into runs of ``SHARD_BYTES`` of text and gives each run a
   row: its words (a dictionary of the run), and a matrix of its documents in compressed sparse
-  rows (start of each document, word numbers in the run, occurrences), besides what the other
-  filters need (capitals, signs, a SHA-256 of the text). The rows are written once.
-* *Dictionary*: the runs' words, a row per (run, word), are dealt by word and sorted; a word's
-  number is its rank in its task plus the number of words in the tasks before. A frequent word
-  is one row per run, not per occurrence. Nothing but the tasks' totals meets the driver.
+  rows (start of each document, word numbers in the run, occurrences, in as few bytes as they
+  need), besides what the other filters need (capitals, signs, a SHA-256 of the text). The rows are
+  written once.
+* *Dictionary*: a run numbers its words bucket by bucket of their hash, and gives a row per (run,
+  bucket) with its words there, so a frequent word is an entry per run, not a row per occurrence. A
+  task numbers a bucket's words as they come; a word's number is its rank in the bucket plus the number
+  of words in the buckets before. Nothing but the buckets' totals meets the driver.
 * *Matrix*: the numbers go back to their runs and replace the run's own (``matrix``).
 * *Decisions*: row sums are the documents' words, numbers of entries the distinct ones: A and B.
   The other flags are attached, the documents counted by (part, flags), and every order and
@@ -28,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import zlib
 from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -50,7 +53,7 @@ CAPITALS = 5
 SIGNS = b"#$%&*|"
 
 SHARD_BYTES = 2_000_000
-RANK_BITS = 40  # of a word's rank in its task; the task's number stands above
+MAX_BUCKETS = 4_096  # of words: a bucket's words are held by one task at a time
 
 _NOT_CAPITALS = bytes(c for c in range(256) if not 65 <= c <= 90)
 _NOT_SIGNS = bytes(c for c in range(256) if c not in SIGNS)
@@ -62,10 +65,11 @@ _SHARD_TYPES = [
     ("capitals", pa.list_(pa.bool_()), "array<boolean>"),
     ("signs", pa.list_(pa.bool_()), "array<boolean>"),
     ("digest", pa.list_(pa.binary()), "array<binary>"),
-    ("indptr", pa.list_(pa.int32()), "array<int>"),
-    ("indices", pa.list_(pa.int32()), "array<int>"),
-    ("counts", pa.list_(pa.int32()), "array<int>"),
-    ("words", pa.list_(pa.string()), "array<string>"),
+    ("indptr", pa.binary(), "binary"),  # int32
+    ("indices", pa.binary(), "binary"),  # unsigned; the run's own numbers
+    ("counts", pa.binary(), "binary"),  # unsigned
+    ("words", pa.binary(), "binary"),  # one a line, in the order of their numbers
+    ("starts", pa.binary(), "binary"),  # int32; the first number of every bucket, and the last's end
 ]
 _PER_DOCUMENT = ["doc_id", "part", "capitals", "signs", "digest"]
 
@@ -80,10 +84,21 @@ def _one(values: object, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(flat)], type=pa.int32()), flat)
 
 
+def _narrow(values: np.ndarray) -> bytes:
+    """Numbers from 0 in the fewest bytes that hold the largest."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0)))).tobytes()
+
+
+def numbers(data: bytes, n: int) -> np.ndarray:
+    """The ``n`` numbers of ``_narrow``."""
+    width = len(data) // n if n else 1
+    return np.frombuffer(data, dtype=f"<u{width}").astype(np.int64)
+
+
 # ---- shards -------------------------------------------------------------------------------
 
 
-def shard_row(shard: int, part: pa.RecordBatch) -> pa.RecordBatch:
+def shard_row(shard: int, part: pa.RecordBatch, n_buckets: int) -> pa.RecordBatch:
     """The matrix and the flags' inputs of a run of documents, as one row."""
     own: dict[bytes, int] = defaultdict(count().__next__)
     indptr, indices, counts = array("i", [0]), array("i"), array("i")
@@ -97,31 +112,41 @@ def shard_row(shard: int, part: pa.RecordBatch) -> pa.RecordBatch:
         capitals.append(100 * len(data.translate(None, _NOT_CAPITALS)) > CAPITALS * len(text or ""))
         signs.append(len(data.translate(None, _NOT_SIGNS)) > 0)
         digests.append(hashlib.sha256(data).digest())
-    values = {
-        "doc_id": part["doc_id"],
-        "part": part["part"],
-        "capitals": capitals,
-        "signs": signs,
-        "digest": digests,
-        "indptr": np.frombuffer(indptr, dtype=np.int32),
-        "indices": np.frombuffer(indices, dtype=np.int32),
-        "counts": np.frombuffer(counts, dtype=np.int32),
-        "words": pa.array(own.keys(), type=pa.binary()).cast(pa.string()),
-    }
-    columns = [_one(values[name], kind) for name, kind, _ in _SHARD_TYPES[1:]]
+    # renumbered by bucket, so that a bucket's words are a range of numbers
+    bucket = np.fromiter(map(zlib.crc32, own), dtype=np.int64, count=len(own)) % n_buckets
+    order = np.argsort(bucket, kind="stable")
+    number = np.empty(len(own), dtype=np.int32)
+    number[order] = np.arange(len(own))
+    starts = np.searchsorted(bucket[order], np.arange(n_buckets + 1)).astype(np.int32)
+    words = list(own)
+    lists = [part["doc_id"], part["part"], capitals, signs, digests]
+    columns = [_one(x, kind) for x, (_, kind, _) in zip(lists, _SHARD_TYPES[1:], strict=False)]
+    blobs = [
+        indptr.tobytes(),
+        _narrow(number[np.frombuffer(indices, dtype=np.int32)]),
+        _narrow(np.frombuffer(counts, dtype=np.int32)),
+        b"\n".join([words[i] for i in order.tolist()]),
+        starts.tobytes(),
+    ]
     return pa.RecordBatch.from_arrays(
-        [pa.array([shard], type=pa.int64()), *columns], names=[name for name, _, _ in _SHARD_TYPES]
+        [
+            pa.array([shard], type=pa.int64()),
+            *columns,
+            *[pa.array([x], type=pa.binary()) for x in blobs],
+        ],
+        names=[name for name, _, _ in _SHARD_TYPES],
     )
 
 
 def shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """A row per run of documents; word numbers are the run's own."""
+    n_buckets = buckets_of(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = count(TaskContext.get().partitionId() << 32)
         for b in batches:
             for part in batch_slices(b, "text", shard_bytes):
-                yield shard_row(next(number), part)
+                yield shard_row(next(number), part, n_buckets)
 
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -134,77 +159,110 @@ def shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
 # ---- dictionary and matrix ----------------------------------------------------------------
 
 
+_ENTRY = "bucket int, shard long, words binary"
+_CODE = "bucket int, shard long, ranks binary, n_ranks int, n long"
+
+
+def buckets_of(spark: SparkSession) -> int:
+    """Buckets of the words: some for every task of a shuffle, ``MAX_BUCKETS`` at most."""
+    return min(MAX_BUCKETS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _by_bucket(runs: DataFrame) -> DataFrame:
+    """The runs' words by bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for shard, data, starts in zip(*(b[c].to_pylist() for c in ("shard", "words", "starts")), strict=True):
+                words = data.split(b"\n")
+                at = np.frombuffer(starts, dtype=np.int32)
+                found = np.flatnonzero(np.diff(at))
+                own = [b"\n".join(words[at[k] : at[k + 1]]) for k in found.tolist()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(found, type=pa.int32()),
+                        pa.array([shard] * len(found), type=pa.int64()),
+                        pa.array(own, type=pa.binary()),
+                    ],
+                    names=[c.split()[0] for c in _ENTRY.split(", ")],
+                )
+
+    return runs.select("shard", "words", "starts").mapInArrow(run, _ENTRY)
+
+
 def dictionary(runs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """``shard, place, code`` of every run's words, and the words in the tasks before each task.
+    """``bucket, shard, ranks, n_ranks`` of the runs' words, and the words before each bucket.
 
-    A word's number is ``before[code >> RANK_BITS] + (code & mask)``: the same in every run,
-    different for every word, and without gaps.
+    The number of a word is ``before[bucket]`` plus its rank: the same in every run, different
+    for every word, and without gaps.
     """
+    n_buckets = buckets_of(runs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, rank, last = TaskContext.get().partitionId(), -1, None
+        now, known = None, defaultdict(count().__next__)
         for b in batches:
-            words = b["word"]
-            if not len(words):
-                continue
-            # sorted: a word is new where it differs from the one before
-            same = words.dictionary_encode().indices.to_numpy()
-            new = np.concatenate([[words[0].as_py() != last], same[1:] != same[:-1]])
-            ranks = rank + np.cumsum(new)
-            rank, last = int(ranks[-1]), words[-1].as_py()
+            ranks, sizes, seen = [], [], []
+            for bucket, data in zip(b["bucket"].to_pylist(), b["words"].to_pylist(), strict=True):
+                if bucket != now:
+                    now, known = bucket, defaultdict(count().__next__)
+                words = data.split(b"\n")
+                ranks.append(_narrow(np.fromiter(map(known.__getitem__, words), np.int64, len(words))))
+                sizes.append(len(words))
+                seen.append(len(known))
             yield pa.RecordBatch.from_arrays(
-                [b["shard"], b["place"], pa.array((task << RANK_BITS) + ranks, type=pa.int64())],
-                names=["shard", "place", "code"],
+                [
+                    b["bucket"],
+                    b["shard"],
+                    pa.array(ranks, type=pa.binary()),
+                    pa.array(sizes, type=pa.int32()),
+                    pa.array(seen, type=pa.int64()),
+                ],
+                names=[c.split()[0] for c in _CODE.split(", ")],
             )
 
-    words = runs.select("shard", F.posexplode("words").alias("place", "word"))
-    dealt = words.repartition("word").sortWithinPartitions("word")
-    codes = materialise(
-        dealt.mapInArrow(run, "shard long, place int, code long"), "audit-dictionary"
-    )
-    task = F.shiftright("code", RANK_BITS).cast("int")
-    sizes = (  # a row per task of the shuffle
-        codes.groupBy(task.alias("task"))
-        .agg((F.max(F.col("code").bitwiseAND(F.lit((1 << RANK_BITS) - 1))) + 1).alias("n"))
-        .collect()
-    )
-    size = np.zeros(max((r["task"] for r in sizes), default=0) + 2, dtype=np.int64)
-    for r in sizes:
-        size[r["task"] + 1] = r["n"]
-    return codes, np.cumsum(size)
+    dealt = _by_bucket(runs).repartition("bucket").sortWithinPartitions("bucket", "shard")
+    codes = materialise(dealt.mapInArrow(run, _CODE), "audit-dictionary")
+    size = np.zeros(n_buckets + 1, dtype=np.int64)
+    for r in codes.groupBy("bucket").agg(F.max("n").alias("n")).collect():  # at most n_buckets
+        size[r["bucket"] + 1] = r["n"]
+    return codes.drop("n"), np.cumsum(size)
+
+
+_MATRIX_TYPES = [("indices", pa.binary(), "binary") if x[0] == "indices" else x for x in _SHARD_TYPES[:-2]]
 
 
 def matrix(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, int]:
     """CSR shards over the whole corpus's words, and the number of words (columns).
 
-    Per shard: ``doc_id``, ``part``, ``capitals``, ``signs``, ``digest`` by document, and
-    ``indptr``, ``indices`` (numbers in the corpus's dictionary) and ``counts``.
+    Per shard: ``doc_id``, ``part``, ``capitals``, ``signs``, ``digest`` by document, and the
+    little-endian arrays ``indptr`` (int32), ``indices`` (int64, numbers in the corpus's
+    dictionary) and ``counts`` (see ``numbers``).
     """
     runs = materialise(shards(docs, shard_bytes), "audit-shards")
     codes, before = dictionary(runs)
     per_shard = codes.groupBy("shard").agg(
-        F.array_sort(F.collect_list(F.struct("place", "code"))).alias("entries")
+        F.collect_list(F.struct("bucket", "ranks", "n_ranks")).alias("entries")
     )
-    joined = runs.drop("words").join(
-        per_shard.select("shard", F.col("entries.code").alias("codes")), "shard", "left"
-    )
-    types = [x if x[0] != "indices" else (x[0], pa.list_(pa.int64()), "array<long>") for x in _SHARD_TYPES[:-1]]
-    names = [name for name, _, _ in types]
+    joined = runs.drop("words").join(per_shard, "shard", "left")
+    names = [name for name, _, _ in _MATRIX_TYPES]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
                 row = b.slice(i, 1)
-                code = row["codes"].flatten().to_numpy()
-                number = before[code >> RANK_BITS] + (code & ((1 << RANK_BITS) - 1))
-                local = row["indices"].flatten().to_numpy()
-                columns = [
-                    _one(number[local], kind) if name == "indices" else row[name]
-                    for name, kind, _ in types
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                starts = np.frombuffer(row["starts"][0].as_py(), dtype=np.int32)
+                number = np.zeros(int(starts[-1]), dtype=np.int64)
+                for e in row["entries"][0].as_py() or []:
+                    own = slice(starts[e["bucket"]], starts[e["bucket"] + 1])
+                    number[own] = before[e["bucket"]] + numbers(e["ranks"], e["n_ranks"])
+                nnz = int(np.frombuffer(row["indptr"][0].as_py(), dtype=np.int32)[-1])
+                local = numbers(row["indices"][0].as_py(), nnz)
+                indices = pa.array([number[local].tobytes()], type=pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [indices if name == "indices" else row[name] for name in names], names=names
+                )
 
-    return joined.mapInArrow(run, _schema(types)), int(before[-1])
+    return joined.mapInArrow(run, _schema(_MATRIX_TYPES)), int(before[-1])
 
 
 # ---- decisions ----------------------------------------------------------------------------
@@ -217,8 +275,9 @@ def measures(shards_: DataFrame) -> DataFrame:
         for b in batches:
             for i in range(b.num_rows):
                 row = b.slice(i, 1)
-                start = row["indptr"].flatten().to_numpy()
-                total = np.concatenate([[0], np.cumsum(row["counts"].flatten().to_numpy(), dtype=np.int64)])
+                start = np.frombuffer(row["indptr"][0].as_py(), dtype=np.int32)
+                counts = numbers(row["counts"][0].as_py(), int(start[-1]))
+                total = np.concatenate([[0], np.cumsum(counts)])
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[row[c].flatten() for c in _PER_DOCUMENT],

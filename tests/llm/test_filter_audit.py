@@ -86,26 +86,30 @@ def test_matrix_holds_every_word(spark):
     of_number, seen = {}, 0
     texts = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
     runs = f.materialise(f.shards(docs, 50_000), "test-shards")
-    assert {w for r in runs.collect() for w in r.words} == {
-        w.decode() for t in texts.values() for w in t.split()
+    assert {w for r in runs.collect() for w in bytes(r.words).split(b"\n")} == {
+        w for t in texts.values() for w in t.split()
     }
     sets = Counter()
+    columns = set()
     for r in rows:
+        indptr = np.frombuffer(r.indptr, dtype=np.int32)
+        indices = np.frombuffer(r.indices, dtype=np.int64)
+        counts = f.numbers(r.counts, len(indices))
+        columns |= set(indices.tolist())
         for k, doc_id in enumerate(r.doc_id):
-            own = slice(r.indptr[k], r.indptr[k + 1])
+            own = slice(indptr[k], indptr[k + 1])
             words = Counter(texts[doc_id].split())
-            assert Counter(r.counts[own]) == Counter(words.values())
+            assert Counter(counts[own].tolist()) == Counter(words.values())
             # a column stands for one word: the words with its number and count stay possible
-            for number, n in zip(r.indices[own], r.counts[own]):
+            for number, n in zip(indices[own].tolist(), counts[own].tolist()):
                 may = {w for w, m in words.items() if m == n}
                 of_number[number] = of_number.get(number, may) & may
                 assert of_number[number]
-            assert len(set(r.indices[own])) == len(words)
+            assert len(set(indices[own].tolist())) == len(words)
             sets[frozenset(words)] += 1
             seen += 1
     assert seen == len(texts)
-    numbers = sorted({x for r in rows for x in r.indices})
-    assert numbers == list(range(n_words))
+    assert sorted(columns) == list(range(n_words))
     assert n_words == len({w for t in texts.values() for w in t.split()})
 
 
