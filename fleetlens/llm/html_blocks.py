@@ -15,15 +15,21 @@ from dataclasses import dataclass
 # Element names of the HTML standard, by what they do to a block.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby "
-    "s samp small span strike strong sub sup time tt u var wbr".split()
+    "s samp small span strike strong sub sup time tt u var wbr "
+    # formulas are part of the text around them
+    "math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle mpadded mphantom msub msup msubsup "
+    "munder mover munderover mmultiscripts mprescripts mtable mtr mtd semantics".split()
 )
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 SKIPPED = frozenset(
-    "script style noscript template textarea title svg math iframe object canvas audio video "
-    "select datalist".split()
+    "script style noscript template textarea title svg iframe object canvas audio video "
+    "select datalist annotation annotation-xml".split()
 )
+# Of these the ones that run to the page's end if they are not ended, as their content is no markup;
+# of the others only the start tag is lost then.
+RAW = frozenset("script style textarea title".split())
 # Elements that end an open one of these when they start (end tags that may be left out).
 SIBLINGS = {
     "li": ("li",),
@@ -75,10 +81,27 @@ def blocks(page: str | None) -> list[Block]:
     out: list[Block] = []
     # per open element: name, tags and names down to it
     stack: list[tuple[str, tuple[str, ...], tuple[str, ...]]] = []
+    depths: dict[str, list[int]] = {}  # of the open elements of a name
+    scopes: list[int] = []  # depths of the open elements of SCOPES
+    endless: set[str] = set()  # skipped elements without an end tag from here on
     parts: list[str] = []
     linked = links = 0
     at = 0
 
+    def push(name: str, attributes: str) -> None:
+        tags, names = (stack[-1][1], stack[-1][2]) if stack else ((), ())
+        depths.setdefault(name, []).append(len(stack))
+        if name in SCOPES:
+            scopes.append(len(stack))
+        stack.append((name, (*tags[-NEAREST:], name), (names + _names(attributes))[-NEAREST:]))
+
+    def cut(depth: int) -> None:
+        while len(stack) > depth:
+            name = stack.pop()[0]
+            depths[name].pop()
+            if name in SCOPES:
+                scopes.pop()
+
     def flush() -> None:
         nonlocal parts, linked
         if parts:
@@ -115,16 +138,19 @@ def blocks(page: str | None) -> list[Block]:
             continue
         if m[1]:
             flush()
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == name:
-                    del stack[depth:]
-                    links = 0
-                    break
+            if depths.get(name):
+                cut(depths[name][-1])
+                links = 0
             continue
         if name in SKIPPED:
-            if not m[3].endswith("/>"):
+            if not m[3].endswith("/>") and name not in endless:
                 end = re.compile(rf"</{re.escape(name)}(?![^\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = end.end() if end else len(page)
+                if end:
+                    at = end.end()
+                elif name in RAW:
+                    at = len(page)
+                else:
+                    endless.add(name)
             parts.append(" ")
             continue
         flush()
@@ -132,16 +158,10 @@ def blocks(page: str | None) -> list[Block]:
         if name in VOID or m[3].endswith("/>"):
             continue
         if stack and stack[-1][0] == "p":
-            stack.pop()
-        ends = SIBLINGS.get(name)
-        if ends:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] in ends:
-                    del stack[depth:]
-                    break
-                if stack[depth][0] in SCOPES:
-                    break
-        tags, names = (stack[-1][1], stack[-1][2]) if stack else ((), ())
-        stack.append((name, (*tags[-NEAREST:], name), (names + _names(m[3]))[-NEAREST:]))
+            cut(len(stack) - 1)
+        ends = [depths[e][-1] for e in SIBLINGS.get(name, ()) if depths.get(e)]
+        if ends and max(ends) >= (scopes[-1] if scopes else 0):
+            cut(max(ends))
+        push(name, m[3])
     flush()
     return out

@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -59,6 +60,45 @@ def test_reader_knows_where_it_is():
     assert own[1].tags == ("main",) and own[1].link_chars == 0
 
 
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        ("<article><p>one</p><noscript><p>two</article>three", ["one", "two", "three"]),
+        ("<p>a</p><svg><p>b</p><iframe src=x><p>c</p><select><p>d", ["a", "b", "c", "d"]),
+        ("<p>a</p><svg>no</svg><p>b</p><object>no</object><svg><p>c", ["a", "b", "c"]),
+        ("<p>a</p><script>x <p>b</p>", ["a"]),
+        ("<p>a</p><textarea><p>b</p>", ["a"]),
+        ("<title>t <p>a", []),
+        ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>", ["so x=2 holds"]),
+        ("<p>a <math><mrow><mi>b</mi></mrow><annotation>\\b</annotation></math></p>c", ["a b", "c"]),
+        ("<ul><li>a<div><ul><li>b</ul></div><li>c</ul>d", ["a", "b", "c", "d"]),
+        ("<table><tr><td>a<td>b<table><tr><td>c</table><tr><th>d</table>", ["a", "b", "c", "d"]),
+    ],
+)
+def test_reader_loses_no_text(page, expected):
+    assert texts(page) == expected
+
+
+def test_open_elements_are_those_of_a_plain_stack():
+    page = "<main><ul><li>a<div><ul><li>b</ul></div></p><li>c</ul><p>d<p>e</section></main>f"
+    assert [b.tags for b in blocks(page)] == [
+        ("main", "ul", "li"), ("main", "ul", "li", "div", "ul", "li"), ("main", "ul", "li"),
+        ("main", "p"), ("main", "p"), (),
+    ]
+
+
+def test_reader_is_quick_on_unmatched_tags():
+    for page in (
+        "<div>" * 16_000 + "</p>" * 16_000,
+        "<li><ul>" + "<x>" * 16_000 + "<li></li>" * 16_000,
+        "<svg>" * 30_000 + "x",
+        "<dl>" * 16_000 + "<dd></dt>" * 16_000,
+    ):
+        began = time.process_time()
+        blocks(page)
+        assert time.process_time() - began < 1
+
+
 def test_reader_is_linear_on_hostile_pages():
     for page in ("<" * 100_000, "<a " * 50_000, '<p x="' * 30_000, "<div class=\"a b c\">" * 60_000 + "x", "&" * 100_000):
         blocks(page)
