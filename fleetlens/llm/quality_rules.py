@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import NOT_WS, let, table, words_of
+from fleetlens.llm.common import NOT_WS, let, materialise, table, words_of
 
 SYMBOLS = "[#*$%&|<>]"
 
@@ -202,19 +202,50 @@ def filter_documents(
     return measured.filter(kept_by(policy, bits)).drop("__measures")
 
 
+def sole_rule(fail_bits: Column, policy: Policy, rules: tuple[Rule, ...] = RULES) -> Column:
+    """The policy's only rule that fails, NULL if none or several do: without that rule the
+    document would be kept."""
+    own = fail_bits.bitwiseAND(F.lit(mask(policy, rules)).cast("long"))
+    out = F.lit(None).cast("string")
+    for r in rules:
+        out = F.when(own == (1 << r.bit), F.lit(r.name)).otherwise(out)
+    return out
+
+
+def judged(docs: DataFrame, base: Policy, policy: Policy) -> DataFrame:
+    """The ledger with both policies' verdicts and the policy's ablations.
+
+    The texts are read once: the ledger is written, and the verdicts, ``sole_rule`` and the
+    ablation table (a row per rule) that gives ``n_sole``, the documents that this rule alone
+    removes, all come from its bits.
+    """
+    led = materialise(ledger(docs), "rules-ledger")
+    ablations = ablate(led, policy).select(F.col("rule").alias("sole_rule"), F.col("n_only").alias("n_sole"))
+    verdicts = apply_policy(led, policy).withColumns(
+        {
+            "base_failed": ~kept_by(base, F.col("fail_bits")),
+            "sole_rule": sole_rule(F.col("fail_bits"), policy),
+        }
+    )
+    return verdicts.join(F.broadcast(ablations), "sole_rule", "left")  # a row per rule
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op1: every document's measurements and the verdicts of the base and current policy."""
-    led = apply_policy(ledger(table(spark, sf_dir, "documents")), POLICIES[CURRENT])
-    return led.select(
+    """op1: every document's measurements, the verdicts of the base and current policy, and what
+    the rules it fails do alone."""
+    docs = table(spark, sf_dir, "documents")
+    return judged(docs, POLICIES[BASE], POLICIES[CURRENT]).select(
         "doc_id",
         "n_words",
         "word_chars",
         "n_symbols",
         "n_dup_lines",
         "n_repeat_words",
-        (~kept_by(POLICIES[BASE], F.col("fail_bits"))).alias("base_failed"),
+        "base_failed",
         "kept",
         "fail_bits",
+        "sole_rule",
+        "n_sole",
     )
 
 
@@ -257,6 +288,10 @@ WITH d AS (
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
-       fail_bits = 0 AS kept, fail_bits
+       fail_bits = 0 AS kept, fail_bits,
+       CASE fail_bits WHEN 1 THEN 'short' WHEN 2 THEN 'repeats' WHEN 4 THEN 'symbols'
+         WHEN 8 THEN 'shouting' WHEN 16 THEN 'dup_lines' WHEN 32 THEN 'word_length' END AS sole_rule,
+       CASE WHEN fail_bits IN (1, 2, 4, 8, 16, 32)
+         THEN count(*) OVER (PARTITION BY fail_bits) END AS n_sole
 FROM f
 """

@@ -55,3 +55,18 @@ def test_edge_rows(spark):
     assert q.ledger(empty_docs(spark)).count() == 0
     assert q.filter_documents(empty_docs(spark), q.POLICIES["v2"]).count() == 0
     assert {r.n_failed for r in q.ablate(q.ledger(empty_docs(spark)), q.POLICIES["v2"]).collect()} == set()
+
+
+def test_verdicts_and_ablations_come_from_one_stored_ledger(spark, monkeypatch):
+    read = []
+    measured = q._measures
+    monkeypatch.setattr(q, "_measures", lambda text: read.append(1) or measured(text))
+    rows = q.judged(edge_docs(spark), q.POLICIES["v1"], q.POLICIES["v2"]).collect()
+    assert len(rows) == 11 and len(read) == 1  # the texts' expressions are built once
+    names = {1 << r.bit: r.name for r in q.RULES}
+    for r in rows:
+        assert r.kept == (r.fail_bits == 0) and r.base_failed == bool(r.fail_bits & 3)
+        assert r.sole_rule == names.get(r.fail_bits)
+        alone = sum(x.fail_bits == r.fail_bits for x in rows)
+        assert r.n_sole == (alone if r.sole_rule else None)
+    assert q.judged(empty_docs(spark), q.POLICIES["v1"], q.POLICIES["v2"]).count() == 0
