@@ -8,9 +8,11 @@
   partial results in the map stage, so a string copied into a third of all documents is one
   row per owner and repository before it meets others.
 * *Verdict*: a candidate is *live* when it looks random (enough different characters, no
-  placeholder in it) and at most ``MAX_OWNERS`` owners hold it; what many owners copy is an
-  example. Only owners decide, as in the SQL; the number of repositories enters no row. Only live candidates of the wider shapes are added to the spans; base spans are
-  counted as live or example.
+  placeholder in it) and neither owners nor repositories hold it widely: at most ``MAX_OWNERS``
+  owners, and at most ``MAX_REPOS`` repositories in all, so that what one owner spreads over many
+  repositories is an example as well as what many owners copy. Only live candidates of the wider
+  shapes are added to the spans; base spans are counted as live or example. ``n_owners`` and
+  ``n_repos`` are those of a document's most widely held candidate.
 
 In the ``documents`` table the owner is ``source`` and the repository ``source/lang``.
 
@@ -31,6 +33,7 @@ BASE = ("assign", "access", "hex")
 ADDED = ("vendor", "jwt", "private_key", "opaque")
 KINDS = BASE + ADDED
 MAX_OWNERS = 2
+MAX_REPOS = 4
 MIN_DISTINCT = 10
 
 # fixed values: the shapes as RE2 and Java both read them
@@ -124,7 +127,8 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def find(docs: DataFrame, owner: Column, repo: Column) -> DataFrame:
-    """Per document: ``found`` (all spans), ``n_live`` and ``n_example`` among its candidates."""
+    """Per document: ``found`` (all spans), ``n_live`` and ``n_example`` among its candidates, and
+    the most owners and repositories that one of them has."""
     scanned = materialise(
         docs.select(
             F.monotonically_increasing_id().alias("row"),  # fixed by being written
@@ -140,13 +144,17 @@ def find(docs: DataFrame, owner: Column, repo: Column) -> DataFrame:
     )
     each = each.select("row", "owner", "repo", F.col("c.hash").alias("hash"), "c")
     last_base = len(BASE) - 1
-    live = F.col("c.looks") & (F.col("n_owners") <= MAX_OWNERS)
-    judged = each.join(ownership(each), "hash").select("row", "c", live.alias("live"))
+    live = F.col("c.looks") & (F.col("n_owners") <= MAX_OWNERS) & (F.col("n_repos") <= MAX_REPOS)
+    judged = each.join(ownership(each), "hash").select(
+        "row", "c", live.alias("live"), "n_owners", "n_repos"
+    )
     span = F.struct("c.start", "c.rank", "c.kind", "c.end")
     per_row = judged.groupBy("row").agg(
         F.collect_list(F.when(F.col("live") | (F.col("c.rank") <= last_base), span)).alias("found"),
         F.sum(F.col("live").cast("long")).alias("n_live"),
         F.sum((~F.col("live")).cast("long")).alias("n_example"),
+        F.max("n_owners").alias("n_owners"),
+        F.max("n_repos").alias("n_repos"),
     )
     none = F.array().cast(SPANS)
     zero = F.lit(0).cast("long")
@@ -154,7 +162,7 @@ def find(docs: DataFrame, owner: Column, repo: Column) -> DataFrame:
         "doc_id",
         F.array_sort(F.coalesce(F.col("found").cast(SPANS), none)).alias("found"),
         F.coalesce("n_live", zero).alias("n_live"),
-        F.coalesce("n_example", zero).alias("n_example"),
+        *[F.coalesce(c, zero).alias(c) for c in ("n_example", "n_owners", "n_repos")],
     )
 
 
@@ -177,6 +185,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined(F.col("found")).alias("spans"),
         "n_live",
         "n_example",
+        "n_owners",
+        "n_repos",
     )
 
 
@@ -223,10 +233,13 @@ WITH d AS (
     SELECT 1 FROM f AS b WHERE b.rid = f.rid AND b.rank < f.rank
       AND b.start < f.stop AND f.start < b.stop)
 ), o AS (
-  SELECT hash, count(DISTINCT coalesce('+' || owner, '')) AS n_owners
+  SELECT hash, count(DISTINCT coalesce('+' || owner, '')) AS n_owners,
+         count(DISTINCT coalesce('+' || owner, '') || chr(1) || repo) AS n_repos
   FROM a JOIN d USING (rid) GROUP BY hash
 ), j AS (
-  SELECT a.*, looks AND n_owners <= {MAX_OWNERS} AS live FROM a JOIN o USING (hash)
+  SELECT a.*, n_owners, n_repos,
+         looks AND n_owners <= {MAX_OWNERS} AND n_repos <= {MAX_REPOS} AS live
+  FROM a JOIN o USING (hash)
 ), k AS (
   SELECT rid, kind, rank, start, live, kind || ':' || start || ':' || stop AS span
   FROM j WHERE live OR rank <= {last_base}
@@ -239,13 +252,15 @@ WITH d AS (
          string_agg(span, ',' ORDER BY start, rank) AS spans
   FROM k GROUP BY rid
 ), n AS (
-  SELECT rid, sum(live::INT)::BIGINT AS n_live, sum((NOT live)::INT)::BIGINT AS n_example
+  SELECT rid, sum(live::INT)::BIGINT AS n_live, sum((NOT live)::INT)::BIGINT AS n_example,
+         max(n_owners) AS n_owners, max(n_repos) AS n_repos
   FROM j GROUP BY rid
 )
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
        coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
        coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live,
-       coalesce(n_example, 0) AS n_example
+       coalesce(n_example, 0) AS n_example, coalesce(n_owners, 0) AS n_owners,
+       coalesce(n_repos, 0) AS n_repos
 FROM d LEFT JOIN g USING (rid) LEFT JOIN n USING (rid)
 """
 

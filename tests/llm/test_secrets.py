@@ -78,6 +78,16 @@ def test_ownership_parts_examples_from_live(spark):
     assert counts == {"h": (2, 3), "k": (1, 1)}
 
 
+def test_what_one_owner_spreads_over_repositories_is_an_example(spark):
+    spread, own = "ghp_" + "aB3dE6gH9" * 4, "ghp_" + "Zy8Xw5Vu2" * 4
+    rows = [(i, f"see {spread} here", f"r{i}", "s1") for i in range(s.MAX_REPOS + 1)]
+    rows += [(100 + i, f"my {own}", f"r{i}", "s1") for i in range(s.MAX_REPOS)]
+    got = {r.doc_id: r for r in s.find(docs_of(spark, rows), F.col("source"), F.col("lang")).collect()}
+    assert all(got[i].found == [] and got[i].n_example == 1 for i in range(s.MAX_REPOS + 1))
+    assert {(got[i].n_owners, got[i].n_repos) for i in range(s.MAX_REPOS + 1)} == {(1, s.MAX_REPOS + 1)}
+    assert all(got[100 + i].n_live == 1 and got[100 + i].n_repos == s.MAX_REPOS for i in range(s.MAX_REPOS))
+
+
 def test_edge_rows(spark):
     assert s.find(edge_docs(spark), F.col("source"), F.col("lang")).count() == 11
     assert s.find(empty_docs(spark), F.col("source"), F.col("lang")).count() == 0
