@@ -6,8 +6,12 @@
     python -m fleetlens busiest-stops --input DIR --start "2013-01-07 06:30:00" --horizon 1800
     python -m fleetlens line-delay --input DIR [--absolute]
     python -m fleetlens ingest --input DIR --output STORE --batch 2013-01-07
-    python -m fleetlens compact --input STORE --output COMPACTED [--cluster vehicle|time|none]
+    python -m fleetlens compact --input STORE --output COMPACTED [--cluster vehicle|time|box|none]
         [--days 2013-01-07 2013-01-08]
+    python -m fleetlens ingest-new --input LANDING --output STORE --batch 2013-01-08
+    python -m fleetlens refresh-states --input STORE
+    python -m fleetlens history line-delay|hours|stops --input STORE
+    python -m fleetlens vacuum --input STORE --keep 10
 
 ``--source csv`` (default) parses CSV text strictly, ``--source csv-reader`` uses the schema
 reader, ``--source store`` reads a store written by ``ingest`` and ``--source compacted`` one
@@ -36,12 +40,17 @@ from fleetlens.operators.timetable import DEFAULT_DAY, DEFAULT_DELAY_LIMIT, DEFA
 from fleetlens.session import get_session
 from fleetlens.sources import (
     ingest_csv_to_store,
+    ingest_new_files,
     read_ingested,
     read_measurements,
     read_measurements_csv,
     read_measurements_csv_reader,
+    read_states,
+    refresh_states,
+    vacuum,
     write_measurements,
 )
+from fleetlens.sources.store import BOX_KEY
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -102,16 +111,40 @@ def _parser() -> argparse.ArgumentParser:
     k.add_argument("--input", required=True, help="a store written by `ingest`")
     k.add_argument("--output", required=True)
     k.add_argument(
-        "--cluster", choices=["vehicle", "time", "none"], default="vehicle",
-        help="vehicle: (day, vehicleID, ts) for vehicle lookups; time: (day, ts) for windows",
+        "--cluster", choices=["vehicle", "time", "box", "none"], default="vehicle",
+        help="vehicle: (day, vehicleID, ts) for vehicle lookups; time: (day, ts) for windows; "
+        "box: (day, map cell, ts) for boxes",
     )
     k.add_argument("--rebalance", action="store_true", help="with --cluster none")
     k.add_argument(
         "--days", nargs="+", help="rewrite these days (yyyy-MM-dd) only; others stay as they are"
     )
+    n = sub.add_parser("ingest-new", help="ingest the files of a landing folder that are new")
+    n.add_argument("--input", required=True)
+    n.add_argument("--output", required=True)
+    n.add_argument("--batch", required=True, help="a name no batch of the store has yet")
+
+    r = sub.add_parser("refresh-states", help="make the partial states that batches lack")
+    r.add_argument("--input", required=True, help="a store written by `ingest`")
+
+    h = sub.add_parser("history", help="answers over all history, from partial states")
+    h.add_argument("question", choices=["line-delay", "hours", "stops"])
+    h.add_argument("--input", required=True, help="a store written by `ingest`")
+    h.add_argument("--output", help="write the result here as parquet")
+
+    v = sub.add_parser("vacuum", help="remove versions that none of the last commits names")
+    v.add_argument("--input", required=True, help="a store written by `ingest`")
+    v.add_argument("--keep", type=int, default=10, help="commits whose versions stay")
     return p
 
 
+HISTORY = {
+    "line-delay": ("line_delays", ops.history_line_delay_average),
+    "hours": ("hours", ops.history_hourly_counts),
+    "stops": ("stop_vehicles", ops.history_vehicles_per_stop),
+}
+
+
 def _measurements(spark: SparkSession, args) -> DataFrame:
     if args.source == "store":
         return read_ingested(spark, args.input).good
@@ -129,12 +162,25 @@ def build(spark: SparkSession, args) -> DataFrame | None:
         )
         return None
     if args.command == "compact":
-        cluster = {"vehicle": True, "time": ("day", "ts"), "none": False}[args.cluster]
+        layouts = {"vehicle": True, "time": ("day", "ts"), "box": BOX_KEY, "none": False}
+        cluster = layouts[args.cluster]
         good = read_ingested(spark, args.input).good
         write_measurements(
             good, args.output, cluster=cluster, rebalance=args.rebalance, days=args.days
         )
         return None
+    if args.command == "ingest-new":
+        ingest_new_files(spark, args.input, args.output, batch=args.batch)
+        return None
+    if args.command == "refresh-states":
+        refresh_states(spark, args.input)
+        return None
+    if args.command == "vacuum":
+        vacuum(spark, args.input, args.keep)
+        return None
+    if args.command == "history":
+        kind, answer = HISTORY[args.question]
+        return answer(read_states(spark, args.input, kind))
     m = _measurements(spark, args)
     if args.command == "congestion":
         return ops.congestion_by_hour(m, args.north, args.east, args.south, args.west, args.hours)

@@ -8,7 +8,6 @@ not compared (the oracle hash is order-insensitive); ordering is tested separate
 
 from __future__ import annotations
 
-import atexit
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 
 from fleetlens import operators as ops
 from fleetlens.schema import MEASUREMENT_COLUMNS
-from fleetlens.session import shared_dir
+from fleetlens.session import remove_at_exit, shared_dir
 from fleetlens.sources import (
     ingest_csv_to_store,
     ingest_new_files,
@@ -66,16 +65,6 @@ def _w(spark: SparkSession, sf_dir: str) -> DataFrame:
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
-def _remove_at_exit(spark: SparkSession, path: str) -> None:
-    def remove() -> None:
-        if spark.sparkContext._jsc is not None:  # the session may have ended before
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            conf = spark.sparkContext._jsc.hadoopConfiguration()
-            target.getFileSystem(conf).delete(target, True)
-
-    atexit.register(remove)
-
-
 def _once(
     spark: SparkSession, sf_dir: str, what: str, write: Callable[[str], None]
 ) -> str:
@@ -83,7 +72,7 @@ def _once(
     if key not in _WRITTEN:
         path = shared_dir(spark, what)
         write(path)
-        _remove_at_exit(spark, path)
+        remove_at_exit(spark, path)
         _WRITTEN[key] = path
     return _WRITTEN[key]
 
@@ -157,7 +146,7 @@ def history_store(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
         m = _w(spark, sf_dir)
         text = f"{path}-text"
-        _remove_at_exit(spark, text)
+        remove_at_exit(spark, text)
         for k in range(len(BATCH_STARTS)):
             _write_text(m.filter(_batch(k)), f"{text}/{k}")
         wrong = m.filter(_batch(1)).withColumn("delay", -F.col("delay"))
@@ -188,7 +177,7 @@ def replayed_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def write(path: str) -> None:
         text = f"{path}-text"
-        _remove_at_exit(spark, text)
+        remove_at_exit(spark, text)
         m = _m(spark, sf_dir)
         late = F.col("day") >= F.lit(BATCH_STARTS[2]).cast("date")
         form = F.when(late, F.translate("date", "-", "/")).otherwise(F.col("date"))
@@ -209,7 +198,7 @@ def landed_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def write(path: str) -> None:
         text = f"{path}-text"
-        _remove_at_exit(spark, text)
+        remove_at_exit(spark, text)
         m = _m(spark, sf_dir)
         for k in range(len(BATCH_STARTS)):
             _write_text(m.filter(_batch(k)), text, mode="append")

@@ -90,3 +90,15 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         root = spark.sparkContext.getCheckpointDir()
     # Not created here: Spark writers create it (and refuse an existing one by default).
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Remove the folder ``path`` when this Python process ends, if the session still runs."""
+
+    def remove() -> None:
+        context = spark.sparkContext
+        if context._jsc is not None:
+            target = context._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+    atexit.register(remove)

@@ -78,3 +78,24 @@ def test_cli_compact_then_query(spark, tmp_path, capsys):
         "1\t500\t08:05:00\t0",
         "2\t-1\t08:10:00\t1",
     ]
+
+
+def test_cli_history_of_a_growing_landing_folder(spark, tmp_path, capsys):
+    src = tmp_path / "landing"
+    src.mkdir()
+    lines = FX_Q5.strip().split("\n")
+    store = shared_dir(spark, "cli-history")
+    for k, part in enumerate((lines[::2], lines[1::2])):
+        (src / f"{k}.csv").write_text("\n".join(part) + "\n")
+        args = ["ingest-new", "--input", str(src), "--output", store, "--batch", f"b{k}"]
+        assert main(args, spark=spark) == 0
+        assert main(["refresh-states", "--input", store], spark=spark) == 0
+    main(["history", "line-delay", "--input", store], spark=spark)
+    assert capsys.readouterr().out.strip().split("\n")[1:] == ["1\t-7.0", "4\t0.0", "2\t4.0"]
+    main(["vacuum", "--input", store, "--keep", "1"], spark=spark)
+    main(["history", "stops", "--input", store], spark=spark)
+    assert capsys.readouterr().out.startswith("closerStopID\tnumVehicles\n")
+    out = shared_dir(spark, "cli-box")
+    assert main(["compact", "--input", store, "--output", out, "--cluster", "box"], spark=spark) == 0
+    main(["line-delay", "--input", out, "--source", "compacted"], spark=spark)
+    assert capsys.readouterr().out.strip().split("\n")[1:] == ["1\t-7.0", "4\t0.0", "2\t4.0"]
