@@ -36,13 +36,18 @@ HEADLINE = [
     "busiest_stops",
     "line_delay_average",
     "line_abs_delay_average",
+    "busiest_stops_bitmap",
+    "history_line_delay_average",
+    "history_vehicles_per_stop",
+    "box_store_congestion_by_hour",
 ]
 
 
 def _final_plan(text: str) -> str:
     final = text.split("+- == Initial Plan ==")[0]
     # long scan descriptions: keep what matters for review
-    return re.sub(r"Location: InMemoryFileIndex\([^)]*\)\[[^\]]*\], ", "", final)
+    final = re.sub(r"Location: InMemoryFileIndex\([^)]*\)\[[^\]]*\], ", "", final)
+    return re.sub(r"file:/[^\s,\]]*", "...", final)
 
 
 def _show(title: str, df) -> None:
