@@ -9,8 +9,8 @@ A state holds what an aggregate needs of some rows, in a form of which any numbe
 * ``stop_vehicles`` (A5, A9, T1): per stop and bucket of 32,768 vehicle numbers an exact bitmap. A
   union of bitmaps counts a vehicle once, however many states it is in.
 
-``make`` turns reports into a state, ``merge`` states into one; both are a hash aggregate with a
-partial stage. ``sources.states`` keeps the states of a store's batches.
+``make`` turns reports into a state, ``merge`` states into one; both are an aggregate with a partial
+stage (by hash; by sort for bitmaps, whose buffer is no fixed-width value). ``sources.states`` keeps the states of a store's batches.
 """
 
 from __future__ import annotations
