@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.session import shared_dir
+from fleetlens.session import remove_at_exit, shared_dir
 
 # ASCII white space: space and U+0009..U+000D. Java writes the vertical tab as \x0B.
 WS_RUN = r"[ \t\n\x0B\f\r]+"
@@ -26,9 +26,10 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
     Used where a result is needed by several branches, or where row numbers given inside
     tasks have to stay fixed: the written files survive lost executors, and later stages do
-    not recompute what led to them.
+    not recompute what led to them. They are removed when the driver's Python ends.
     """
     path = shared_dir(df.sparkSession, name)
+    remove_at_exit(df.sparkSession, path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

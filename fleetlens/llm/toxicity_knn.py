@@ -1,19 +1,23 @@
 """Toxicity by the nearest labelled examples, exact TF-IDF cosine over all of their words.
 
-* *Words*: every word of a bounded sample of labelled rows (``MAX_EXAMPLES``, outside the
-  held-out fold) is a term, however rare; there is no cut and no cap. A word that no example
-  holds meets nothing and only counts as such.
-* *Weights*: (1 + log occurrences) * idf * (chi-square against the label + 1) / examples. Words
-  that say nothing about the label weigh little beside those that do, but a text that has only
-  such words is compared by them.
-* *Statistics*: document frequencies are counted over all documents, as an array per task.
-* *Index*: the sample's unit vectors as postings per term; the ``ROWS`` terms that most examples
-  hold are rows of a matrix instead, multiplied for ``TEXTS_AT_ONCE`` texts together. Every text
-  is compared with every example over all terms (ties: the earlier example).
-* *Votes*: neighbours vote with weight 1 / (1 - cosine + 0.05) besides a prior vote; a logistic
+* *Words*: every word of a bounded sample of labelled rows (at most ``MAX_EXAMPLES`` outside the
+  held-out fold, with ``MAX_SAMPLE_CHARS`` of text in all) is a term, however rare. A word that no
+  example holds meets nothing.
+* *Weights*: (1 + log occurrences) * idf, vectors of length one. Document frequencies are counted
+  over all documents, as an array per task.
+* *Index*: postings by term, in blocks of ``BLOCK`` examples with the largest weight of each; the
+  examples are ordered so that a block holds similar ones. Terms of more than ``OFTEN`` of the
+  examples are rows over all of them, multiplied for ``TEXTS_AT_ONCE`` texts together. A block's
+  bound is the best sum of the rows in it plus the block maxima of the text's other terms. The
+  ``OPEN_FIRST`` blocks of the highest bounds are opened first; of the others those whose bound
+  reaches the ``NEIGHBOURS``-th best found there, so the neighbours are exact (cosines to nine
+  digits; ties: the earlier example).
+* *Votes*: a neighbour's vote weighs 1 / (1 - cosine + 0.05), times the part of the cosine that
+  comes from words that tell the classes apart (each word's share counts by its squared phi
+  coefficient with the label among the examples), beside a prior vote of ``PRIOR_MASS``. A logistic
   fit on the sample's leave-one-out votes makes the share of toxic votes a probability. A text
   without a word of any example is nobody's neighbour and gets the smoothed rate of the examples
-  that have no words either. ``evidence`` lists the nearest voters.
+  that have no words either. ``evidence`` lists the voters of most weight.
 
 Neither the labels of held-out rows nor lang, source or doc_id enter a score.
 
@@ -28,25 +32,32 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import materialise, table, text_slices
+from fleetlens.llm.common import batch_slices, materialise, table
 from fleetlens.llm.learning import held_out, labelled_sample
 
 MAX_EXAMPLES = 8_000
-NEIGHBOURS = 32
-BLOCK = MAX_EXAMPLES  # examples a term's postings are kept together for
-ROWS = 1_024  # terms kept as rows over all examples
+MAX_SAMPLE_CHARS = 100_000_000
+NEIGHBOURS = 64
+BLOCK = 256
+OFTEN = 0.1
+OPEN_FIRST = 4
+MARGIN = 1e-9  # over the error of a sum
 TEXTS_AT_ONCE = 64
-PRIOR_VOTES = 2.0
+SKETCH = 64  # numbers that a vector is folded into to order the examples
+PRIOR_MASS = 0.002
 EVIDENCE = 5
-SLICE_CHARS = 500_000  # texts whose counts are held at once
+SLICE_BYTES = 1_000_000  # of the texts that are held as Python strings at once
+CACHE_CHUNKS = 300_000
 THRESHOLD = 0.5
 
 WORD = re.compile(r"\w+")
@@ -56,81 +67,192 @@ def terms_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
+class _Chunks(dict):
+    """By chunk between white space: the number of the one known word in it, -1 for none, and -2
+    or less for the place of several in ``several``."""
+
+    def __init__(self, known: dict[str, int]):
+        super().__init__()
+        self.known, self.several = known, []
+
+    def __missing__(self, chunk: str) -> int:
+        known = self.known
+        ids = [known[w] for w in WORD.findall(chunk.lower()) if w in known]
+        if len(ids) < 2:
+            code = ids[0] if ids else -1
+        else:
+            self.several.append(ids)
+            code = -1 - len(self.several)
+        self[chunk] = code
+        return code
+
+
+class Terms:
+    """Occurrences of known words. A word never spans white space, so what a chunk between white
+    space holds is looked up once and kept."""
+
+    def __init__(self, known: dict[str, int]):
+        self.known = known
+        self.chunks = _Chunks(known)
+
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words in the text, ascending, and how often each occurs."""
+        if len(self.chunks) > CACHE_CHUNKS:
+            self.chunks = _Chunks(self.known)
+        chunks = (text or "").split()
+        codes = np.fromiter(map(self.chunks.__getitem__, chunks), dtype=np.int64, count=len(chunks))
+        found = codes[codes >= 0]
+        if len(chunks) and codes.min() < -1:
+            several = [t for c in codes[codes < -1].tolist() for t in self.chunks.several[-2 - c]]
+            found = np.concatenate([found, several]).astype(np.int64)
+        return np.unique(found, return_counts=True)
+
+
 # ---- index --------------------------------------------------------------------------------
 
 
+def _ranges(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of ranges ``first .. first + size`` one after the other."""
+    ends = np.cumsum(sizes, dtype=np.int32)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total, dtype=np.int32) + np.repeat(first - (ends - sizes), sizes)
+
+
+def similar_order(terms: np.ndarray, weights: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The examples so that blocks of neighbours hold similar ones.
+
+    Vectors are folded into ``SKETCH`` signed sums, which keep inner products about, and the
+    examples halved along the direction of most variance until they fit a block.
+    """
+    n = len(start) - 1
+    place = (terms.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+    sign = np.where(place & np.uint64(1), 1.0, -1.0)
+    owner = np.repeat(np.arange(n), np.diff(start))
+    cell = owner * SKETCH + ((place >> np.uint64(1)) % np.uint64(SKETCH)).astype(np.int64)
+    sketch = np.bincount(cell, weights=weights * sign, minlength=n * SKETCH).reshape(n, SKETCH)
+    out, todo = [], [np.arange(n)]
+    while todo:
+        own = todo.pop()
+        if len(own) <= BLOCK:
+            out.append(own)
+            continue
+        centred = sketch[own] - sketch[own].mean(axis=0)
+        _, vectors = np.linalg.eigh(centred.T @ centred)
+        order = np.argsort(np.round(centred @ vectors[:, -1], 9), kind="stable")
+        half = -(-len(own) // (2 * BLOCK)) * BLOCK  # whole blocks
+        todo += [own[order[half:]], own[order[:half]]]
+    return np.concatenate([np.zeros(0, np.int64), *out]).astype(np.int64)
+
+
 class BlockMaxIndex:
-    """Unit vectors as postings per term, and as matrix rows for the most frequent terms."""
-
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
-        self.n = len(vectors)
-        sizes = np.array([len(t) for t, _ in vectors], dtype=np.int64)
-        terms = np.concatenate([np.zeros(0, np.int32), *[t for t, _ in vectors]]).astype(np.int32)
-        weights = np.concatenate([np.zeros(0), *[w for _, w in vectors]])
-        order = np.argsort(terms, kind="stable")
-        self.example = np.arange(self.n)  # by place
-        self.place = np.repeat(np.arange(self.n, dtype=np.int32), sizes)[order]
-        self.impact = weights[order]
-        self.first = np.searchsorted(terms[order], np.arange(n_terms + 1))
-        # the terms most examples hold also as rows over all examples
-        held = np.diff(self.first)
-        often = np.argsort(-held, kind="stable")[: min(ROWS, int((held > 0).sum()))]
+    """Unit vectors (terms of example e at ``start[e]:start[e + 1]``), for exact nearest search."""
+
+    def __init__(self, terms: np.ndarray, weights: np.ndarray, start: np.ndarray, n_terms: int):
+        self.terms, self.weights, self.start = terms.astype(np.int32), weights, start
+        self.n, self.n_terms = len(start) - 1, n_terms
+        self.example = similar_order(terms, weights, start)  # by place
+        place_of = np.empty(self.n, dtype=np.int64)
+        place_of[self.example] = np.arange(self.n)
+        self.n_blocks = -(-self.n // BLOCK)
+        place = np.repeat(place_of, np.diff(start))
+        order = np.lexsort((place, terms))
+        terms, place, impact = terms[order], place[order], weights[order]
+
+        held = np.bincount(terms, minlength=n_terms)
+        often = np.flatnonzero(held > OFTEN * self.n)
         self.row = np.full(n_terms, -1, dtype=np.int32)
         self.row[often] = np.arange(len(often))
-        self.rows = np.zeros((len(often), self.n))
-        for i, t in enumerate(often.tolist()):
-            own = slice(self.first[t], self.first[t + 1])
-            self.rows[i, self.place[own]] = self.impact[own]
-
-    @property
-    def postings(self) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
-        """Places in the block and impacts, by (term, block)."""
-        out = {}
-        for t in np.flatnonzero(np.diff(self.first)).tolist():
-            own = slice(self.first[t], self.first[t + 1])
-            for b in np.unique(self.place[own] // BLOCK).tolist():
-                here = self.place[own] // BLOCK == b
-                out[t, b] = self.place[own][here] % BLOCK, self.impact[own][here]
-        return out
-
-    def cosines(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """Cosines of a few texts to all examples, a row per text."""
+        self.rows = np.zeros((len(often), self.n_blocks * BLOCK))
+        dense = self.row[terms] >= 0
+        self.rows[self.row[terms[dense]], place[dense]] = impact[dense]
+
+        terms, place, impact = terms[~dense], place[~dense], impact[~dense]
+        self.place, self.impact = place.astype(np.int32), impact
+        # an entry per (term, block): where its postings begin, and their largest impact
+        key = terms.astype(np.int64) * max(self.n_blocks, 1) + place // BLOCK
+        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else key
+        self.entry_first = np.append(begin, len(key)).astype(np.int32)
+        self.entry_block = (place[begin] // BLOCK).astype(np.int32)
+        self.entry_max = (
+            np.maximum.reduceat(impact, begin) if len(begin) else np.zeros(0)
+        )
+        self.term_first = np.searchsorted(terms[begin], np.arange(n_terms + 1)).astype(np.int32)
+
+    def base(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Sums over the terms kept as rows, by place, for a few texts."""
         often = np.zeros((len(vectors), len(self.rows)))
         for i, (terms, weights) in enumerate(vectors):
             row = self.row[terms]
             often[i, row[row >= 0]] = weights[row >= 0]
-        out = often @ self.rows
-        for i, (terms, weights) in enumerate(vectors):
-            rare = self.row[terms] < 0
-            terms, weights = terms[rare], weights[rare]
-            sizes = self.first[terms + 1] - self.first[terms]
-            ends = np.cumsum(sizes)
-            if len(ends) and ends[-1]:
-                at = np.arange(ends[-1]) + np.repeat(self.first[terms] - (ends - sizes), sizes)
-                impact = np.repeat(weights, sizes) * self.impact[at]
-                out[i] += np.bincount(self.place[at], weights=impact, minlength=self.n)
-        return np.round(out, 9)
-
-    def best(self, cosines: np.ndarray, k: int, without: int = -1):
-        """Example numbers and cosines of the ``k`` nearest with a cosine above 0."""
-        if without >= 0:
-            cosines[without] = 0
-        least = np.partition(cosines, self.n - k)[self.n - k] if self.n > k else 0.0
-        near = np.flatnonzero((cosines >= least) & (cosines > 0))
-        near = near[np.lexsort((near, -cosines[near]))[:k]]
-        return near, cosines[near]
+        return often @ self.rows
 
     def nearest(
-        self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1
-    ) -> tuple[np.ndarray, np.ndarray]:
-        return self.best(self.cosines([(terms, weights)])[0], k, without)
+        self,
+        terms: np.ndarray,
+        weights: np.ndarray,
+        base: np.ndarray,
+        k: int,
+        without: int = -1,
+        telling: np.ndarray | None = None,
+        told: np.ndarray | None = None,
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """Numbers and cosines of the ``k`` nearest examples with a cosine above 0, nearest first;
+        the sums of their products by term, each times the term's ``telling`` (``told``: those
+        over the terms kept as rows); and the number of blocks opened."""
+        rare = np.flatnonzero(self.row[terms] < 0)
+        first = self.term_first[terms[rare]]
+        sizes = self.term_first[terms[rare] + 1] - first
+        entry = _ranges(first, sizes)
+        term = np.repeat(rare, sizes)
+        weight = weights[term]
+        block = self.entry_block[entry]
+        bound = base.reshape(self.n_blocks, BLOCK).max(axis=1) + np.bincount(
+            block, weights=weight * self.entry_max[entry], minlength=self.n_blocks
+        )
+        scores, told = base.copy(), np.zeros_like(base) if told is None else told.copy()
+        opened = np.zeros(self.n_blocks, dtype=bool)
+        order = np.argsort(-bound, kind="stable")
+        floor = 0.0
+        for blocks in (order[:OPEN_FIRST], order[OPEN_FIRST:]):
+            blocks = blocks[bound[blocks] >= max(floor - MARGIN, 1e-12)]
+            if not len(blocks):
+                break
+            now = np.zeros(self.n_blocks, dtype=bool)
+            now[blocks] = True
+            opened |= now
+            own = np.flatnonzero(now[block])
+            lists = entry[own]
+            begin = self.entry_first[lists]
+            sizes = self.entry_first[lists + 1] - begin
+            at = _ranges(begin, sizes)
+            place = self.place[at]
+            product = np.repeat(weight[own], sizes) * self.impact[at]
+            scores += np.bincount(place, weights=product, minlength=len(base))
+            if telling is not None:
+                product *= np.repeat(telling[term[own]], sizes)
+                told += np.bincount(place, weights=product, minlength=len(base))
+            found = scores.reshape(self.n_blocks, BLOCK)[opened].ravel()
+            if len(found) > k:  # one more: `without` may be among them
+                floor = float(np.partition(found, len(found) - k - 1)[len(found) - k - 1])
+        near = (scores >= max(floor - 2 * MARGIN, 1e-12)) & np.repeat(opened, BLOCK)
+        place = np.flatnonzero(near[: self.n])
+        place = place[self.example[place] != without]
+        cosines = np.round(scores[place], 9)
+        best = np.lexsort((self.example[place], -cosines))[:k]
+        best = best[cosines[best] > 0]
+        return self.example[place[best]], cosines[best], told[place[best]], int(opened.sum())
 
 
 @dataclass
 class Model:
-    terms: dict[str, int]
-    weight: np.ndarray  # of a term: idf and what it says about the label
-    index: BlockMaxIndex
+    """What the tasks need. Sent as the examples' counts (8 bytes per example and word) and the
+    words; index and word numbers are made from them once per worker."""
+
+    words: pa.Array  # by number
+    idf: np.ndarray
+    terms: np.ndarray  # of example e at start[e]:start[e + 1], ascending
+    tf: np.ndarray
+    start: np.ndarray
     labels: np.ndarray
     ids: np.ndarray
     prior: float  # share of toxic examples
@@ -138,50 +260,93 @@ class Model:
     slope: float = 1.0
     offset: float = 0.0
 
-    def vector(self, counts: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-        terms = np.array([t for t, _ in counts], dtype=np.int64)
-        tf = np.array([n for _, n in counts], dtype=np.float64)
-        w = (1 + np.log(tf)) * self.weight[terms]
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k in self.__dataclass_fields__}
+
+    @cached_property
+    def known(self) -> Terms:
+        return Terms({w: i for i, w in enumerate(self.words.to_pylist())})
+
+    @cached_property
+    def index(self) -> BlockMaxIndex:
+        weights = (1 + np.log(self.tf)) * self.idf[self.terms]
+        if len(weights):
+            norms = np.sqrt(np.add.reduceat(weights * weights, self.start[:-1]))
+            weights = weights / np.repeat(norms, np.diff(self.start))
+        return BlockMaxIndex(self.terms, weights, self.start, len(self.words))
+
+    @cached_property
+    def held(self) -> np.ndarray:
+        """Examples that hold each word."""
+        return np.bincount(self.terms, minlength=len(self.words)).astype(np.float64)
+
+    @cached_property
+    def held_toxic(self) -> np.ndarray:
+        y = np.repeat(self.labels, np.diff(self.start))
+        return np.bincount(self.terms, weights=y, minlength=len(self.words))
+
+    @cached_property
+    def share(self) -> float:
+        """Of toxic ones among the examples that have words."""
+        return float(self.labels.mean()) if len(self.labels) else 0.0
+
+    def vector(self, terms: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = (1 + np.log(tf)) * self.idf[terms]
         return terms, w / np.sqrt((w * w).sum())
 
-    def vote(self, cosines: np.ndarray, without: int = -1):
-        found, cosines = self.index.best(cosines, NEIGHBOURS, without)
-        power = 1 / (1 - np.minimum(cosines, 1) + 0.05)
-        share = (power @ self.labels[found] + PRIOR_VOTES * self.prior) / (
-            power.sum() + PRIOR_VOTES
-        )
-        return float(np.clip(share, 1e-6, 1 - 1e-6)), found, cosines
-
-    def counts(self, text: str | None) -> list[tuple[int, int]]:
-        known = self.terms
-        own = Counter([known[w] for w in terms_of(text) if w in known])
-        return sorted(own.items())
+    def telling(self, terms: np.ndarray, without: int = -1) -> np.ndarray:
+        """Squared phi of the words with the label, among the examples but one."""
+        held, toxic, n, share = self.held[terms], self.held_toxic[terms], len(self.labels), self.share
+        if without >= 0:
+            n, held, toxic = n - 1, held - 1, toxic - self.labels[without]
+        spread = held * share * (1 - share) * (n - held + 1)
+        return np.where((held > 0) & (spread > 0), (toxic - held * share) ** 2 / np.maximum(spread, 1e-12), 0.0)
+
+    def votes(
+        self, vectors: list[tuple[np.ndarray, np.ndarray]], without: Iterable[int]
+    ) -> Iterator[tuple]:
+        """Share of toxic votes of a few texts, and the voters' numbers, cosines and weights."""
+        if not vectors:
+            return
+        without = list(without)
+        telling = [self.telling(t, w) for (t, _), w in zip(vectors, without, strict=True)]
+        told = [(t, w * x) for (t, w), x in zip(vectors, telling, strict=True)]
+        bases = zip(self.index.base(vectors), self.index.base(told), strict=True)
+        for (t, w), one, x, (base, told_base) in zip(vectors, without, telling, bases, strict=True):
+            near, cosines, mass, _ = self.index.nearest(t, w, base, NEIGHBOURS, one, x, told_base)
+            power = mass / (1 - np.minimum(cosines, 1) + 0.05)
+            share = (power @ self.labels[near] + PRIOR_MASS * self.prior) / (power.sum() + PRIOR_MASS)
+            yield float(np.clip(share, 1e-6, 1 - 1e-6)), near, cosines, power
 
     def answers(self, texts: Iterable[str | None]) -> Iterator[tuple[float, list[dict]]]:
         texts = iter(texts)
-        while part := [self.counts(t) for t in islice(texts, TEXTS_AT_ONCE)]:
-            rows = iter(self.index.cosines([self.vector(c) for c in part if c]))
-            for c in part:
-                yield self.answer(next(rows)) if c else (self.rate_without_terms, [])
+        while part := [self.known.counts(t) for t in islice(texts, TEXTS_AT_ONCE)]:
+            vectors = [self.vector(*c) for c in part if len(c[0])]
+            votes = self.votes(vectors, [-1] * len(vectors))
+            for terms, _ in part:
+                yield self.answer(*next(votes)) if len(terms) else (self.rate_without_terms, [])
 
-    def answer(self, cosines: np.ndarray) -> tuple[float, list[dict]]:
-        share, found, cosines = self.vote(cosines)
+    def answer(self, share, near, cosines, power) -> tuple[float, list[dict]]:
         x = self.slope * np.log(share / (1 - share)) + self.offset
-        near = [
-            {"doc_id": int(self.ids[e]), "cosine": float(c), "toxic": int(self.labels[e])}
-            for e, c in zip(found[:EVIDENCE].tolist(), cosines[:EVIDENCE].tolist(), strict=True)
+        first = np.lexsort((near, -cosines, -power))[:EVIDENCE]
+        evidence = [
+            {"doc_id": int(self.ids[e]), "cosine": c, "toxic": int(self.labels[e]), "weight": w}
+            for e, c, w in zip(
+                near[first].tolist(), cosines[first].tolist(), power[first].tolist(), strict=True
+            )
         ]
-        return float(1 / (1 + np.exp(-x))), near
+        return float(1 / (1 + np.exp(-x))), evidence
+
+    def left_out(self, examples: range) -> list[float]:
+        """Shares of toxic votes of a few examples, each without its own."""
+        runs = [slice(self.index.start[e], self.index.start[e + 1]) for e in examples]
+        vectors = [(self.index.terms[r].astype(np.int64), self.index.weights[r]) for r in runs]
+        return [share for share, *_ in self.votes(vectors, examples)]
 
 
-def _calibrated(model: Model, vectors: list, labels: np.ndarray) -> None:
-    """Logistic fit of the labels on the leave-one-out votes, by Newton steps."""
-    shares = []
-    for at in range(0, len(vectors), TEXTS_AT_ONCE):
-        rows = model.index.cosines(vectors[at : at + TEXTS_AT_ONCE])
-        shares += [model.vote(row, without=at + i)[0] for i, row in enumerate(rows)]
-    x = np.log(np.array(shares) / (1 - np.array(shares)))
-    design = np.stack([x, np.ones_like(x)], axis=1)
+def fit_votes(shares: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of a logistic fit of the labels on the votes' log odds, by Newton steps."""
+    design = np.stack([np.log(shares / (1 - shares)), np.ones_like(shares)], axis=1)
     beta, start = np.array([1.0, 0.0]), np.array([1.0, 0.0])
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
@@ -191,7 +356,7 @@ def _calibrated(model: Model, vectors: list, labels: np.ndarray) -> None:
         beta = beta - step
         if np.abs(step).max() < 1e-8:
             break
-    model.slope, model.offset = max(float(beta[0]), 0.05), float(beta[1])
+    return max(float(beta[0]), 0.05), float(beta[1])
 
 
 # ---- learning -----------------------------------------------------------------------------
@@ -201,119 +366,166 @@ COUNTS = "array<struct<term: string, n: int>>"
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
-    """``doc_id``, ``y`` and ``counts``: all words of ``rows (doc_id, y, text)`` and how often."""
+    """``doc_id``, ``y``, ``chars`` and ``counts``: all words of ``rows (doc_id, y, text)``."""
     kind = pa.list_(pa.struct([("term", pa.string()), ("n", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at, n in text_slices(b["text"].to_pylist(), SLICE_CHARS):
-                part = b.slice(at, n)
+            for part in batch_slices(b, "text", SLICE_BYTES):
+                texts = part["text"].to_pylist()
                 counts = [
                     [{"term": t, "n": n} for t, n in sorted(Counter(terms_of(text)).items())]
-                    for text in part["text"].to_pylist()
+                    for text in texts
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], part["y"], pa.array(counts, type=kind)],
-                    names=["doc_id", "y", "counts"],
+                    [
+                        part["doc_id"],
+                        part["y"],
+                        pa.array([len(t or "") for t in texts], type=pa.int64()),
+                        pa.array(counts, type=kind),
+                    ],
+                    names=["doc_id", "y", "chars", "counts"],
                 )
 
-    return rows.select("doc_id", "y", "text").mapInArrow(run, f"doc_id long, y int, counts {COUNTS}")
+    return rows.select("doc_id", "y", "text").mapInArrow(
+        run, f"doc_id long, y int, chars long, counts {COUNTS}"
+    )
 
 
-def document_frequencies(docs: DataFrame, known: dict[str, int]) -> tuple[int, np.ndarray]:
+def examples(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id, y, counts`` of the sample: one row per id (of several texts with one id the one of
+    the least counts), in the order of ids hashed, as far as the characters go."""
+    # ids and labels of the sample only: at most MAX_EXAMPLES rows of 12 bytes are broadcast
+    sample = F.broadcast(materialise(labelled_sample(labels, "toxic", MAX_EXAMPLES), "tox-sample"))
+    counted = word_counts(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id")
+    )
+    first = F.min(F.struct("counts", "chars")).alias("first")
+    chosen = materialise(counted.groupBy("doc_id", "y").agg(first), "tox-examples")
+    sizes = chosen.select("doc_id", F.col("first.chars").alias("chars"), F.xxhash64("doc_id").alias("h"))
+    total, keep = 0, []
+    for r in sorted(sizes.collect(), key=lambda r: (r["h"], r["doc_id"])):  # MAX_EXAMPLES at most
+        total += r["chars"]
+        if total <= MAX_SAMPLE_CHARS:
+            keep.append(r["doc_id"])
+    if len(keep) < MAX_EXAMPLES and total > MAX_SAMPLE_CHARS:
+        ids = chosen.sparkSession.createDataFrame([(i,) for i in keep], "doc_id long")
+        chosen = chosen.join(F.broadcast(ids), "doc_id", "left_semi")
+    return chosen.select("doc_id", "y", F.col("first.counts").alias("c"))
+
+
+def document_frequencies(docs: DataFrame, words: pa.Array) -> tuple[int, np.ndarray]:
     """The number of documents, and for each known word of those that hold it."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, seen = 0, np.zeros(len(known), dtype=np.int64)
+        terms = Terms({w: i for i, w in enumerate(shared.value.to_pylist())})
+        total, seen = 0, np.zeros(len(terms.known), dtype=np.int64)
         for b in batches:
             for text in b["text"]:
                 total += 1
-                own = {known[w] for w in set(terms_of(text.as_py())) if w in known}
-                seen[np.fromiter(own, dtype=np.int64, count=len(own))] += 1
-        terms = np.flatnonzero(seen)
+                seen[terms.counts(text.as_py())[0]] += 1
+        found = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(np.append(terms, -1), type=pa.int32()),  # -1: all documents
-                pa.array(np.append(seen[terms], total), type=pa.int64()),
+                pa.array(np.append(found, -1), type=pa.int32()),  # -1: all documents
+                pa.array(np.append(seen[found], total), type=pa.int64()),
             ],
             names=["term", "n"],
         )
 
     counted = docs.select("text").mapInArrow(run, "term int, n long").groupBy("term")
     rows = counted.agg(F.sum("n").alias("n")).toArrow()  # a row per word of the examples
+    shared.unpersist()
     terms, n = rows["term"].to_numpy(), rows["n"].to_numpy()
-    out = np.zeros(len(known), dtype=np.int64)
+    out = np.zeros(len(words), dtype=np.int64)
     out[terms[terms >= 0]] = n[terms >= 0]
     return int(n[terms < 0].sum()), out
 
 
-def term_weights(
-    terms: np.ndarray, start: np.ndarray, y: np.ndarray, seen: np.ndarray, total: int
-) -> np.ndarray:
-    """idf * (chi-square against the label + 1) / examples, for every word of the examples."""
-    toxic_of = np.repeat(y, np.diff(start))
-    n = np.bincount(terms, minlength=len(seen)).astype(np.float64)
-    a = np.bincount(terms, weights=toxic_of, minlength=len(seen))
-    examples, share = len(y), float(y.mean()) if len(y) else 0.0
-    chi2 = np.zeros(len(seen))
-    if 0 < share < 1:
-        chi2 = (a - n * share) ** 2 * examples / (n * share * (1 - share) * (examples - n + 1))
-    idf = np.log((1 + total) / (1 + seen)) + 1
-    return idf * (chi2 + 1) / max(examples, 1)
+def _calibrated(spark: SparkSession, model: Broadcast) -> tuple[float, float]:
+    """The fit on the examples' leave-one-out votes, which tasks compute."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for e in b["id"].to_pylist():
+                own = range(e, min(e + TEXTS_AT_ONCE, len(model.value.labels)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own, type=pa.int64()), pa.array(model.value.left_out(own), type=pa.float64())],
+                    names=["example", "share"],
+                )
 
-def learn(docs: DataFrame, labels: DataFrame) -> tuple[Model, int]:
-    """The model, and the number of documents its idf counts."""
-    # ids and labels of the sample only: at most MAX_EXAMPLES rows of 12 bytes are broadcast
-    sample = F.broadcast(materialise(labelled_sample(labels, "toxic", MAX_EXAMPLES), "tox-sample"))
-    counted = word_counts(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id")
-    )
-    # one row per id (of several texts with one id the least), at most MAX_EXAMPLES of them
-    chosen = counted.groupBy("doc_id", "y").agg(F.min("counts").alias("c"))
-    rows = chosen.orderBy("doc_id").toArrow().combine_chunks()
+    labels = model.value.labels
+    groups = -(-len(labels) // TEXTS_AT_ONCE)
+    starts = spark.range(0, len(labels), TEXTS_AT_ONCE, min(groups, 32))
+    got = starts.mapInArrow(run, "example long, share double").toArrow()  # MAX_EXAMPLES rows at most
+    shares = np.zeros(len(labels))
+    shares[got["example"].to_numpy()] = got["share"].to_numpy()
+    return fit_votes(shares, labels)
+
+
+def learn(docs: DataFrame, labels: DataFrame) -> tuple[Broadcast, float, float]:
+    """The model, shared with the tasks, and the slope and offset of its votes.
+
+    What is broadcast is bounded by the sample: ``MAX_EXAMPLES`` rows, ``MAX_SAMPLE_CHARS``
+    characters, so at most half as many (example, word) pairs.
+    """
+    spark = docs.sparkSession
+    rows = examples(docs, labels).orderBy("doc_id").toArrow().combine_chunks()
     ids, y = rows["doc_id"].to_numpy(), rows["y"].to_numpy().astype(np.float64)
     counts = rows["c"].combine_chunks()
-    pairs = counts.flatten()
-    words = pairs.field("term").dictionary_encode()
-    terms, tf = words.indices.to_numpy(), pairs.field("n").to_numpy()
-    known = {t: i for i, t in enumerate(words.dictionary.to_pylist())}
+    del rows
     sizes = pc.list_value_length(counts).to_numpy()
-    start = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    pairs = counts.flatten()
+    coded = pairs.field("term").dictionary_encode()
+    terms, tf, words = coded.indices.to_numpy(), pairs.field("n").to_numpy(), coded.dictionary
+    del counts, pairs, coded
+    total, seen = document_frequencies(docs, words)
+    idf = np.log((1 + total) / (1 + seen)) + 1
 
-    total, seen = document_frequencies(docs, known)
     prior = float(y.mean()) if len(y) else 0.0
     some = sizes > 0
+    start = np.concatenate([[0], np.cumsum(sizes[some])]).astype(np.int64)
+    order = np.lexsort((terms, np.repeat(np.arange(len(start) - 1), np.diff(start))))
     model = Model(
-        terms=known,
-        weight=term_weights(terms, start, y, seen, total),
-        index=BlockMaxIndex([], len(known)),
+        words=words,
+        idf=idf,
+        terms=terms[order].astype(np.int32),
+        tf=tf[order].astype(np.int32),
+        start=start,
         labels=y[some],
         ids=ids[some],
         prior=prior,
         rate_without_terms=(float(y[~some].sum()) + prior) / (int((~some).sum()) + 1),
     )
-    if some.any():
-        at = [slice(start[e], start[e + 1]) for e in np.flatnonzero(some).tolist()]
-        vectors = [model.vector(list(zip(terms[own].tolist(), tf[own].tolist()))) for own in at]
-        model.index = BlockMaxIndex(vectors, len(known))
-        _calibrated(model, vectors, model.labels)
-    return model, total
+    shared = spark.sparkContext.broadcast(model)
+    return shared, *(_calibrated(spark, shared) if some.any() else (1.0, 0.0))
 
 
 # ---- scoring ------------------------------------------------------------------------------
 
 
+def _answers(model: Broadcast, slope: float, offset: float, batch: pa.RecordBatch) -> list[tuple[float, list[dict]]]:
+    m = model.value
+    m.slope, m.offset = slope, offset
+    out = []
+    for part in batch_slices(batch, "text", SLICE_BYTES):
+        out += m.answers(part["text"].to_pylist())
+    return out
+
+
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted``, ``evidence`` for every document."""
-    model, _ = learn(docs, labels)
+    model, slope, offset = learn(docs, labels)
     near = pa.list_(
-        pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())])
+        pa.struct(
+            [("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32()), ("weight", pa.float64())]
+        )
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = list(model.answers(t.as_py() for t in b["text"]))
+            got = _answers(model, slope, offset, b)
             yield pa.RecordBatch.from_arrays(
                 [
                     b["doc_id"],
@@ -327,7 +539,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     scored = rows.mapInArrow(
         run,
         "doc_id long, score double, "
-        "evidence array<struct<doc_id: long, cosine: double, toxic: int>>",
+        "evidence array<struct<doc_id: long, cosine: double, toxic: int, weight: double>>",
     )
     return scored.select(
         "doc_id",
@@ -340,11 +552,11 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic, columns as given."""
-    model, _ = learn(docs, labels)
+    model, slope, offset = learn(docs, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = [s < THRESHOLD for s, _ in model.answers(t.as_py() for t in b["text"])]
+            keep = [s < THRESHOLD for s, _ in _answers(model, slope, offset, b)]
             yield b.filter(pa.array(keep, type=pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.llm.common import batch_slices, materialise, table
-from fleetlens.session import shared_dir
+from fleetlens.session import remove_at_exit, shared_dir
 
 REVISIT_BYTES = 0
 SHARD_BYTES = 16_000_000  # of payload
@@ -389,6 +389,9 @@ def _write_files(rows: DataFrame, dest: str, revisit_bytes: int, roll_bytes: int
                     member = revisit(page_id, url, n_bytes, sha1, marker[1], copy)
                 elif copy and n_bytes >= revisit_bytes:
                     member = revisit(page_id, url, n_bytes, sha1, page_id, copy)
+                elif copy:  # a response like the one before, under an id of its own
+                    _, block = parse_record(zlib.decompress(member, 31))
+                    member = response(page_id, url, block.partition(b"\r\n\r\n")[2], sha1, copy)
                 yield from roll.add(page_id, member)
         if roll is not None:
             yield roll.close()
@@ -594,8 +597,10 @@ def read_archive(spark: SparkSession, dest: str, payload: bool = False) -> DataF
 
 
 def archive(pages: DataFrame, **options: int) -> DataFrame:
-    """Write ``pages`` to a new archive in the shared folder and read it back."""
+    """Write ``pages`` to a new archive in the shared folder, for as long as the driver's Python
+    runs, and read it back."""
     dest = shared_dir(pages.sparkSession, "warc")
+    remove_at_exit(pages.sparkSession, dest)
     write_archive(pages, dest, **options)
     return read_archive(pages.sparkSession, dest)
 

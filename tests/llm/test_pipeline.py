@@ -5,17 +5,16 @@ from __future__ import annotations
 from collections import Counter
 
 import corpus_pipeline as c
-import numpy as np
 import pytest
 from conftest import SF_SMALL
 from differential import duck
 from edge import edge_docs, empty_docs
+from plain_knn import plain_scores
 from plain_spans import PII, base_spans
 from test_packing import check_packed
 from test_simhash import plain_components, plain_fingerprint
 
 from fleetlens.llm import packing, pii_weak, quality_rules
-from fleetlens.llm import toxicity_knn as t
 from fleetlens.llm.common import table
 
 
@@ -38,27 +37,11 @@ def test_columns(stages):
 
 
 def test_toxicity(spark, stages):
-    model, _ = t.learn(stages[0], table(spark, SF_SMALL, "labels"))
-    dense = np.zeros((len(model.labels), max(len(model.terms), 1)))
-    for (term, block), (places, impacts) in model.index.postings.items():
-        dense[model.index.example[block * t.BLOCK + places], term] = impacts
-    kept = []
-    for r in as_rows(stages[0]):
-        counts = model.counts(r[1])
-        if counts:
-            terms, w = model.vector(counts)
-            cos = np.round(dense[:, terms] @ w, 9)
-            best = [i for i in np.lexsort((np.arange(len(cos)), -cos))[: t.NEIGHBOURS] if cos[i] > 0]
-            power = 1 / (1 - np.minimum(cos[best], 1) + 0.05)
-            share = (power @ model.labels[best] + t.PRIOR_VOTES * model.prior) / (
-                power.sum() + t.PRIOR_VOTES
-            )
-            x = model.slope * np.log(share / (1 - share)) + model.offset
-            p = 1 / (1 + np.exp(-x))
-        else:
-            p = model.rate_without_terms
-        if p < 0.5:
-            kept.append(r)
+    rows = as_rows(stages[0])
+    labels = [(r.doc_id, r.toxic) for r in table(spark, SF_SMALL, "labels").collect()]
+    scores = plain_scores([(r[0], r[1]) for r in rows], labels)
+    kept = [r for r, (_, p, _) in zip(rows, scores, strict=True) if p < 0.5]
+    assert 0 < len(kept) < len(rows)
     assert Counter(as_rows(stages[1])) == Counter(kept)
 
 

@@ -3,37 +3,99 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
-from conftest import SF_ORACLE
+import pytest
+from conftest import SF_ORACLE, SF_SMALL
 from edge import edge_docs, empty_docs
+from plain_knn import plain_scores
 
 from fleetlens.llm import toxicity_knn as t
 from fleetlens.llm.common import table
 
 
-def test_block_max_search_is_exact():
-    rng = np.random.default_rng(3)
-    n_terms = 12
+def random_index(rng, n, n_terms, groups):
+    """Sparse unit vectors; every group of examples has frequent and rare terms of its own."""
     vectors = []
-    for _ in range(700):
-        terms = np.sort(rng.choice(n_terms, rng.integers(1, 5), replace=False))
+    for e in range(n):
+        frequent = np.arange(5) + 5 * (e % groups)
+        own = np.arange(5 * groups, n_terms)[e % groups :: groups]
+        chosen = rng.choice(own, min(len(own), int(rng.integers(1, 30))), replace=False)
+        terms = np.concatenate([frequent[rng.random(5) < 0.7], chosen])
         w = rng.integers(1, 4, len(terms)).astype(float)
-        vectors.append((terms, w / np.sqrt((w * w).sum())))
-    index = t.BlockMaxIndex(vectors, n_terms)
-    dense = np.zeros((len(vectors), n_terms))
+        order = np.argsort(terms)
+        vectors.append((terms[order], (w / np.sqrt((w * w).sum()))[order]))
+    start = np.concatenate([[0], np.cumsum([len(x) for x, _ in vectors])])
+    index = t.BlockMaxIndex(
+        np.concatenate([x for x, _ in vectors]), np.concatenate([w for _, w in vectors]), start, n_terms
+    )
+    return vectors, index
+
+
+@pytest.mark.parametrize(("n", "n_terms", "groups"), [(6000, 9000, 4), (700, 40, 1), (70, 3000, 2), (1, 50, 1)])
+def test_block_max_search_is_exact(n, n_terms, groups):
+    vectors, index = random_index(np.random.default_rng(3), n, n_terms, groups)
+    assert sorted(index.example.tolist()) == list(range(n))
+    dense = np.zeros((n, n_terms))
     for e, (terms, w) in enumerate(vectors):
         dense[e, terms] = w
-    for e in range(0, 700, 7):
+    opened = []
+    for e in range(0, n, max(1, n // 150)):
+        base = index.base([vectors[e]])[0]
         for without in (-1, e):
-            found, cosines = index.nearest(*vectors[e], 32, without)
+            found, cosines, _, blocks = index.nearest(*vectors[e], base, 32, without)
             full = np.round(dense @ dense[e], 9)
             if without >= 0:
                 full[without] = 0
-            best = np.lexsort((np.arange(len(full)), -full))[:32]
+            best = np.lexsort((np.arange(n), -full))[:32]
             best = best[full[best] > 0]
             assert found.tolist() == best.tolist()
             assert np.allclose(cosines, full[best])
+        opened.append(blocks / index.n_blocks)
+    if (n, groups) == (6000, 4):  # terms kept as rows and postings, and blocks that stay closed
+        assert len(index.rows) and len(index.place) and np.mean(opened) < 0.7
+
+
+def test_answers_do_not_depend_on_how_texts_are_grouped():
+    vectors, index = random_index(np.random.default_rng(5), 400, 900, 3)
+    telling = [np.linspace(0, 1, len(x)) for x, _ in vectors]
+    weighed = [(x, w * y) for (x, w), y in zip(vectors, telling)]
+    bases, told = index.base(vectors[:64]), index.base(weighed[:64])
+    for k in range(0, 64, 9):
+        own = index.base([vectors[k]])[0], index.base([weighed[k]])[0]
+        alone = index.nearest(*vectors[k], own[0], 16, -1, telling[k], own[1])
+        got = index.nearest(*vectors[k], bases[k], 16, -1, telling[k], told[k])
+        assert got[0].tolist() == alone[0].tolist() and got[1].tolist() == alone[1].tolist()
+        by_term = dict(zip(*(x.tolist() for x in weighed[k])))
+        for e, x in zip(got[0].tolist(), got[2].tolist()):
+            plain = sum(by_term.get(t, 0.0) * w for t, w in zip(*(x.tolist() for x in vectors[e])))
+            assert x == pytest.approx(plain, abs=1e-12)
+
+
+@pytest.mark.parametrize("rows", [200, 60])
+def test_scores_are_the_plain_ones(spark, rows):
+    """Weights, neighbours, votes and their fit, over far more words than one block's."""
+    docs = table(spark, SF_SMALL, "documents").filter(f"doc_id < {rows}").select("doc_id", "text")
+    labels = table(spark, SF_SMALL, "labels").select("doc_id", "toxic")
+    plain = plain_scores([tuple(r) for r in docs.collect()], [tuple(r) for r in labels.collect()])
+    got = {r.doc_id: r for r in t.score(docs, labels).collect()}
+    assert len(got) == len(plain)
+    for doc_id, p, near in plain:
+        r = got[doc_id]
+        assert r.score == pytest.approx(p, abs=1e-6)
+        assert len(r.evidence) == min(len(near), t.EVIDENCE)
+        for e in r.evidence:
+            assert near[e.doc_id] == pytest.approx(e.cosine, abs=2e-9)
+
+
+def test_a_chunk_has_the_words_of_the_text():
+    text = "It's İstanbul ΣΑΣ\x1cΣ a\u00a0b\u2003c x_y ß-Ǆ １２ é " + "长" * 90 + " it'S"
+    terms = t.Terms({w: i for i, w in enumerate(dict.fromkeys(t.terms_of(text)))})
+    names = {i: w for w, i in terms.known.items()}
+    for _ in range(2):  # the second time from the chunks kept
+        got = dict(zip(*(x.tolist() for x in terms.counts(text))))
+        assert {names[i]: n for i, n in got.items()} == dict(Counter(t.terms_of(text)))
 
 
 def test_held_out_accuracy(spark):
@@ -93,8 +155,8 @@ def test_every_word_of_the_examples_counts(spark):
     assert [(e.doc_id, e.toxic) for e in got[900].evidence] == [(i, 1) for i in ids[:2]]
     assert [e.doc_id for e in got[901].evidence] == [ids[5]]
     assert got[902].evidence == [] and got[900].score > got[901].score
-    model, total = t.learn(docs, labels)
-    assert set(model.terms) == {w for i in ids for w in t.terms_of(texts[i])} and total == 63
+    model, _, _ = t.learn(docs, labels)
+    assert set(model.value.words.to_pylist()) == {w for i in ids for w in t.terms_of(texts[i])}
 
 
 def test_rare_words_of_held_out_texts_find_neighbours(spark):
@@ -104,3 +166,12 @@ def test_rare_words_of_held_out_texts_find_neighbours(spark):
     known = {w for i, r in rows.items() if i in labelled and not r.held_out for w in t.terms_of(docs[i])}
     for i, r in rows.items():
         assert bool(r.evidence) == bool(known & set(t.terms_of(docs[i])))
+
+
+def test_the_sample_is_bounded_by_characters(spark, monkeypatch):
+    ids = [i for i in range(1, 400) if zlib.crc32(str(i).encode()) % 5][:40]
+    docs = spark.createDataFrame([(i, f"word{i} " * 10) for i in ids], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    assert t.examples(docs, labels).count() == 40
+    monkeypatch.setattr(t, "MAX_SAMPLE_CHARS", 1000)
+    assert 8 <= t.examples(docs, labels).count() <= 16

@@ -95,10 +95,13 @@ def test_same_files_however_dealt(spark, tmp_path):
     assert all(size <= 9_000 or members <= 2 for size, members in sizes.values())
 
 
-def test_files_are_warc(spark, tmp_path):
+@pytest.mark.parametrize("least", [0, 10**6])
+def test_files_are_warc(spark, tmp_path, least):
     """Read by the rules of the format alone: gzip members, header lines, lengths, blank lines."""
     rows = some_pages(60)
-    w.write_archive(spark.createDataFrame(rows, SCHEMA), str(tmp_path / "a"), roll_bytes=20_000)
+    w.write_archive(
+        spark.createDataFrame(rows, SCHEMA), str(tmp_path / "a"), roll_bytes=20_000, revisit_bytes=least
+    )
     order, ids = [], set()
     for name, data in files(tmp_path / "a").items():
         text = gzip.decompress(data)
