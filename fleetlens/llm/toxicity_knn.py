@@ -5,13 +5,13 @@
   example holds meets nothing.
 * *Weights*: (1 + log occurrences) * idf, vectors of length one. Document frequencies are counted
   over all documents, as an array per task.
-* *Index*: postings by term, in blocks of ``BLOCK`` examples with the largest weight of each; the
-  examples are ordered so that a block holds similar ones. Terms of more than ``OFTEN`` of the
-  examples are rows over all of them, multiplied for ``TEXTS_AT_ONCE`` texts together. A block's
-  bound is the best sum of the rows in it plus the block maxima of the text's other terms. The
-  ``OPEN_FIRST`` blocks of the highest bounds are opened first; of the others those whose bound
-  reaches the ``NEIGHBOURS``-th best found there, so the neighbours are exact (cosines to nine
-  digits; ties: the earlier example).
+* *Index*: postings by term, the examples in an order that puts similar ones into a block of
+  ``BLOCK``. Terms of more than ``OFTEN`` of the examples are rows over all of them, multiplied for
+  ``TEXTS_AT_ONCE`` texts together; postings of terms that at most ``FEW`` examples hold are added
+  one by one; terms between have the largest weight of each block. The sums so far bound the
+  ``NEIGHBOURS``-th best cosine from below; a block's best sum so far plus its maxima bounds its
+  examples from above, and only blocks whose bound reaches the other are opened. So the
+  neighbours are exact (cosines to nine digits; ties: the earlier example).
 * *Votes*: a neighbour's vote weighs 1 / (1 - cosine + 0.05), times the part of the cosine that
   comes from words that tell the classes apart (each word's share counts by its squared phi
   coefficient with the label among the examples), beside a prior vote of ``PRIOR_MASS``. A logistic
@@ -33,7 +33,8 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
-from itertools import islice
+from itertools import compress, islice, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -50,62 +51,48 @@ MAX_SAMPLE_CHARS = 100_000_000
 NEIGHBOURS = 64
 BLOCK = 256
 OFTEN = 0.1
-OPEN_FIRST = 4
+FEW = 32  # examples that hold a term whose postings are added before blocks are judged
 MARGIN = 1e-9  # over the error of a sum
 TEXTS_AT_ONCE = 64
 SKETCH = 64  # numbers that a vector is folded into to order the examples
 PRIOR_MASS = 0.002
 EVIDENCE = 5
 SLICE_BYTES = 1_000_000  # of the texts that are held as Python strings at once
-CACHE_CHUNKS = 300_000
 THRESHOLD = 0.5
 
 WORD = re.compile(r"\w+")
+SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~"  # ASCII signs that are in no word
 
 
 def terms_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-class _Chunks(dict):
-    """By chunk between white space: the number of the one known word in it, -1 for none, and -2
-    or less for the place of several in ``several``."""
-
-    def __init__(self, known: dict[str, int]):
-        super().__init__()
-        self.known, self.several = known, []
-
-    def __missing__(self, chunk: str) -> int:
-        known = self.known
-        ids = [known[w] for w in WORD.findall(chunk.lower()) if w in known]
-        if len(ids) < 2:
-            code = ids[0] if ids else -1
-        else:
-            self.several.append(ids)
-            code = -1 - len(self.several)
-        self[chunk] = code
-        return code
-
-
 class Terms:
-    """Occurrences of known words. A word never spans white space, so what a chunk between white
-    space holds is looked up once and kept."""
+    """Occurrences of known words."""
 
     def __init__(self, known: dict[str, int]):
         self.known = known
-        self.chunks = _Chunks(known)
 
     def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of the words in the text, ascending, and how often each occurs."""
-        if len(self.chunks) > CACHE_CHUNKS:
-            self.chunks = _Chunks(self.known)
-        chunks = (text or "").split()
-        codes = np.fromiter(map(self.chunks.__getitem__, chunks), dtype=np.int64, count=len(chunks))
-        found = codes[codes >= 0]
-        if len(chunks) and codes.min() < -1:
-            several = [t for c in codes[codes < -1].tolist() for t in self.chunks.several[-2 - c]]
-            found = np.concatenate([found, several]).astype(np.int64)
-        return np.unique(found, return_counts=True)
+        """Numbers of the words in the text, ascending, and how often each occurs.
+
+        A word never spans white space, so the chunks between are looked up as they are; of the
+        others signs are taken off, and only what then still has signs in it is searched.
+        """
+        known = self.known
+        chunks = (text or "").lower().split()
+        codes = list(map(known.get, chunks))
+        found = [c for c in codes if c is not None]
+        for chunk in compress(chunks, map(is_, codes, repeat(None))):
+            word = chunk.strip(SIGNS)
+            if word.isalnum():  # one word, and signs around it
+                code = known.get(word)
+                if code is not None:
+                    found.append(code)
+            else:
+                found += [known[w] for w in WORD.findall(word) if w in known]
+        return np.unique(np.array(found, dtype=np.int64), return_counts=True)
 
 
 # ---- index --------------------------------------------------------------------------------
@@ -145,11 +132,10 @@ def similar_order(terms: np.ndarray, weights: np.ndarray, start: np.ndarray) ->
 
 
 class BlockMaxIndex:
-    """Unit vectors (terms of example e at ``start[e]:start[e + 1]``), for exact nearest search."""
+    """Exact nearest search over unit vectors (example e at ``start[e]:start[e + 1]``)."""
 
     def __init__(self, terms: np.ndarray, weights: np.ndarray, start: np.ndarray, n_terms: int):
-        self.terms, self.weights, self.start = terms.astype(np.int32), weights, start
-        self.n, self.n_terms = len(start) - 1, n_terms
+        self.n = len(start) - 1
         self.example = similar_order(terms, weights, start)  # by place
         place_of = np.empty(self.n, dtype=np.int64)
         place_of[self.example] = np.arange(self.n)
@@ -168,15 +154,19 @@ class BlockMaxIndex:
 
         terms, place, impact = terms[~dense], place[~dense], impact[~dense]
         self.place, self.impact = place.astype(np.int32), impact
-        # an entry per (term, block): where its postings begin, and their largest impact
-        key = terms.astype(np.int64) * max(self.n_blocks, 1) + place // BLOCK
-        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else key
-        self.entry_first = np.append(begin, len(key)).astype(np.int32)
-        self.entry_block = (place[begin] // BLOCK).astype(np.int32)
-        self.entry_max = (
-            np.maximum.reduceat(impact, begin) if len(begin) else np.zeros(0)
-        )
-        self.term_first = np.searchsorted(terms[begin], np.arange(n_terms + 1)).astype(np.int32)
+        self.term_first = np.searchsorted(terms, np.arange(n_terms + 1))
+        # terms that more than a few examples hold: each block's first posting, and its maximum
+        mid = np.flatnonzero((held > FEW) & (self.row < 0))
+        self.mid = np.full(n_terms, -1, dtype=np.int32)
+        self.mid[mid] = np.arange(len(mid))
+        own = self.mid[terms] >= 0
+        cell = self.mid[terms[own]].astype(np.int64) * self.n_blocks + place[own] // BLOCK
+        sizes = np.bincount(cell, minlength=len(mid) * self.n_blocks).reshape(len(mid), self.n_blocks)
+        self.block_first = np.concatenate(
+            [np.zeros((len(mid), 1), np.int64), np.cumsum(sizes, axis=1)], axis=1
+        ) + self.term_first[mid][:, None]
+        self.block_max = np.zeros(sizes.shape)
+        np.maximum.at(self.block_max.reshape(-1), cell, impact[own])
 
     def base(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """Sums over the terms kept as rows, by place, for a few texts."""
@@ -197,47 +187,52 @@ class BlockMaxIndex:
         told: np.ndarray | None = None,
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
         """Numbers and cosines of the ``k`` nearest examples with a cosine above 0, nearest first;
-        the sums of their products by term, each times the term's ``telling`` (``told``: those
-        over the terms kept as rows); and the number of blocks opened."""
-        rare = np.flatnonzero(self.row[terms] < 0)
-        first = self.term_first[terms[rare]]
-        sizes = self.term_first[terms[rare] + 1] - first
-        entry = _ranges(first, sizes)
-        term = np.repeat(rare, sizes)
-        weight = weights[term]
-        block = self.entry_block[entry]
-        bound = base.reshape(self.n_blocks, BLOCK).max(axis=1) + np.bincount(
-            block, weights=weight * self.entry_max[entry], minlength=self.n_blocks
-        )
-        scores, told = base.copy(), np.zeros_like(base) if told is None else told.copy()
-        opened = np.zeros(self.n_blocks, dtype=bool)
-        order = np.argsort(-bound, kind="stable")
-        floor = 0.0
-        for blocks in (order[:OPEN_FIRST], order[OPEN_FIRST:]):
-            blocks = blocks[bound[blocks] >= max(floor - MARGIN, 1e-12)]
-            if not len(blocks):
-                break
-            now = np.zeros(self.n_blocks, dtype=bool)
-            now[blocks] = True
-            opened |= now
-            own = np.flatnonzero(now[block])
-            lists = entry[own]
-            begin = self.entry_first[lists]
-            sizes = self.entry_first[lists + 1] - begin
-            at = _ranges(begin, sizes)
-            place = self.place[at]
-            product = np.repeat(weight[own], sizes) * self.impact[at]
-            scores += np.bincount(place, weights=product, minlength=len(base))
+        the sums of their products by term, each times the term's ``telling``; and the number of
+        blocks opened. ``base`` and ``told`` are those sums over the terms kept as rows."""
+        scores = base.copy()
+        told = np.zeros_like(base) if told is None else told.copy()
+
+        def add(at: np.ndarray | list[slice], term: np.ndarray, sizes: np.ndarray) -> None:
+            """Add postings, given by their numbers or as ranges, ``sizes`` of each term."""
+            nonlocal scores, told
+            if isinstance(at, list):
+                place = np.concatenate([self.place[r] for r in at])
+                impact = np.concatenate([self.impact[r] for r in at])
+            else:
+                place, impact = self.place[at], self.impact[at]
+            impact *= np.repeat(weights[term], sizes)
+            scores += np.bincount(place, weights=impact, minlength=len(base))
             if telling is not None:
-                product *= np.repeat(telling[term[own]], sizes)
-                told += np.bincount(place, weights=product, minlength=len(base))
-            found = scores.reshape(self.n_blocks, BLOCK)[opened].ravel()
-            if len(found) > k:  # one more: `without` may be among them
-                floor = float(np.partition(found, len(found) - k - 1)[len(found) - k - 1])
-        near = (scores >= max(floor - 2 * MARGIN, 1e-12)) & np.repeat(opened, BLOCK)
-        place = np.flatnonzero(near[: self.n])
+                impact *= np.repeat(telling[term], sizes)
+                told += np.bincount(place, weights=impact, minlength=len(base))
+
+        row, mid = self.row[terms], self.mid[terms]
+        few, some = np.flatnonzero((row < 0) & (mid < 0)), np.flatnonzero(mid >= 0)
+        first = self.term_first[terms[few]]
+        sizes = self.term_first[terms[few] + 1] - first
+        add(_ranges(first, sizes), few, sizes)
+        # what is known so far is a lower bound of every example, so its k-th best is one of the
+        # k-th best cosine (one more: `without` may be among them)
+        floor = 0.0
+        if self.n > k:
+            floor = float(np.partition(scores[: self.n], self.n - k - 1)[self.n - k - 1])
+        own = mid[some]
+        bound = scores.reshape(self.n_blocks, BLOCK).max(axis=1) + weights[some] @ self.block_max[own]
+        opened = bound >= max(floor - MARGIN, 1e-12)
+        # runs of blocks that are opened, each a range of a term's postings
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], opened.astype(np.int8), [0]])))
+        begin = self.block_first[np.ix_(own, edge[::2])].ravel()
+        end = self.block_first[np.ix_(own, edge[1::2])].ravel()
+        if len(begin):
+            runs = [slice(a, b) for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+            add(runs, np.repeat(some, len(edge) // 2), end - begin)
+
+        found = np.where(np.repeat(opened, BLOCK), scores, 0.0)[: self.n]
+        if self.n > k:
+            floor = float(np.partition(found, self.n - k - 1)[self.n - k - 1])
+        place = np.flatnonzero(found >= max(floor - 2 * MARGIN, 1e-12))
         place = place[self.example[place] != without]
-        cosines = np.round(scores[place], 9)
+        cosines = np.round(found[place], 9)
         best = np.lexsort((self.example[place], -cosines))[:k]
         best = best[cosines[best] > 0]
         return self.example[place[best]], cosines[best], told[place[best]], int(opened.sum())
@@ -339,8 +334,8 @@ class Model:
 
     def left_out(self, examples: range) -> list[float]:
         """Shares of toxic votes of a few examples, each without its own."""
-        runs = [slice(self.index.start[e], self.index.start[e + 1]) for e in examples]
-        vectors = [(self.index.terms[r].astype(np.int64), self.index.weights[r]) for r in runs]
+        runs = [slice(self.start[e], self.start[e + 1]) for e in examples]
+        vectors = [self.vector(self.terms[r].astype(np.int64), self.tf[r]) for r in runs]
         return [share for share, *_ in self.votes(vectors, examples)]
 
 
