@@ -33,8 +33,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
-from itertools import compress, islice, repeat
-from operator import is_
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -61,7 +60,8 @@ SLICE_BYTES = 1_000_000  # of the texts that are held as Python strings at once
 THRESHOLD = 0.5
 
 WORD = re.compile(r"\w+")
-SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~"  # ASCII signs that are in no word
+# UTF-8 with every ASCII character that is in no word made a space
+TO_SPACES = bytes(b if b >= 0x80 or WORD.match(chr(b)) else 0x20 for b in range(256))
 
 
 def terms_of(text: str | None) -> list[str]:
@@ -74,25 +74,47 @@ class Terms:
     def __init__(self, known: dict[str, int]):
         self.known = known
 
-    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of the words in the text, ascending, and how often each occurs.
-
-        A word never spans white space, so the chunks between are looked up as they are; of the
-        others signs are taken off, and only what then still has signs in it is searched.
-        """
+    def codes(self, chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of the known words in chunks without white space and ASCII signs, and each
+        chunk's first and how many it has."""
         known = self.known
-        chunks = (text or "").lower().split()
-        codes = list(map(known.get, chunks))
-        found = [c for c in codes if c is not None]
-        for chunk in compress(chunks, map(is_, codes, repeat(None))):
-            word = chunk.strip(SIGNS)
-            if word.isalnum():  # one word, and signs around it
-                code = known.get(word)
-                if code is not None:
-                    found.append(code)
-            else:
-                found += [known[w] for w in WORD.findall(word) if w in known]
-        return np.unique(np.array(found, dtype=np.int64), return_counts=True)
+        code = np.array([known.get(c, -1) for c in chunks], dtype=np.int64)
+        first, sizes, more = np.arange(len(code)), np.ones(len(code), dtype=np.int64), []
+        for i in np.flatnonzero(code < 0).tolist():
+            words = []
+            if not (chunks[i].isascii() or chunks[i].isalnum()):  # there is a further sign in it
+                words = [known[w] for w in WORD.findall(chunks[i]) if w in known]
+            first[i], sizes[i] = len(code) + len(more), len(words)
+            more += words
+        return np.append(code, np.array(more, dtype=np.int64)), first, sizes
+
+    def counts_of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of the words in the texts, ascending in a text, how often each occurs, and where
+        each text's begin, and the last one's end.
+
+        Texts are split by Arrow where they have white space or an ASCII sign, and a chunk is
+        looked up once for all of them.
+        """
+        plain = [(t or "").lower().encode().translate(TO_SPACES) for t in texts]
+        ends = np.cumsum([0] + [len(t) for t in plain], dtype=np.int64)
+        whole = pa.LargeStringArray.from_buffers(
+            len(plain), pa.py_buffer(ends), pa.py_buffer(b"".join(plain))
+        )
+        split = pc.ascii_split_whitespace(whole)
+        chunks = split.flatten().dictionary_encode()
+        codes, first, sizes = self.codes(chunks.dictionary.to_numpy(zero_copy_only=False))
+
+        at = chunks.indices.to_numpy()
+        sizes = sizes[at]
+        text = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy())
+        found = codes[_ranges(first[at], sizes)] + np.repeat(text * len(self.known), sizes)
+        found, n = np.unique(found, return_counts=True)
+        start = np.searchsorted(found, np.arange(len(texts) + 1) * len(self.known))
+        return found % max(len(self.known), 1), n, start
+
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words in one text, ascending, and how often each occurs."""
+        return self.counts_of([text])[:2]
 
 
 # ---- index --------------------------------------------------------------------------------
@@ -112,11 +134,16 @@ def similar_order(terms: np.ndarray, weights: np.ndarray, start: np.ndarray) ->
     examples halved along the direction of most variance until they fit a block.
     """
     n = len(start) - 1
-    place = (terms.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
-    sign = np.where(place & np.uint64(1), 1.0, -1.0)
-    owner = np.repeat(np.arange(n), np.diff(start))
-    cell = owner * SKETCH + ((place >> np.uint64(1)) % np.uint64(SKETCH)).astype(np.int64)
-    sketch = np.bincount(cell, weights=weights * sign, minlength=n * SKETCH).reshape(n, SKETCH)
+    sketch = np.zeros((n, SKETCH))
+    for e in range(0, n, BLOCK):  # the arrays of all postings at once would be a worker's largest
+        own = start[e : e + BLOCK + 1]
+        run, size = slice(own[0], own[-1]), len(own) - 1
+        place = (terms[run].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+        sign = np.where(place & np.uint64(1), 1.0, -1.0)
+        cell = np.repeat(np.arange(size) * SKETCH, np.diff(own))
+        cell += ((place >> np.uint64(1)) % np.uint64(SKETCH)).astype(np.int64)
+        folded = np.bincount(cell, weights=weights[run] * sign, minlength=size * SKETCH)
+        sketch[e : e + size] = folded.reshape(size, SKETCH)
     out, todo = [], [np.arange(n)]
     while todo:
         own = todo.pop()
@@ -131,42 +158,63 @@ def similar_order(terms: np.ndarray, weights: np.ndarray, start: np.ndarray) ->
     return np.concatenate([np.zeros(0, np.int64), *out]).astype(np.int64)
 
 
+def sums_by_term(values: np.ndarray, terms: np.ndarray, start: np.ndarray, n_terms: int) -> np.ndarray:
+    """For every term the sum of a value of the examples that hold it."""
+    out = np.zeros(n_terms)
+    for e in range(0, len(values), BLOCK):
+        own = start[e : e + BLOCK + 1]
+        weights = np.repeat(values[e : e + BLOCK], np.diff(own))
+        out += np.bincount(terms[own[0] : own[-1]], weights=weights, minlength=n_terms)
+    return out
+
+
 class BlockMaxIndex:
     """Exact nearest search over unit vectors (example e at ``start[e]:start[e + 1]``)."""
 
     def __init__(self, terms: np.ndarray, weights: np.ndarray, start: np.ndarray, n_terms: int):
         self.n = len(start) - 1
         self.example = similar_order(terms, weights, start)  # by place
-        place_of = np.empty(self.n, dtype=np.int64)
-        place_of[self.example] = np.arange(self.n)
         self.n_blocks = -(-self.n // BLOCK)
-        place = np.repeat(place_of, np.diff(start))
-        order = np.lexsort((place, terms))
-        terms, place, impact = terms[order], place[order], weights[order]
-
-        held = np.bincount(terms, minlength=n_terms)
+        held = sums_by_term(np.ones(self.n), terms, start, n_terms).astype(np.int64)
         often = np.flatnonzero(held > OFTEN * self.n)
         self.row = np.full(n_terms, -1, dtype=np.int32)
         self.row[often] = np.arange(len(often))
-        self.rows = np.zeros((len(often), self.n_blocks * BLOCK))
-        dense = self.row[terms] >= 0
-        self.rows[self.row[terms[dense]], place[dense]] = impact[dense]
-
-        terms, place, impact = terms[~dense], place[~dense], impact[~dense]
-        self.place, self.impact = place.astype(np.int32), impact
-        self.term_first = np.searchsorted(terms, np.arange(n_terms + 1))
+        # an example's numbers are side by side, for the neighbours' are read again
+        self.columns = np.zeros((self.n_blocks * BLOCK, len(often)))
+        self.rows = self.columns.T
         # terms that more than a few examples hold: each block's first posting, and its maximum
         mid = np.flatnonzero((held > FEW) & (self.row < 0))
         self.mid = np.full(n_terms, -1, dtype=np.int32)
         self.mid[mid] = np.arange(len(mid))
-        own = self.mid[terms] >= 0
-        cell = self.mid[terms[own]].astype(np.int64) * self.n_blocks + place[own] // BLOCK
-        sizes = np.bincount(cell, minlength=len(mid) * self.n_blocks).reshape(len(mid), self.n_blocks)
-        self.block_first = np.concatenate(
-            [np.zeros((len(mid), 1), np.int64), np.cumsum(sizes, axis=1)], axis=1
-        ) + self.term_first[mid][:, None]
-        self.block_max = np.zeros(sizes.shape)
-        np.maximum.at(self.block_max.reshape(-1), cell, impact[own])
+        self.block_first = np.zeros((len(mid), self.n_blocks + 1), dtype=np.int32)
+        self.block_max = np.zeros((len(mid), self.n_blocks))
+
+        # postings by term and place, put there one example after the other: sorting them all at
+        # once would take several arrays of their length
+        held[often] = 0
+        self.term_first = np.concatenate([[0], np.cumsum(held)])
+        self.place = np.zeros(self.term_first[-1], dtype=np.int32)
+        self.impact = np.zeros(self.term_first[-1])
+        free = self.term_first[:-1].copy()
+        for block in range(self.n_blocks):
+            self.block_first[:, block] = free[mid]
+            for p in range(block * BLOCK, min((block + 1) * BLOCK, self.n)):
+                own = slice(start[self.example[p]], start[self.example[p] + 1])
+                t, w, row = terms[own], weights[own], self.row[terms[own]]
+                self.columns[p, row[row >= 0]] = w[row >= 0]
+                t, w = t[row < 0], w[row < 0]
+                self.place[free[t]], self.impact[free[t]] = p, w
+                free[t] += 1
+                some = self.mid[t] >= 0
+                t = self.mid[t[some]]
+                self.block_max[t, block] = np.maximum(self.block_max[t, block], w[some])
+        self.block_first[:, -1] = free[mid]
+        # and all of a term's postings, where every block is opened
+        self.held = self.block_first[:, -1] - self.block_first[:, 0]
+        place, impact = memoryview(self.place), memoryview(self.impact)
+        whole = [slice(a, b) for a, b in self.block_first[:, [0, -1]].tolist()]
+        self.mid_place = [place[r].cast("B") for r in whole]
+        self.mid_impact = [impact[r].cast("B") for r in whole]
 
     def base(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """Sums over the terms kept as rows, by place, for a few texts."""
@@ -188,29 +236,26 @@ class BlockMaxIndex:
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
         """Numbers and cosines of the ``k`` nearest examples with a cosine above 0, nearest first;
         the sums of their products by term, each times the term's ``telling``; and the number of
-        blocks opened. ``base`` and ``told`` are those sums over the terms kept as rows."""
-        scores = base.copy()
-        told = np.zeros_like(base) if told is None else told.copy()
-
-        def add(at: np.ndarray | list[slice], term: np.ndarray, sizes: np.ndarray) -> None:
-            """Add postings, given by their numbers or as ranges, ``sizes`` of each term."""
-            nonlocal scores, told
-            if isinstance(at, list):
-                place = np.concatenate([self.place[r] for r in at])
-                impact = np.concatenate([self.impact[r] for r in at])
-            else:
-                place, impact = self.place[at], self.impact[at]
+        blocks opened. ``base`` and ``told`` are those sums over the terms kept as rows, by place;
+        without ``told`` the neighbours' are made from their columns."""
+        scores, sums = base.copy(), np.zeros_like(base)
+
+        def add(place: np.ndarray, impact: np.ndarray, term: np.ndarray, sizes: np.ndarray) -> None:
+            """Add postings, ``sizes`` of each term; ``impact`` becomes the products."""
+            nonlocal scores, sums
+            place = place.astype(np.intp)
             impact *= np.repeat(weights[term], sizes)
             scores += np.bincount(place, weights=impact, minlength=len(base))
             if telling is not None:
                 impact *= np.repeat(telling[term], sizes)
-                told += np.bincount(place, weights=impact, minlength=len(base))
+                sums += np.bincount(place, weights=impact, minlength=len(base))
 
         row, mid = self.row[terms], self.mid[terms]
         few, some = np.flatnonzero((row < 0) & (mid < 0)), np.flatnonzero(mid >= 0)
         first = self.term_first[terms[few]]
         sizes = self.term_first[terms[few] + 1] - first
-        add(_ranges(first, sizes), few, sizes)
+        at = _ranges(first, sizes)
+        add(self.place[at], self.impact[at], few, sizes)
         # what is known so far is a lower bound of every example, so its k-th best is one of the
         # k-th best cosine (one more: `without` may be among them)
         floor = 0.0
@@ -219,15 +264,24 @@ class BlockMaxIndex:
         own = mid[some]
         bound = scores.reshape(self.n_blocks, BLOCK).max(axis=1) + weights[some] @ self.block_max[own]
         opened = bound >= max(floor - MARGIN, 1e-12)
-        # runs of blocks that are opened, each a range of a term's postings
-        edge = np.flatnonzero(np.diff(np.concatenate([[0], opened.astype(np.int8), [0]])))
-        begin = self.block_first[np.ix_(own, edge[::2])].ravel()
-        end = self.block_first[np.ix_(own, edge[1::2])].ravel()
-        if len(begin):
+        if len(own) and opened.all():
+            at = own.tolist()
+            place = bytearray().join([self.mid_place[t] for t in at])
+            impact = bytearray().join([self.mid_impact[t] for t in at])
+            add(np.frombuffer(place, self.place.dtype), np.frombuffer(impact), some, self.held[own])
+        elif len(own) and opened.any():
+            # runs of blocks that are opened, each a range of a term's postings
+            edge = np.flatnonzero(np.diff(np.concatenate([[0], opened.astype(np.int8), [0]])))
+            begin = self.block_first[np.ix_(own, edge[::2])].ravel()
+            end = self.block_first[np.ix_(own, edge[1::2])].ravel()
             runs = [slice(a, b) for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
-            add(runs, np.repeat(some, len(edge) // 2), end - begin)
+            place = np.concatenate([self.place[r] for r in runs])
+            impact = np.concatenate([self.impact[r] for r in runs])
+            add(place, impact, np.repeat(some, len(edge) // 2), end - begin)
 
-        found = np.where(np.repeat(opened, BLOCK), scores, 0.0)[: self.n]
+        found = scores[: self.n]
+        if not opened.all():
+            found = np.where(np.repeat(opened, BLOCK)[: self.n], found, 0.0)
         if self.n > k:
             floor = float(np.partition(found, self.n - k - 1)[self.n - k - 1])
         place = np.flatnonzero(found >= max(floor - 2 * MARGIN, 1e-12))
@@ -235,16 +289,24 @@ class BlockMaxIndex:
         cosines = np.round(found[place], 9)
         best = np.lexsort((self.example[place], -cosines))[:k]
         best = best[cosines[best] > 0]
-        return self.example[place[best]], cosines[best], told[place[best]], int(opened.sum())
+        place = place[best]
+        mass = sums[place]
+        if told is not None:
+            mass += told[place]
+        elif telling is not None:
+            x = np.zeros(len(self.rows))
+            x[row[row >= 0]] = (weights * telling)[row >= 0]
+            mass += self.columns[place] @ x
+        return self.example[place], cosines[best], mass, int(opened.sum())
 
 
 @dataclass
 class Model:
     """What the tasks need. Sent as the examples' counts (8 bytes per example and word) and the
-    words; index and word numbers are made from them once per worker."""
+    words, before documents are counted; index and word numbers are made from them once per
+    worker, which counts and scores with the same numbers."""
 
     words: pa.Array  # by number
-    idf: np.ndarray
     terms: np.ndarray  # of example e at start[e]:start[e + 1], ascending
     tf: np.ndarray
     start: np.ndarray
@@ -252,6 +314,7 @@ class Model:
     ids: np.ndarray
     prior: float  # share of toxic examples
     rate_without_terms: float
+    idf: np.ndarray | None = None  # known once documents are counted, and sent then
     slope: float = 1.0
     offset: float = 0.0
 
@@ -264,30 +327,49 @@ class Model:
 
     @cached_property
     def index(self) -> BlockMaxIndex:
-        weights = (1 + np.log(self.tf)) * self.idf[self.terms]
-        if len(weights):
-            norms = np.sqrt(np.add.reduceat(weights * weights, self.start[:-1]))
-            weights = weights / np.repeat(norms, np.diff(self.start))
+        weights = np.empty(len(self.terms))
+        for e in range(0, len(self.labels), BLOCK):
+            own, start = self.some(range(e, e + BLOCK))
+            weights[own] = self.weights(self.terms[own], self.tf[own], start)
         return BlockMaxIndex(self.terms, weights, self.start, len(self.words))
 
     @cached_property
     def held(self) -> np.ndarray:
         """Examples that hold each word."""
-        return np.bincount(self.terms, minlength=len(self.words)).astype(np.float64)
+        return sums_by_term(np.ones(len(self.labels)), self.terms, self.start, len(self.words))
 
     @cached_property
     def held_toxic(self) -> np.ndarray:
-        y = np.repeat(self.labels, np.diff(self.start))
-        return np.bincount(self.terms, weights=y, minlength=len(self.words))
+        return sums_by_term(self.labels, self.terms, self.start, len(self.words))
 
     @cached_property
     def share(self) -> float:
         """Of toxic ones among the examples that have words."""
         return float(self.labels.mean()) if len(self.labels) else 0.0
 
-    def vector(self, terms: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def some(self, examples: range) -> tuple[slice, np.ndarray]:
+        """Where the words of a few examples are, and where each example's begin there."""
+        start = self.start[examples.start : examples.stop + 1]
+        return slice(start[0], start[-1]), start - start[0]
+
+    def weights(self, terms: np.ndarray, tf: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """Of the words of texts that have some, in vectors of length one."""
         w = (1 + np.log(tf)) * self.idf[terms]
-        return terms, w / np.sqrt((w * w).sum())
+        if len(w):
+            w /= np.repeat(np.sqrt(np.add.reduceat(w * w, start[:-1])), np.diff(start))
+        return w
+
+    def vectors(
+        self, terms: np.ndarray, tf: np.ndarray, start: np.ndarray
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Terms and weights of each of a few texts that have words."""
+        w = self.weights(terms, tf, start)
+        runs = [slice(a, b) for a, b in zip(start[:-1].tolist(), start[1:].tolist(), strict=True)]
+        return [(terms[r], w[r]) for r in runs]
+
+    @cached_property
+    def telling_of_all(self) -> np.ndarray:
+        return self.telling(np.arange(len(self.words)))
 
     def telling(self, terms: np.ndarray, without: int = -1) -> np.ndarray:
         """Squared phi of the words with the label, among the examples but one."""
@@ -304,22 +386,25 @@ class Model:
         if not vectors:
             return
         without = list(without)
-        telling = [self.telling(t, w) for (t, _), w in zip(vectors, without, strict=True)]
-        told = [(t, w * x) for (t, w), x in zip(vectors, telling, strict=True)]
-        bases = zip(self.index.base(vectors), self.index.base(told), strict=True)
-        for (t, w), one, x, (base, told_base) in zip(vectors, without, telling, bases, strict=True):
-            near, cosines, mass, _ = self.index.nearest(t, w, base, NEIGHBOURS, one, x, told_base)
+        telling = [
+            self.telling(t, e) if e >= 0 else self.telling_of_all[t]
+            for (t, _), e in zip(vectors, without, strict=True)
+        ]
+        bases = self.index.base(vectors)
+        for (t, w), one, x, base in zip(vectors, without, telling, bases, strict=True):
+            near, cosines, mass, _ = self.index.nearest(t, w, base, NEIGHBOURS, one, x)
             power = mass / (1 - np.minimum(cosines, 1) + 0.05)
             share = (power @ self.labels[near] + PRIOR_MASS * self.prior) / (power.sum() + PRIOR_MASS)
             yield float(np.clip(share, 1e-6, 1 - 1e-6)), near, cosines, power
 
-    def answers(self, texts: Iterable[str | None]) -> Iterator[tuple[float, list[dict]]]:
-        texts = iter(texts)
-        while part := [self.known.counts(t) for t in islice(texts, TEXTS_AT_ONCE)]:
-            vectors = [self.vector(*c) for c in part if len(c[0])]
-            votes = self.votes(vectors, [-1] * len(vectors))
-            for terms, _ in part:
-                yield self.answer(*next(votes)) if len(terms) else (self.rate_without_terms, [])
+    def answers(self, texts: list[str | None]) -> Iterator[tuple[float, list[dict]]]:
+        terms, tf, start = self.known.counts_of(texts)
+        some = np.diff(start) > 0
+        vectors = self.vectors(terms, tf, np.append(start[:-1][some], start[-1]))
+        groups = (vectors[i : i + TEXTS_AT_ONCE] for i in range(0, len(vectors), TEXTS_AT_ONCE))
+        votes = chain.from_iterable(self.votes(g, [-1] * len(g)) for g in groups)
+        for has_words in some.tolist():
+            yield self.answer(*next(votes)) if has_words else (self.rate_without_terms, [])
 
     def answer(self, share, near, cosines, power) -> tuple[float, list[dict]]:
         x = self.slope * np.log(share / (1 - share)) + self.offset
@@ -334,8 +419,8 @@ class Model:
 
     def left_out(self, examples: range) -> list[float]:
         """Shares of toxic votes of a few examples, each without its own."""
-        runs = [slice(self.start[e], self.start[e + 1]) for e in examples]
-        vectors = [self.vector(self.terms[r].astype(np.int64), self.tf[r]) for r in runs]
+        own, start = self.some(examples)
+        vectors = self.vectors(self.terms[own].astype(np.int64), self.tf[own], start)
         return [share for share, *_ in self.votes(vectors, examples)]
 
 
@@ -409,17 +494,16 @@ def examples(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return chosen.select("doc_id", "y", F.col("first.counts").alias("c"))
 
 
-def document_frequencies(docs: DataFrame, words: pa.Array) -> tuple[int, np.ndarray]:
-    """The number of documents, and for each known word of those that hold it."""
-    shared = docs.sparkSession.sparkContext.broadcast(words)
+def document_frequencies(docs: DataFrame, model: Broadcast) -> tuple[int, np.ndarray]:
+    """The number of documents, and for each of the model's words of those that hold it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = Terms({w: i for i, w in enumerate(shared.value.to_pylist())})
+        terms = model.value.known
         total, seen = 0, np.zeros(len(terms.known), dtype=np.int64)
         for b in batches:
-            for text in b["text"]:
-                total += 1
-                seen[terms.counts(text.as_py())[0]] += 1
+            total += b.num_rows
+            for part in batch_slices(b, "text", SLICE_BYTES):
+                seen += np.bincount(terms.counts_of(part["text"].to_pylist())[0], minlength=len(seen))
         found = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays(
             [
@@ -431,22 +515,23 @@ def document_frequencies(docs: DataFrame, words: pa.Array) -> tuple[int, np.ndar
 
     counted = docs.select("text").mapInArrow(run, "term int, n long").groupBy("term")
     rows = counted.agg(F.sum("n").alias("n")).toArrow()  # a row per word of the examples
-    shared.unpersist()
     terms, n = rows["term"].to_numpy(), rows["n"].to_numpy()
-    out = np.zeros(len(words), dtype=np.int64)
+    out = np.zeros(len(model.value.words), dtype=np.int64)
     out[terms[terms >= 0]] = n[terms >= 0]
     return int(n[terms < 0].sum()), out
 
 
-def _calibrated(spark: SparkSession, model: Broadcast) -> tuple[float, float]:
+def _calibrated(spark: SparkSession, model: Broadcast, idf: Broadcast) -> tuple[float, float]:
     """The fit on the examples' leave-one-out votes, which tasks compute."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = model.value
+        m.idf = idf.value
         for b in batches:
             for e in b["id"].to_pylist():
-                own = range(e, min(e + TEXTS_AT_ONCE, len(model.value.labels)))
+                own = range(e, min(e + TEXTS_AT_ONCE, len(m.labels)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own, type=pa.int64()), pa.array(model.value.left_out(own), type=pa.float64())],
+                    [pa.array(own, type=pa.int64()), pa.array(m.left_out(own), type=pa.float64())],
                     names=["example", "share"],
                 )
 
@@ -459,8 +544,8 @@ def _calibrated(spark: SparkSession, model: Broadcast) -> tuple[float, float]:
     return fit_votes(shares, labels)
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> tuple[Broadcast, float, float]:
-    """The model, shared with the tasks, and the slope and offset of its votes.
+def learn(docs: DataFrame, labels: DataFrame) -> tuple[Broadcast, Broadcast, tuple[float, float]]:
+    """The model and the words' weights, shared with the tasks, and the slope and offset of its votes.
 
     What is broadcast is bounded by the sample: ``MAX_EXAMPLES`` rows, ``MAX_SAMPLE_CHARS``
     characters, so at most half as many (example, word) pairs.
@@ -475,43 +560,50 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[Broadcast, float, float]:
     coded = pairs.field("term").dictionary_encode()
     terms, tf, words = coded.indices.to_numpy(), pairs.field("n").to_numpy(), coded.dictionary
     del counts, pairs, coded
-    total, seen = document_frequencies(docs, words)
-    idf = np.log((1 + total) / (1 + seen)) + 1
+    # words that many examples hold get the low numbers, so that what is known of them is together
+    often = np.argsort(-np.bincount(terms, minlength=len(words)), kind="stable")
+    number = np.empty(len(words), dtype=np.int32)
+    number[often] = np.arange(len(words))
+    terms, words = number[terms], words.take(pa.array(often))
 
     prior = float(y.mean()) if len(y) else 0.0
     some = sizes > 0
     start = np.concatenate([[0], np.cumsum(sizes[some])]).astype(np.int64)
     order = np.lexsort((terms, np.repeat(np.arange(len(start) - 1), np.diff(start))))
-    model = Model(
-        words=words,
-        idf=idf,
-        terms=terms[order].astype(np.int32),
-        tf=tf[order].astype(np.int32),
-        start=start,
-        labels=y[some],
-        ids=ids[some],
-        prior=prior,
-        rate_without_terms=(float(y[~some].sum()) + prior) / (int((~some).sum()) + 1),
+    model = spark.sparkContext.broadcast(
+        Model(
+            words=words,
+            terms=terms[order].astype(np.int32),
+            tf=tf[order].astype(np.int32),
+            start=start,
+            labels=y[some],
+            ids=ids[some],
+            prior=prior,
+            rate_without_terms=(float(y[~some].sum()) + prior) / (int((~some).sum()) + 1),
+        )
     )
-    shared = spark.sparkContext.broadcast(model)
-    return shared, *(_calibrated(spark, shared) if some.any() else (1.0, 0.0))
+    del terms, tf, order
+    total, seen = document_frequencies(docs, model)
+    idf = spark.sparkContext.broadcast(np.log((1 + total) / (1 + seen)) + 1)
+    return model, idf, _calibrated(spark, model, idf) if some.any() else (1.0, 0.0)
 
 
 # ---- scoring ------------------------------------------------------------------------------
 
 
-def _answers(model: Broadcast, slope: float, offset: float, batch: pa.RecordBatch) -> list[tuple[float, list[dict]]]:
-    m = model.value
-    m.slope, m.offset = slope, offset
-    out = []
+def _answers(
+    learnt: tuple[Broadcast, Broadcast, tuple[float, float]], batch: pa.RecordBatch
+) -> Iterator[tuple[pa.RecordBatch, list[tuple[float, list[dict]]]]]:
+    """A few rows at a time, and their answers."""
+    m = learnt[0].value
+    m.idf, (m.slope, m.offset) = learnt[1].value, learnt[2]
     for part in batch_slices(batch, "text", SLICE_BYTES):
-        out += m.answers(part["text"].to_pylist())
-    return out
+        yield part, list(m.answers(part["text"].to_pylist()))
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted``, ``evidence`` for every document."""
-    model, slope, offset = learn(docs, labels)
+    learnt = learn(docs, labels)
     near = pa.list_(
         pa.struct(
             [("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32()), ("weight", pa.float64())]
@@ -520,7 +612,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = _answers(model, slope, offset, b)
+            got = [answer for _, answers in _answers(learnt, b) for answer in answers]
             yield pa.RecordBatch.from_arrays(
                 [
                     b["doc_id"],
@@ -547,11 +639,11 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic, columns as given."""
-    model, slope, offset = learn(docs, labels)
+    learnt = learn(docs, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = [s < THRESHOLD for s, _ in _answers(model, slope, offset, b)]
+            keep = [s < THRESHOLD for _, answers in _answers(learnt, b) for s, _ in answers]
             yield b.filter(pa.array(keep, type=pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_ORACLE, SF_SMALL
 from edge import edge_docs, empty_docs
@@ -175,3 +176,50 @@ def test_the_sample_is_bounded_by_characters(spark, monkeypatch):
     assert t.examples(docs, labels).count() == 40
     monkeypatch.setattr(t, "MAX_SAMPLE_CHARS", 1000)
     assert 8 <= t.examples(docs, labels).count() <= 16
+
+
+class CountedLookups(dict):
+    looked_up = 0
+
+    def get(self, *args):
+        self.looked_up += 1
+        return super().get(*args)
+
+
+def test_a_chunk_is_looked_up_once_for_many_texts():
+    known = CountedLookups({w: i for i, w in enumerate(["plain", "words", "né", "x_y"])})
+    texts = ["Plain, words plain", None, "né—words x_y", "", "unknown (words)"] * 40
+    terms, tf, start = t.Terms(known).counts_of(texts)
+    assert known.looked_up <= 6  # plain, words, né—words, x_y, unknown and none
+    names = list(known)
+    for k, text in enumerate(texts):
+        own = slice(start[k], start[k + 1])
+        plain = Counter(w for w in t.terms_of(text) if w in known)
+        assert {names[i]: n for i, n in zip(terms[own].tolist(), tf[own].tolist())} == dict(plain)
+        assert terms[own].tolist() == sorted(terms[own].tolist())
+
+
+def small_model():
+    texts = [f"common {'bad' if i % 3 == 0 else 'good'} own{i} pair{i // 2}" for i in range(300)]
+    words = list(dict.fromkeys(w for x in texts for w in x.split()))
+    terms = [sorted(words.index(w) for w in x.split()) for x in texts]
+    return texts, t.Model(
+        words=pa.array(words),
+        terms=np.array([x for own in terms for x in own], dtype=np.int32),
+        tf=np.ones(4 * len(texts), dtype=np.int32),
+        start=np.arange(0, 4 * len(texts) + 1, 4),
+        labels=np.array([float(i % 3 == 0) for i in range(300)]),
+        ids=np.arange(300),
+        prior=1 / 3,
+        rate_without_terms=1 / 3,
+        idf=np.linspace(1, 2, len(words)),
+    )
+
+
+def test_frequent_words_are_multiplied_once_for_a_group_of_texts(monkeypatch):
+    texts, model = small_model()
+    calls, base = [], t.BlockMaxIndex.base
+    monkeypatch.setattr(t.BlockMaxIndex, "base", lambda self, v: calls.append(len(v)) or base(self, v))
+    got = list(model.answers([*texts[:100], "nothing known"]))
+    assert len(got) == 101 and got[-1] == (model.rate_without_terms, [])
+    assert sum(calls) == 100 and len(calls) == -(-100 // t.TEXTS_AT_ONCE)
