@@ -643,8 +643,8 @@ def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = [s < THRESHOLD for _, answers in _answers(learnt, b) for s, _ in answers]
-            yield b.filter(pa.array(keep, type=pa.bool_()))
+            for part, answers in _answers(learnt, b):  # the batch is never held twice
+                yield part.filter(pa.array([s < THRESHOLD for s, _ in answers], type=pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

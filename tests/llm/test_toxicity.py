@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -223,3 +225,30 @@ def test_frequent_words_are_multiplied_once_for_a_group_of_texts(monkeypatch):
     got = list(model.answers([*texts[:100], "nothing known"]))
     assert len(got) == 101 and got[-1] == (model.rate_without_terms, [])
     assert sum(calls) == 100 and len(calls) == -(-100 // t.TEXTS_AT_ONCE)
+
+
+def test_the_index_is_made_without_further_arrays_of_all_postings():
+    rng = np.random.default_rng(7)
+    n, held = 6000, 200
+    terms = (np.arange(held) * 30 + rng.integers(0, 30, (n, held))).ravel().astype(np.int32)
+    weights, start = np.full(n * held, held**-0.5), np.arange(0, n * held + 1, held)
+    tracemalloc.start()
+    index = t.BlockMaxIndex(terms, weights, start, 30 * held)
+    kept, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(index.place) == n * held and kept >= 12 * n * held
+    assert most - kept < 2 * 8 * n * held
+
+
+def test_rows_are_answered_a_few_at_a_time(monkeypatch):
+    texts, model = small_model()
+    rows = pa.RecordBatch.from_pydict({"doc_id": range(300), "text": texts})
+    learnt = SimpleNamespace(value=model), SimpleNamespace(value=model.idf), (1.0, 0.0)
+    whole = [a for _, answers in t._answers(learnt, rows) for a in answers]
+    monkeypatch.setattr(t, "SLICE_BYTES", 1000)
+    parts = list(t._answers(learnt, rows))
+    assert len(parts) > 5 and max(p.num_rows for p, _ in parts) < 100
+    assert pa.Table.from_batches([p for p, _ in parts]).to_pydict() == rows.to_pydict()
+    got = [a for _, answers in parts for a in answers]
+    assert [e for _, e in got] == [e for _, e in whole]
+    assert [s for s, _ in got] == pytest.approx([s for s, _ in whole], abs=1e-12)
