@@ -25,8 +25,6 @@ from __future__ import annotations
 
 import os
 import re
-import sys
-import types
 import zlib
 from array import array
 from collections import Counter
@@ -68,21 +66,6 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 # ---- tokens -------------------------------------------------------------------------------
 
 
-def _worker_state(path: str) -> types.ModuleType:
-    """The tokenizer and word cache of this Python worker, kept from task to task."""
-    key = f"_fleetlens_packing_{path}"
-    state = sys.modules.get(key)
-    if state is None:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        state = types.ModuleType(key)
-        state.tokenizer = Tokenizer.from_file(path)
-        state.chunks, state.pieces = Remembered(KEPT["chunks"]), Remembered(KEPT["pieces"])
-        sys.modules[key] = state
-    return state
-
-
 class Remembered:
     """What was found for keys seen lately: two generations, of which the older one is dropped
     when the younger is full, so that frequent keys stay and rare ones make room."""
@@ -109,6 +92,24 @@ class Remembered:
             self.old, self.young = self.young, {}
 
 
+class Tokens:
+    """The tokenizer, and the ids of words met lately."""
+
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.chunks, self.pieces = Remembered(KEPT["chunks"]), Remembered(KEPT["pieces"])
+
+
+def _tokens(held: dict[str, Tokens], path: str) -> Tokens:
+    """What ``held`` has for this tokenizer, made if need be."""
+    if path not in held:
+        held[path] = Tokens(path)
+    return held[path]
+
+
 def _may_lower(text: str | None) -> bool:
     """Whether A-Z may be lower-cased before the tokenizer does it: it composes (NFC) first, so a
     letter and a mark that compose in lower case only must not meet that way, and no special
@@ -131,7 +132,7 @@ def _pieces(chunks: list[bytes]) -> list[list[bytes]]:
     return [[c] if b"<|" in c else x.split(b" ") for c, x in zip(chunks, lines, strict=True)]
 
 
-def _encode(state: types.ModuleType, pieces: list[bytes]) -> None:
+def _encode(state: Tokens, pieces: list[bytes]) -> None:
     """Add the ids of new pieces to what the worker knows."""
     for at in range(0, len(pieces), 20_000):
         part = pieces[at : at + 20_000]
@@ -143,7 +144,7 @@ def _encode(state: types.ModuleType, pieces: list[bytes]) -> None:
         )
 
 
-def _chunk_ids(state: types.ModuleType, chunks: list[bytes]) -> list[bytes]:
+def _chunk_ids(state: Tokens, chunks: list[bytes]) -> list[bytes]:
     """Ids of different chunks, most of them known to the worker."""
     state.chunks.turn()
     state.pieces.turn()
@@ -165,15 +166,18 @@ def _chunk_ids(state: types.ModuleType, chunks: list[bytes]) -> list[bytes]:
     return data
 
 
-def token_bytes(texts: pa.Array | list[str | None], path: str) -> list[bytes]:
-    """Each text's ids as little-endian 32-bit numbers, without the closing id.
+def token_bytes(
+    texts: pa.Array | list[str | None], path: str, held: dict[str, Tokens] | None = None
+) -> list[bytes]:
+    """Each text's ids as little-endian 32-bit numbers, without the closing id. ``held`` keeps
+    what is known from call to call.
 
     The tokenizer drops white space and never joins, composes or changes case across it (ASCII
     white space is a subset of what it drops), so a text's ids are those of the chunks between,
     one after the other. Arrow splits the texts and finds the different chunks; only these are
     looked up, and only those not met lately are encoded.
     """
-    state = _worker_state(path)
+    state = _tokens({} if held is None else held, path)
     texts = texts if isinstance(texts, pa.Array) else pa.array(texts, type=pa.string())
     lower = pa.array([_may_lower(t) for t in texts.to_pylist()], type=pa.bool_())
     texts = pc.fill_null(texts, "")
@@ -205,6 +209,9 @@ PIECES = (
 def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
     """A row per piece; ``part_rank`` counts the pieces of a length within a task."""
     path = path or tokenizer_path()
+    # A worker fills its copy and keeps it from task to task; Spark drops it there before the
+    # first task that does not use this broadcast, so other operators' tasks have the room.
+    held = docs.sparkSession.sparkContext.broadcast({})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -213,7 +220,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -
         for batch in batches:
             for slice_ in batch_slices(batch, "text", SLICE_BYTES):
                 rows = []
-                texts = token_bytes(slice_["text"], path)
+                texts = token_bytes(slice_["text"], path, held.value)
                 for doc_id, ids in zip(slice_["doc_id"].to_pylist(), texts, strict=True):
                     ids += END
                     for k in range(0, len(ids), size):

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_SMALL
 from edge import edge_docs, empty_docs
@@ -74,6 +76,25 @@ def test_words_encode_as_in_the_whole_text(text):
     assert got.tolist() == whole
 
 
+def test_workers_keep_words_for_their_job_only(spark):
+    held = {}
+    assert p.token_bytes(["a word"], p.tokenizer_path(), held) == p.token_bytes(["a word"], p.tokenizer_path())
+    kept = held[p.tokenizer_path()]
+    assert kept.chunks.young.keys() == {b"a", b"word"}
+    p.token_bytes(["another word"], p.tokenizer_path(), held)
+    assert held[p.tokenizer_path()] is kept and b"another" in kept.chunks.young
+
+    def look(batches):
+        known = sum(type(x).__name__ == "Remembered" for x in gc.get_objects())
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"known": [known]})
+
+    texts = spark.range(0, 64, 1, 16).selectExpr("id AS doc_id", "concat('word ', id) AS text")
+    assert p.pieces(texts).count() == 64
+    after = spark.range(0, 64, 1, 64).mapInArrow(look, "known long").collect()
+    assert len(after) == 64 and sum(r.known for r in after) == 0
+
+
 @settings(max_examples=60, deadline=None)
 @given(
     st.dictionaries(st.integers(1, 64), st.integers(1, 200), max_size=30),
